@@ -4,13 +4,14 @@ from . import functions, operators, plans, schemas, sinks, sources
 from .functions import *  # noqa: F403
 from .operators import *  # noqa: F403
 from .plans import *  # noqa: F403
-from .session import LAYERS, Layers, get_spark_session, scratch_folder, stage
+from .session import LAYERS, Layers, configure, get_spark_session, scratch_folder, stage
 from .sinks import *  # noqa: F403
 from .sources import *  # noqa: F403
 
 __all__ = [
     "LAYERS",
     "Layers",
+    "configure",
     "get_spark_session",
     "schemas",
     "scratch_folder",

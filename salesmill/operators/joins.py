@@ -22,9 +22,10 @@ def join_with_customer(
     customers_df: DataFrame,
     how: str = "left",
     attributes: tuple[str, ...] = CUSTOMER_ATTRIBUTES,
+    dedup: bool = False,
 ) -> DataFrame:
     """Add customer attributes. ``how="inner"`` drops lines of unknown customers."""
-    return orders_df.join(customers_df.select("customer_id", *attributes), "customer_id", how)
+    return _attach(orders_df, customers_df, "customer_id", attributes, how, dedup)
 
 
 def join_with_product(
@@ -39,8 +40,12 @@ def join_with_product(
     A product listed more than once yields a line per listing. ``dedup`` first drops
     listings that agree in every attribute; those that differ, in price say, remain.
     """
-    listings = products_df.select("product_id", *attributes)
-    return orders_df.join(listings.dropDuplicates() if dedup else listings, "product_id", how)
+    return _attach(orders_df, products_df, "product_id", attributes, how, dedup)
+
+
+def _attach(facts, dimension, key, attributes, how, dedup) -> DataFrame:
+    rows = dimension.select(key, *attributes)
+    return facts.join(rows.dropDuplicates() if dedup else rows, key, how)
 
 
 def orphan_keys(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -28,19 +28,19 @@ def common_values(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.distinct().intersect(right.distinct())
 
 
-def keep_latest(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]
-) -> DataFrame:
-    """One row per key: the one that sorts last by ``order_by``.
+def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """One row per key: the one with the greatest ``order_by`` values, null being least.
 
-    Spark limits each key to one row within a task before the shuffle, so a key that
-    holds a third of all rows costs one row per task. Rows with a null in the key match
-    nothing and are all kept.
+    Remaining columns break ties, so the same row wins on every run. This is a maximum
+    and no window: each task keeps one row per key before the shuffle, also where a join
+    below has left the rows partitioned already, so a key holding a third of all rows
+    costs one row per task. Rows with a null in the key match nothing and are all kept.
     """
-    latest_first = [F.desc(c) if isinstance(c, str) else c.desc() for c in order_by]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*latest_first))
+    rest = [name for name in df.columns if name not in keys and name not in order_by]
+    ranked = [name for name in order_by if name not in keys] + rest
     complete = reduce(Column.__and__, [F.col(key).isNotNull() for key in keys])
-    chosen = df.where(complete).withColumn("__rank", rank).where("__rank = 1").drop("__rank")
+    best = df.where(complete).groupBy(*keys).agg(F.max(F.struct(*ranked)).alias("best"))
+    chosen = best.select(*keys, "best.*").select(*df.columns)
     return chosen.unionByName(df.where(~complete))
 
 

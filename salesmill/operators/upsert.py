@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
@@ -67,7 +67,7 @@ def stage_source(
     keys: Sequence[str],
     location: Sequence[str] = (),
     on_duplicate: str = "error",
-    order_by: Sequence[str | Column] = (),
+    order_by: Sequence[str] = (),
 ) -> StagedSource:
     """Write the source out and find what it touches, reading keys of the target only.
 
@@ -75,14 +75,14 @@ def stage_source(
     looks at it several times.
     """
     keys = list(keys)
-    if on_duplicate == "latest":
-        if not order_by:
-            raise ValueError('on_duplicate="latest" needs order_by')
-        source = keep_latest(source, keys, order_by)
-    elif on_duplicate != "error":
+    if on_duplicate not in ("error", "latest"):
         raise ValueError(f"unknown on_duplicate: {on_duplicate}")
+    if on_duplicate == "latest" and not order_by:
+        raise ValueError('on_duplicate="latest" needs order_by')
 
     rows = stage(_shape_like(target, source), "upsert-rows")
+    if on_duplicate == "latest":
+        rows = stage(keep_latest(rows, keys, order_by), "upsert-latest")
     claims = stage(
         rows.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("claims")),
         "upsert-claims",
@@ -109,12 +109,12 @@ def upsert(
     source: DataFrame,
     keys: Sequence[str],
     on_duplicate: str = "error",
-    order_by: Sequence[str | Column] = (),
+    order_by: Sequence[str] = (),
 ) -> DataFrame:
     """Target rows with the source upserted.
 
-    ``on_duplicate="latest"`` first reduces the source to the row of each key that sorts
-    last by ``order_by``. Runs jobs: the source and its keys are written to the shared
+    ``on_duplicate="latest"`` first reduces the source to the row of each key with the
+    greatest ``order_by`` values. Runs jobs: the source and its keys are written to the shared
     scratch folder.
     """
     return stage_source(target, source, keys, (), on_duplicate, order_by).merge_into(target)

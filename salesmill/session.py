@@ -10,6 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
 
+# What the plans rely on. Forcing the skew rule matters where an aggregation reuses the
+# partitioning of the join below it: unforced, Spark would rather leave a hot key in one
+# task than add a shuffle.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
 
 @dataclass(frozen=True)
 class Layers:
@@ -47,12 +57,7 @@ def get_spark_session(
     shuffle is cut into pieces of about 128 MB; adaptive execution then merges the
     small ones and splits the skewed ones. Memory and cores stay deployment settings.
     """
-    builder = (
-        SparkSession.builder.appName(app_name)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-    )
+    builder = SparkSession.builder.appName(app_name)
     if input_bytes:
         pieces = max(200, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
         builder = builder.config(
@@ -60,11 +65,18 @@ def get_spark_session(
         )
     for key, value in (conf or {}).items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
+    spark = configure(builder.getOrCreate())
     layers.create(spark)
     return spark
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Give a session that was made elsewhere the settings the plans rely on."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under the cluster's shared ``spark.checkpoint.dir``.
 

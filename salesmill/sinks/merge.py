@@ -75,7 +75,7 @@ def merge_table(
     partition_by: Sequence[str] = (),
     table_format: str = "parquet",
     on_duplicate: str = "error",
-    order_by: Sequence[str | Column] = (),
+    order_by: Sequence[str] = (),
 ) -> None:
     """Upsert ``df`` into ``table``, creating it on the first load.
 

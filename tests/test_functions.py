@@ -1,0 +1,90 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+import salesmill as sm
+from salesmill.functions import day_first_date, day_first_parts, email_domain, email_validity
+
+
+def values(spark, texts, column):
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, x string")
+    return [r["v"] for r in rows.select("i", column.alias("v")).orderBy("i").collect()]
+
+
+def test_day_first_dates_padded_or_not(spark):
+    got = values(spark, ["21/8/2016", "01/12/2016", "1/1/2017"], day_first_date("x"))
+    assert got == [dt.date(2016, 8, 21), dt.date(2016, 12, 1), dt.date(2017, 1, 1)]
+
+
+@pytest.mark.parametrize(
+    "text", ["31/2/2016", "8/13/2016", "1/1/16", "", "1/1/2016 ", "2016-01-01", "123/8/2016", "1/1", None]
+)
+def test_malformed_dates_are_null_and_do_not_raise(spark, text):
+    assert values(spark, [text], day_first_date("x")) == [None]
+
+
+def test_date_parts(spark):
+    parts = day_first_parts("x")
+    texts = ["5/8/2016", "2016-08-05", None]
+    assert values(spark, texts, parts["day"])[0] == "05"
+    assert values(spark, texts, parts["month"]) == ["08", None, None]
+    assert values(spark, texts, parts["padded"]) == ["05-08-2016", None, None]
+
+
+def test_email(spark):
+    texts = ["john@example.com", "jane@test.org", "invalid-email", None, "a@b@c.com", "a@b", "", "x@"]
+    assert values(spark, texts, email_domain("x")) == [
+        "example.com", "test.org", None, None, "b@c.com", "b", None, None
+    ]
+    assert values(spark, texts, email_validity("x")) == ["Yes", "Yes", "No", "No", "No", "No", "No", "No"]
+
+
+def test_profit_has_exactly_two_decimals(spark):
+    amounts = [123.456, 99.995, -50.123, 100.001, 1.005, -1.005, None]
+    df = spark.createDataFrame([(i, a) for i, a in enumerate(amounts)], "i int, source_profit double")
+    got = sm.round_profit_to_2_decimals(df).orderBy("i")
+    assert dict(got.dtypes)["profit"] == "decimal(10,2)"
+    assert [r["profit"] for r in got.collect()] == [
+        Decimal("123.46"), Decimal("100.00"), Decimal("-50.12"), Decimal("100.00"),
+        Decimal("1.01"), Decimal("-1.01"), None,
+    ]
+
+
+def test_direct_cast_rounds_as_round_does(spark):
+    df = spark.range(20000).select(((F.col("id") * 7919 % 200003 - 100000) / 1000.0).alias("source_profit"))
+    both = sm.round_profit_to_2_decimals(df)
+    twice = F.round("source_profit", 2).cast("decimal(10,2)")
+    assert both.where(F.col("profit") != twice).count() == 0
+
+
+def test_profit_too_large_raises(spark):
+    df = spark.createDataFrame([(1e9,)], "source_profit double")
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        sm.round_profit_to_2_decimals(df).collect()
+
+
+def test_calendar_fields(spark):
+    df = spark.createDataFrame([(dt.date(2023, 3, 15),), (dt.date(2023, 12, 1),), (None,)], "order_date date")
+    got = [tuple(r)[1:] for r in sm.add_date_fields(df).collect()]
+    assert got == [(2023, 3, 1), (2023, 12, 4), (None, None, None)]
+
+
+def test_days_to_ship(spark):
+    day = dt.date
+    df = spark.createDataFrame(
+        [(day(2023, 1, 1), day(2023, 1, 5)), (day(2023, 1, 1), None), (day(2023, 1, 5), day(2023, 1, 1))],
+        "order_date date, ship_date date",
+    )
+    assert [r["days_to_ship"] for r in sm.calculate_days_to_ship(df).collect()] == [4, None, -4]
+
+
+def test_sums_do_not_depend_on_row_order(spark):
+    prices = [0.1] * 1000 + [1e9] + [0.2] * 1000 + [-1e9]
+    columns = ("order_year int, category string, sub_category string, customer_id string, "
+               "customer_name string, country string, profit double, price double, order_id string")
+    df = spark.createDataFrame([(2020, "a", "b", "c", "d", "e", p, p, "o") for p in prices], columns)
+    for shuffled in (df, df.repartition(7), df.orderBy("price")):
+        row = sm.create_profit_aggregate(shuffled).first()
+        assert (row["total_profit"], row["total_sales"]) == (Decimal("300.00"), Decimal("300.00"))

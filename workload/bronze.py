@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesmill import stage
+
 # The increment overlaps the history: lines in between are updates, later ones new.
 INCREMENT_FROM = "1998-07-01"
 HISTORY_UNTIL = "1999-07-01"
@@ -137,13 +139,13 @@ def order_date_spellings(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "orders").select("o_orderkey", spelled.alias("order_date_text"))
 
 
-def history_and_increment(
-    spark: SparkSession, folder: str, enriched: DataFrame
-) -> tuple[DataFrame, DataFrame]:
+def history_and_increment(enriched: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split enriched lines by order date into a first load and an overlapping later one.
 
     In the later load every line has one more piece, so updates can be told from the rest.
+    The enriched lines are written out first, as the silver table they stand for.
     """
+    enriched = stage(enriched, "orders-enriched")
     history = enriched.where(F.col("order_date") < F.lit(HISTORY_UNTIL).cast("date"))
     increment = enriched.where(F.col("order_date") >= F.lit(INCREMENT_FROM).cast("date"))
     return history, increment.withColumn("quantity", F.col("quantity") + 1)

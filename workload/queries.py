@@ -173,20 +173,20 @@ def upsert_products(d: Data) -> DataFrame:
 
 @query
 def upsert_orders(d: Data) -> DataFrame:
-    history, increment = bronze.history_and_increment(d.spark, d.folder, d.orders_silver)
+    history, increment = bronze.history_and_increment(d.orders_silver)
     return sm.upsert(history, increment, sm.ORDER_KEYS, "latest", increment.columns)
 
 
 @query
 def upsert_orders_by_row(d: Data) -> DataFrame:
-    history, increment = bronze.history_and_increment(d.spark, d.folder, d.orders_inner)
+    history, increment = bronze.history_and_increment(d.orders_inner)
     keys = ["row_id", *sm.ORDER_KEYS]
     return sm.upsert(history, increment, keys, "latest", increment.columns)
 
 
 @query
 def upsert_orders_table(d: Data) -> DataFrame:
-    history, increment = bronze.history_and_increment(d.spark, d.folder, d.orders_silver)
+    history, increment = bronze.history_and_increment(d.orders_silver)
     sm.save_silver_table(d.spark, history, "orders_enriched", sm.ORDER_PARTITIONS, layers=d.layers)
     sm.merge_table(
         d.spark, increment, f"{d.layers.silver}.orders_enriched", sm.ORDER_KEYS,
