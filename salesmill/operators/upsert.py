@@ -28,7 +28,7 @@ class AmbiguousSourceError(ValueError):
 class StagedSource:
     """A source written out, with its distinct keys and which of them the target holds.
 
-    ``claims``: each non-null key and how many source rows carry it.
+    ``claims``: each non-null key of the source, once.
     ``matched``: each claimed key the target holds, by ``location`` columns of the target
     (its partitions, if any), and how many target rows carry it there.
     """
@@ -45,7 +45,7 @@ class StagedSource:
         neither can be skewed, and adaptive execution is free to split the target.
         """
         keys = list(self.keys)
-        untouched = target.join(self.claims.select(*keys), keys, "left_anti")
+        untouched = target.join(self.claims, keys, "left_anti")
         repeated = self.matched.groupBy(*keys).agg(F.sum("copies").alias("copies")).where("copies > 1")
         parts = [untouched.select(*target.columns)]
         if repeated.isEmpty():
@@ -82,11 +82,12 @@ def stage_source(
 
     rows = stage(_shape_like(target, source), "upsert-rows")
     if on_duplicate == "latest":
+        # Each key is held once now, so its rows are their own claims.
         rows = stage(keep_latest(rows, keys, order_by), "upsert-latest")
-    claims = stage(
-        rows.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("claims")),
-        "upsert-claims",
-    )
+        claims = rows.select(*keys).dropna()
+    else:
+        counted = rows.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("claims"))
+        claims = stage(counted, "upsert-claims")
     held_at = list(dict.fromkeys([*keys, *location]))
     matched = stage(
         target.select(*held_at)
@@ -95,13 +96,9 @@ def stage_source(
         .agg(F.count(F.lit(1)).alias("copies")),
         "upsert-matched",
     )
-    ambiguous = claims.where("claims > 1").join(matched.select(*keys), keys, "left_semi")
-    examples = ambiguous.select(*keys).head(5)
-    if examples:
-        raise AmbiguousSourceError(
-            f"several source rows for one target row, e.g. {[tuple(row) for row in examples]}"
-        )
-    return StagedSource(tuple(keys), rows, claims, matched)
+    if on_duplicate == "error":
+        _refuse_ambiguous(claims, matched, keys)
+    return StagedSource(tuple(keys), rows, claims.select(*keys), matched)
 
 
 def upsert(
@@ -120,6 +117,15 @@ def upsert(
     return stage_source(target, source, keys, (), on_duplicate, order_by).merge_into(target)
 
 
+def _refuse_ambiguous(claims: DataFrame, matched: DataFrame, keys: list[str]) -> None:
+    several = claims.where("claims > 1").join(matched.select(*keys), keys, "left_semi")
+    examples = several.select(*keys).head(5)
+    if examples:
+        raise AmbiguousSourceError(
+            f"several source rows for one target row, e.g. {[tuple(row) for row in examples]}"
+        )
+
+
 def _shape_like(target: DataFrame, source: DataFrame) -> DataFrame:
     """Source columns by name, in the target's order and types."""
     missing = [name for name in target.columns if name not in source.columns]
