@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
 
@@ -127,8 +128,8 @@ def _rewrite_partitions(
     )
     if not touched:
         return
-    affected = reduce(Column.__or__, [_in_partition(row, partition_by) for row in touched])
-    folder = write_load(spark, staged.merge_into(target.where(affected)), table, partition_by)
+    affected = target.where(_in_partitions(touched, partition_by))
+    folder = write_load(spark, staged.merge_into(affected), table, partition_by)
     written = spark.read.schema(target.schema).parquet(folder).select(*partition_by).distinct()
     kept = {tuple(row) for row in written.collect()}
     # New rows first: a row that moves is for a moment in both places, never in none.
@@ -142,5 +143,18 @@ def _rewrite_partitions(
         spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{folder}/{place}'")
 
 
-def _in_partition(row: Row, partition_by: list[str]) -> Column:
-    return reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_by])
+def _in_partitions(rows: list[Row], partition_by: list[str]) -> Column:
+    """A filter the scan can prune by; one term for each value of the outer columns."""
+    *outer, last = partition_by
+    inner_values = defaultdict(list)
+    for row in rows:
+        inner_values[tuple(row[c] for c in outer)].append(row[last])
+    terms = []
+    for prefix, values in inner_values.items():
+        term = F.col(last).isin([v for v in values if v is not None])
+        if None in values:
+            term = term | F.col(last).isNull()
+        for name, value in zip(outer, prefix):
+            term = F.col(name).eqNullSafe(F.lit(value)) & term
+        terms.append(term)
+    return reduce(Column.__or__, terms)

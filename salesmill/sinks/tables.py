@@ -70,7 +70,11 @@ def save_table(
         (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
         return
     folder = write_load(spark, df, table, partition_by)
-    columns = _stored_schema(df, partition_by).toDDL()
+    schema = _stored_schema(df, partition_by)
+    if exists and not partition_by and _can_be_pointed_at(spark, table, schema):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+        return
+    columns = schema.toDDL()
     layout = f"PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if partition_by else ""
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {layout} LOCATION '{folder}'")
@@ -78,6 +82,20 @@ def save_table(
         spark.sql(f"MSCK REPAIR TABLE {table}")
 
 
+def _can_be_pointed_at(spark: SparkSession, table: str, schema: StructType) -> bool:
+    """Whether the stored table differs in nothing but its rows."""
+    described = {
+        row["col_name"]: row["data_type"]
+        for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    }
+    partitioned = "# Partition Information" in described
+    return (
+        described.get("Provider") == "parquet"
+        and not partitioned
+        and _stored_schema(spark.table(table), ()) == schema
+    )
+
+
 def gather_partitions(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Bring rows of one table partition together, so that it gets few, full files.
 

@@ -217,3 +217,19 @@ def test_session_and_scratch_folder(spark, session_conf, tmp_path):
     assert {"bronze", "silver", "gold"} <= {d.name for d in spark.catalog.listDatabases()}
     shared = spark.conf.get("spark.checkpoint.dir")
     assert sm.scratch_folder(spark, "x").startswith(f"{shared}/x-")
+
+
+def test_a_reload_keeps_the_table_and_changes_its_folder(spark, layers, products):
+    def describe():
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {layers.bronze}.t").collect()
+        return {r["col_name"]: r["data_type"] for r in rows}
+
+    sm.save_bronze_table(spark, products, "t", layers=layers)
+    first = describe()
+    sm.save_bronze_table(spark, products.limit(1), "t", layers=layers)
+    second = describe()
+    assert first["Created Time"] == second["Created Time"] and first["Location"] != second["Location"]
+    assert sm.load_bronze_table(spark, "t", layers).count() == 1
+    sm.save_silver_table(spark, products, "t", ["State"], layers=layers)
+    sm.save_silver_table(spark, products.limit(2), "t", layers=layers)
+    assert sm.load_silver_table(spark, "t", layers).columns == products.columns
