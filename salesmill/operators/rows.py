@@ -36,12 +36,17 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) ->
     below has left the rows partitioned already, so a key holding a third of all rows
     costs one row per task. Rows with a null in the key match nothing and are all kept.
     """
-    rest = [name for name in df.columns if name not in keys and name not in order_by]
-    ranked = [name for name in order_by if name not in keys] + rest
     complete = reduce(Column.__and__, [F.col(key).isNotNull() for key in keys])
-    best = df.where(complete).groupBy(*keys).agg(F.max(F.struct(*ranked)).alias("best"))
-    chosen = best.select(*keys, "best.*").select(*df.columns)
-    return chosen.unionByName(df.where(~complete))
+    best = best_of_key(df.where(complete), keys, order_by)
+    return best.unionByName(df.where(~complete))
+
+
+def best_of_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """``keep_latest`` for rows whose key has no null."""
+    ranked = [name for name in order_by if name not in keys]
+    rest = [name for name in df.columns if name not in keys and name not in ranked]
+    best = df.groupBy(*keys).agg(F.max(F.struct(*ranked, *rest)).alias("best"))
+    return best.select(*keys, "best.*").select(*df.columns)
 
 
 def sample(df: DataFrame, columns: Iterable[str], order_by: Sequence[str], rows: int) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .rows import keep_latest
+from .rows import best_of_key
 
 
 class AmbiguousSourceError(ValueError):
@@ -80,14 +80,11 @@ def stage_source(
     if on_duplicate == "latest" and not order_by:
         raise ValueError('on_duplicate="latest" needs order_by')
 
-    rows = stage(_shape_like(target, source), "upsert-rows")
-    if on_duplicate == "latest":
-        # Each key is held once now, so its rows are their own claims.
-        rows = stage(keep_latest(rows, keys, order_by), "upsert-latest")
-        claims = rows.select(*keys).dropna()
-    else:
-        counted = rows.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("claims"))
-        claims = stage(counted, "upsert-claims")
+    rows = stage(_shape_like(target, source, order_by), "upsert-rows")
+    claims = stage(
+        rows.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("claims")),
+        "upsert-claims",
+    )
     held_at = list(dict.fromkeys([*keys, *location]))
     matched = stage(
         target.select(*held_at)
@@ -98,6 +95,8 @@ def stage_source(
     )
     if on_duplicate == "error":
         _refuse_ambiguous(claims, matched, keys)
+    else:
+        rows = _reduce_to_latest(rows, claims, keys, order_by)
     return StagedSource(tuple(keys), rows, claims.select(*keys), matched)
 
 
@@ -126,11 +125,24 @@ def _refuse_ambiguous(claims: DataFrame, matched: DataFrame, keys: list[str]) ->
         )
 
 
-def _shape_like(target: DataFrame, source: DataFrame) -> DataFrame:
-    """Source columns by name, in the target's order and types."""
+def _reduce_to_latest(
+    rows: DataFrame, claims: DataFrame, keys: list[str], order_by: Sequence[str]
+) -> DataFrame:
+    """One row per key; only rows of keys that occur several times are moved to choose."""
+    several = claims.where("claims > 1").select(*keys)
+    if several.isEmpty():
+        return rows
+    several = stage(several, "upsert-several")
+    best = best_of_key(rows.join(several, keys, "left_semi"), keys, order_by)
+    return rows.join(several, keys, "left_anti").unionByName(stage(best, "upsert-latest"))
+
+
+def _shape_like(target: DataFrame, source: DataFrame, also: Sequence[str]) -> DataFrame:
+    """Source columns by name, in the target's order and types, and those to choose by."""
     missing = [name for name in target.columns if name not in source.columns]
     if missing:
         raise ValueError(f"source lacks target columns: {missing}")
+    extra = [name for name in also if name not in target.columns]
     return source.select(
-        *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in target.schema.fields]
+        *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in target.schema.fields], *extra
     )

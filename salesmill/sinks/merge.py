@@ -132,15 +132,17 @@ def _rewrite_partitions(
     folder = write_load(spark, staged.merge_into(affected), table, partition_by)
     written = spark.read.schema(target.schema).parquet(folder).select(*partition_by).distinct()
     kept = {tuple(row) for row in written.collect()}
+    known = {row[0] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
     # New rows first: a row that moves is for a moment in both places, never in none.
     for row in sorted(touched, key=lambda r: tuple(r) not in kept):
         spec = ", ".join(f"{quoted(c)} = {'null' if row[c] is None else row[c]}" for c in partition_by)
+        place = "/".join(f"{c}={NULL_PARTITION if row[c] is None else row[c]}" for c in partition_by)
         if tuple(row) not in kept:
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
-            continue
-        place = "/".join(f"{c}={NULL_PARTITION if row[c] is None else row[c]}" for c in partition_by)
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{folder}/{place}'")
-        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{folder}/{place}'")
+        elif place in known:
+            spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{folder}/{place}'")
+        else:
+            spark.sql(f"ALTER TABLE {table} ADD PARTITION ({spec}) LOCATION '{folder}/{place}'")
 
 
 def _in_partitions(rows: list[Row], partition_by: list[str]) -> Column:

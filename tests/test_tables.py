@@ -233,3 +233,12 @@ def test_a_reload_keeps_the_table_and_changes_its_folder(spark, layers, products
     sm.save_silver_table(spark, products, "t", ["State"], layers=layers)
     sm.save_silver_table(spark, products.limit(2), "t", layers=layers)
     assert sm.load_silver_table(spark, "t", layers).columns == products.columns
+
+
+def test_formats_with_a_merge_of_their_own_get_one(spark, layers):
+    """No such format is installed; Spark resolves the statement and names what it lacks."""
+    table = f"{layers.silver}.t"
+    df = spark.createDataFrame([("a", 1)], "k string, v int")
+    sm.save_table(spark, df, table)
+    with pytest.raises(Exception, match="MERGE INTO TABLE"):
+        sm.merge_table(spark, df, table, ["k"], table_format="delta")

@@ -103,3 +103,13 @@ def test_bad_options_are_refused(spark):
         sm.upsert(t, t, ["k1"], "latest")
     with pytest.raises(ValueError, match="first"):
         sm.upsert(t, t, ["k1"], "first")
+
+
+def test_latest_may_be_chosen_by_a_column_the_target_lacks(spark):
+    t = spark.createDataFrame([("a", 1, "old"), ("b", 1, "old")], COLUMNS)
+    s = spark.createDataFrame(
+        [("a", 1, "x", 2), ("a", 1, "y", 1), ("c", 1, "p", 1), ("c", 1, "q", 5)], COLUMNS + ", seen int"
+    )
+    merged = sm.upsert(t, s, ["k1", "k2"], "latest", ["seen"])
+    assert merged.columns == t.columns
+    assert rows(merged) == [("a", 1, "x"), ("b", 1, "old"), ("c", 1, "q")]
