@@ -12,7 +12,7 @@ from pyspark.sql.types import IntegralType
 
 from ..operators.rows import keep_latest
 from ..operators.upsert import StagedSource, stage_source
-from ..session import LAYERS, Layers
+from ..session import LAYERS, Layers, stage
 from .tables import quoted, save_table, write_load
 
 CUSTOMER_KEYS = ("customer_id", "customer_name")
@@ -85,15 +85,16 @@ def merge_table(
     one step, or dropped if its last row moved away. A merge that stops half way is
     completed by running it again.
     """
-    if not spark.catalog.tableExists(table):
-        first = keep_latest(df, keys, order_by) if on_duplicate == "latest" else df
-        save_table(spark, first, table, partition_by, "overwrite", table_format)
+    exists = spark.catalog.tableExists(table)
+    if on_duplicate == "latest" and not (exists and table_format == "parquet"):
+        df = keep_latest(stage(df, "merge-rows"), keys, order_by)
+    if not exists:
+        save_table(spark, df, table, partition_by, "overwrite", table_format)
         return
     if table_format in MERGE_FORMATS:
-        source = keep_latest(df, keys, order_by) if on_duplicate == "latest" else df
         same_key = " AND ".join(f"{table}.{quoted(k)} = source.{quoted(k)}" for k in keys)
         (
-            source.alias("source")
+            df.alias("source")
             .mergeInto(table, F.expr(same_key))
             .whenMatched().updateAll()
             .whenNotMatched().insertAll()

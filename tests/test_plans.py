@@ -152,12 +152,3 @@ def test_checks_of_one_table_share_a_scan(spark, products):
     df = sm.stage(products, "products")
     assert planned(sm.null_report(df, df.columns, "products")).count("FileScan") == 1
     assert planned(sm.uniqueness_report(df, ["Product ID"], "products")).count("FileScan") == 1
-
-
-def test_no_query_leaves_the_jvm_or_multiplies_rows(spark, session_conf):
-    session_conf({"spark.sql.autoBroadcastJoinThreshold": "-1"})
-    for name, query in QUERIES.items():
-        plan = planned(query(Data(spark, FOLDER)))
-        for node in ("Python", "Pandas", "ArrowEval", "CartesianProduct", "BroadcastNestedLoopJoin"):
-            assert node not in plan, f"{name}: {node}"
-        assert "ExistingRDD" not in plan, name
