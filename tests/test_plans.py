@@ -152,3 +152,11 @@ def test_checks_of_one_table_share_a_scan(spark, products):
     df = sm.stage(products, "products")
     assert planned(sm.null_report(df, df.columns, "products")).count("FileScan") == 1
     assert planned(sm.uniqueness_report(df, ["Product ID"], "products")).count("FileScan") == 1
+
+
+def test_a_small_source_does_not_move_the_target(spark):
+    target = sm.stage(Data(spark, FOLDER).orders_silver, "target")
+    source = sm.stage(target.limit(5).withColumn("quantity", F.lit(9)), "source")
+    merged = sm.upsert(target, source, sm.ORDER_KEYS, "latest", ["quantity"])
+    plan = executed(merged)
+    assert re.search(r"BroadcastHashJoin .*LeftAnti", plan) and "Exchange hashpartitioning" not in plan

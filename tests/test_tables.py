@@ -242,3 +242,10 @@ def test_formats_with_a_merge_of_their_own_get_one(spark, layers):
     sm.save_table(spark, df, table)
     with pytest.raises(Exception, match="MERGE INTO TABLE"):
         sm.merge_table(spark, df, table, ["k"], table_format="delta")
+
+
+def test_first_load_may_be_reduced_to_the_latest_rows_too(spark, layers):
+    twice = lines(spark, ("O1", "C", "P", 2020, 1, 2), ("O1", "C", "P", 2020, 1, 3), (None, "C", "P", 2020, 1, 1))
+    sm.merge_silver_orders(spark, twice, layers=layers, on_duplicate="latest", order_by=["quantity"])
+    got = sm.load_silver_table(spark, "orders_enriched", layers)
+    assert sorted(r["quantity"] for r in got.collect()) == [1, 3]
