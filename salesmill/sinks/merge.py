@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
+from pyspark.sql.types import IntegralType, StructType
 
 from ..operators.rows import keep_latest
 from ..operators.upsert import StagedSource, stage_source
@@ -82,8 +82,13 @@ def merge_table(
 
     On a Parquet table only the partitions a merge touches are rewritten: those of the
     source rows and those holding a row they match. Each is pointed at its new folder in
-    one step, or dropped if its last row moved away. A merge that stops half way is
-    completed by running it again.
+    one step, or dropped if its last row moved away.
+
+    A merge that stops half way is completed by running it again. So that no row is then
+    found in two places, partitions that rows leave are first pointed at what stays in
+    them. (Should the target hold a key several times and its rows be moving, the second
+    run leaves one of them.) Partitions by other than whole numbers are not rewritten
+    singly; there the table is replaced as a whole.
     """
     exists = spark.catalog.tableExists(table)
     if on_duplicate == "latest" and not (exists and table_format == "parquet"):
@@ -130,15 +135,44 @@ def _rewrite_partitions(
     if not touched:
         return
     affected = target.where(_in_partitions(touched, partition_by))
-    folder = write_load(spark, staged.merge_into(affected), table, partition_by)
-    written = spark.read.schema(target.schema).parquet(folder).select(*partition_by).distinct()
-    kept = {tuple(row) for row in written.collect()}
+    merged = write_load(spark, staged.merge_into(affected), table, partition_by)
+    left = _partitions_rows_leave(staged, partition_by)
+    if left:
+        vacated = target.where(_in_partitions(left, partition_by))
+        vacated = vacated.join(staged.claims, list(staged.keys), "left_anti").select(*target.columns)
+        emptied = write_load(spark, vacated, table, partition_by)
+        _point_partitions(spark, table, left, emptied, target.schema, partition_by)
+    _point_partitions(spark, table, touched, merged, target.schema, partition_by)
+
+
+def _partitions_rows_leave(staged: StagedSource, partition_by: list[str]) -> list[Row]:
+    """Partitions holding a row that the source puts into another one."""
+    keys = list(staged.keys)
+    places = [c for c in partition_by if c not in keys]
+    if not places:
+        return []
+    goes_to = staged.rows.select(*keys, *[F.col(c).alias(f"__to_{c}") for c in places])
+    stays = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__to_{c}")) for c in places])
+    moved = staged.matched.join(goes_to, keys).where(~stays)
+    return moved.select(*partition_by).distinct().collect()
+
+
+def _point_partitions(
+    spark: SparkSession,
+    table: str,
+    partitions: list[Row],
+    folder: str,
+    schema: StructType,
+    partition_by: list[str],
+) -> None:
+    """Point partitions at their part of a load, and drop those it has no row for."""
+    written = spark.read.schema(schema).parquet(folder).select(*partition_by).distinct()
+    filled = {tuple(row) for row in written.collect()}
     known = {row[0] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    # New rows first: a row that moves is for a moment in both places, never in none.
-    for row in sorted(touched, key=lambda r: tuple(r) not in kept):
+    for row in partitions:
         spec = ", ".join(f"{quoted(c)} = {'null' if row[c] is None else row[c]}" for c in partition_by)
         place = "/".join(f"{c}={NULL_PARTITION if row[c] is None else row[c]}" for c in partition_by)
-        if tuple(row) not in kept:
+        if tuple(row) not in filled:
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
         elif place in known:
             spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{folder}/{place}'")
