@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash, token_files
+from . import sentence_pieces, simhash, token_files
 from .common import read_table
 
 
@@ -22,9 +22,18 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return sentence_pieces.encode_pieces(
+        read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
 QUERIES = {
     "op3_token_files": op3_token_files,
     "op4_simhash": op4_simhash,
+    "op9_sentencepiece": op9_sentencepiece,
 }
 
 ORACLES: dict[str, str] = {}
