@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sentence_pieces, simhash, token_files
+from . import sentence_pieces, simhash, tiling, token_files
 from .common import read_table
 
 
@@ -22,6 +22,14 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaks alone: a document that is in no row is clean."""
+    documents, benchmark = (read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return tiling.find_leaks(documents, benchmark).select(
+        "doc_id", "item_id", "item_words", "covered", "coverage", F.size("tiles").alias("n_tiles")
+    )
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -33,6 +41,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_token_files": op3_token_files,
     "op4_simhash": op4_simhash,
+    "op7_decontaminate": op7_decontaminate,
     "op9_sentencepiece": op9_sentencepiece,
 }
 
