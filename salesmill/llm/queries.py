@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sentence_pieces, simhash, tiling, token_files
+from . import sentence_pieces, simhash, tiling, token_files, toxicity
 from .common import read_table
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return toxicity.score_toxicity(documents, toxicity.fit(documents, labels))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -39,6 +44,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op3_token_files": op3_token_files,
     "op4_simhash": op4_simhash,
     "op7_decontaminate": op7_decontaminate,
