@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sentence_pieces, simhash, tiling, token_files, toxicity
+from . import sentence_pieces, shards, simhash, tiling, token_files, toxicity
 from .common import read_table
 
 
@@ -27,6 +27,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_shuffled_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.shard_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The leaks alone: a document that is in no row is clean."""
     documents, benchmark = (read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
@@ -47,6 +51,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_token_files": op3_token_files,
     "op4_simhash": op4_simhash,
+    "op5_shuffled_shards": op5_shuffled_shards,
     "op7_decontaminate": op7_decontaminate,
     "op9_sentencepiece": op9_sentencepiece,
 }
