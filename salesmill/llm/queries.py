@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sentence_pieces, shards, simhash, tiling, token_files, toxicity
+from . import quality, sentence_pieces, shards, simhash, tiling, token_files, toxicity
 from .common import read_table
 
 
@@ -31,6 +31,11 @@ def op5_shuffled_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return quality.judge_quality(documents, labels)
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The leaks alone: a document that is in no row is clean."""
     documents, benchmark = (read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
@@ -52,6 +57,7 @@ QUERIES = {
     "op3_token_files": op3_token_files,
     "op4_simhash": op4_simhash,
     "op5_shuffled_shards": op5_shuffled_shards,
+    "op6_quality": op6_quality,
     "op7_decontaminate": op7_decontaminate,
     "op9_sentencepiece": op9_sentencepiece,
 }
