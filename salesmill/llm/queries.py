@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, sentence_pieces, shards, simhash, tiling, token_files, toxicity
+from . import quality, secrets, sentence_pieces, shards, simhash, tiling, token_files, toxicity
 from .common import read_table
 
 
@@ -44,6 +44,10 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -59,7 +63,8 @@ QUERIES = {
     "op5_shuffled_shards": op5_shuffled_shards,
     "op6_quality": op6_quality,
     "op7_decontaminate": op7_decontaminate,
+    "op8_secrets": op8_secrets,
     "op9_sentencepiece": op9_sentencepiece,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_secrets": secrets.oracle()}
