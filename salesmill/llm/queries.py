@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, secrets, sentence_pieces, shards, simhash, tiling, token_files, toxicity
+from . import line_dedup, quality, secrets, sentence_pieces, shards, simhash, tiling, token_files, toxicity
 from .common import read_table
 
 
@@ -56,6 +56,12 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(read_table(spark, sf_dir, "documents")).select(
+        "row.doc_id", F.col("kept_text").alias("text"), "n_lines", "n_deleted"
+    )
+
+
 QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_token_files": op3_token_files,
@@ -65,6 +71,7 @@ QUERIES = {
     "op7_decontaminate": op7_decontaminate,
     "op8_secrets": op8_secrets,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLES: dict[str, str] = {"op8_secrets": secrets.oracle()}
