@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, quality, secrets, sentence_pieces, shards, simhash, tiling, token_files, toxicity
+from . import line_dedup, main_text, quality, secrets, sentence_pieces, shards, simhash, tiling, token_files, toxicity
 from .common import read_table
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract_main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
     return toxicity.score_toxicity(documents, toxicity.fit(documents, labels))
@@ -63,6 +67,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_main_text": op1_main_text,
     "op2_toxicity": op2_toxicity,
     "op3_token_files": op3_token_files,
     "op4_simhash": op4_simhash,
