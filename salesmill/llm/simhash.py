@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import slices, stage, texts_of
 from .components import connected_components
 
-WORDS = 4
+WORDS = 4            # of a shingle
 RADIUS = 4
 BITS = 64
 SEED = 42
@@ -192,9 +192,9 @@ def near_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
-    """Per row of ``docs(doc_id, text)``: ``doc_id, tie, fp, component_id``.
+    """Per row of ``docs(doc_id, text)``: ``doc_id, tie, fp, group, component_id``.
 
-    ``component_id`` is the smallest doc_id among all documents reachable by links. Null or
+    ``group`` is the smallest fingerprint (as a signed number) of the group, ``component_id`` is the smallest doc_id among all documents reachable by links. Null or
     empty texts have fingerprint zero. Rows with a null doc_id take part; a group of such
     rows only has a null component_id. Repeated rows give repeated results. No documents:
     no rows. Other columns are not read.
@@ -206,5 +206,31 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -
     rooted = nodes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     rooted = stage(rooted, "fingerprint-roots")
     groups = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stage(rooted.join(groups, "root").select("fp", "component_id"), "fingerprint-groups")
-    return prints.join(named, "fp").select("doc_id", "tie", "fp", "component_id")
+    named = stage(
+        rooted.join(groups, "root").select("fp", F.col("root").alias("group"), "component_id"), "fingerprint-groups"
+    )
+    return prints.join(named, "fp").select("doc_id", "tie", "fp", "group", "component_id")
+
+
+def one_of_each_group(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs``, all their columns: of each group of near duplicates one.
+
+    It is that with the smallest doc_id (null last), then the smallest hash of its text. Of
+    repeated rows one stays. Texts without words are one group.
+    """
+    found = near_duplicates(docs, words, radius)
+    chosen = stage(
+        found.groupBy("group").agg(
+            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), "tie")).alias("kept")
+        ).select("kept.id", "kept.tie"),
+        "group-representatives",
+    )
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("own_id"),
+        F.xxhash64("text").alias("own_tie"),
+    )
+    same = (F.col("own_tie") == F.col("tie")) & F.col("own_id").eqNullSafe(F.col("id"))
+    # Rows equal in id and text: any one of them, chosen within tasks first.
+    return rows.join(chosen, same, "left_semi").groupBy("own_id", "own_tie").agg(
+        F.first("row").alias("row")
+    ).select("row.*")
