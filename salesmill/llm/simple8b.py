@@ -30,12 +30,22 @@ def _bit_lengths(ids: np.ndarray) -> np.ndarray:
     return bits + (rest > 0).astype(np.uint8)
 
 
+AT_A_TIME = 1024 * BLOCK
+
+
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words of ``ids``, and for each block the word at which it starts."""
-    ids = np.asarray(ids, np.uint64)
+    words, starts, used = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], 0
+    for at in range(0, len(ids), AT_A_TIME):
+        some, first = _pack_blocks(np.asarray(ids[at:at + AT_A_TIME], np.uint64))
+        words.append(some)
+        starts.append(first + np.uint64(used))
+        used += len(some)
+    return np.concatenate(words), np.concatenate(starts)
+
+
+def _pack_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     blocks = -(-len(ids) // BLOCK)
-    if not blocks:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     grid = np.zeros((blocks, BLOCK), np.uint64)
     grid.reshape(-1)[: len(ids)] = ids
     sizes = np.full(blocks, BLOCK)

@@ -13,8 +13,10 @@ They are read back through Spark's ``binaryFile`` source, file by file.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -30,49 +32,60 @@ from .common import scratch_folder, slices, stage, texts_of
 
 MAGIC = b"S8TOKENS"
 END_ID = 2
-IDS_IN_FILE = 4_000_000
-CACHED_WORDS = 400_000
+IDS_IN_FILE = 2_000_000
+CACHED_PIECES = 700_000
+RANGE_BYTES = 64 << 20   # of text for a task: fewer, longer ranges repeat fewer pieces
 
 
-class WordCache:
-    """Ids of texts from a ``tokenizers`` tokenizer, each distinct word encoded once.
+class PieceCache:
+    """Ids of texts from a ``tokenizers`` tokenizer, each distinct piece encoded once.
 
-    A byte-level pre-tokenizer never joins a space to what precedes it, so a text may be
-    cut before every space that follows a visible character. Texts in which white space
-    precedes a space are cut at the other places only. What is cached is forgotten at
-    ``CACHED_WORDS`` words; that bounds memory and changes no result.
+    A byte-level pre-tokenizer cuts texts at changes between letters, digits, signs and white
+    space. Texts of Latin letters are cut here in the same way, others only before spaces
+    that follow a visible character, which no such tokenizer joins to what precedes them. What
+    is cached is forgotten at ``CACHED_PIECES``; that bounds memory and changes no result.
+    Tokenizers of another kind encode whole texts.
     """
 
     BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
+    LATIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*")
+    # The cuts of byte-level pre-tokenizers, for the characters of LATIN.
+    CUTS = re.compile(
+        r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-z0-9À-ÖØ-öø-ÿ]+|\s+(?!\S)|\s+"
+    )
 
     def __init__(self, tokenizer) -> None:
         self.tokenizer = tokenizer
-        self.known: dict[str, bytes | None] = {}
+        kind = json.loads(tokenizer.to_str())
+        first = kind["pre_tokenizer"] or {}
+        self.cuttable = kind["normalizer"] is None and (
+            first.get("type"), first.get("add_prefix_space"), first.get("use_regex")
+        ) == ("ByteLevel", False, True)
+        self.known: dict[str, bytes] = {}
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.asarray(x.ids, "<u4").tobytes() for x in found]
+        return [array("I", x.ids).tobytes() for x in found]
+
+    def _cut(self, text: str) -> list[str]:
+        return self.CUTS.findall(text) if self.LATIN.fullmatch(text) else self.BEFORE_SPACE.split(text)
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit numbers."""
-        if len(self.known) > CACHED_WORDS:
+        if not self.cuttable:
+            yield from self._encode(texts)
+            return
+        if len(self.known) > CACHED_PIECES:
             self.known.clear()
-        words = [text.split(" ") for text in texts]
-        new = set().union(*words).difference(self.known)
-        sound = [w for w in new if w and not w[-1].isspace()]
-        self.known.update(dict.fromkeys(new))
-        self.known.update(zip(sound, self._encode([" " + w for w in sound])))
-        firsts = self._encode([w[0] for w in words])
-        for text, parts, first in zip(texts, words, firsts):
-            rest = list(map(self.known.__getitem__, parts[1:]))
-            if rest and (None in rest or not parts[0] or parts[0][-1].isspace()):
-                yield b"".join(self._encode(self.BEFORE_SPACE.split(text)))
-            else:
-                yield first + b"".join(rest)
+        cut = list(map(self._cut, texts))
+        new = list(set().union(*cut).difference(self.known))
+        self.known.update(zip(new, self._encode(new)))
+        for pieces in cut:
+            yield b"".join(map(self.known.__getitem__, pieces))
 
 
 def file_bytes(doc_ids: list[int | None], encoded: list[bytes]) -> bytes:
-    ids = np.frombuffer(b"".join(encoded), "<u4").astype(np.uint64)
+    ids = np.frombuffer(b"".join(encoded), "<u4")
     words, starts = simple8b.pack(ids)
     head = np.array([len(doc_ids), len(ids), len(words), len(starts)], "<u8")
     return b"".join([
@@ -116,7 +129,7 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, folder: str, end_id:
 
         tokenizer = Tokenizer.from_file(tokenizer_file)
         tokenizer.encode_special_tokens = True
-        encode = WordCache(tokenizer)
+        encode = PieceCache(tokenizer)
         store, root = pa.fs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
         task = TaskContext.get()
@@ -131,7 +144,7 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, folder: str, end_id:
             store.move(draft, f"{root}/{name}")
             written.append((name, len(doc_ids), held))
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 1 << 20):
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(texts_of(batch.column("text")))):
                 doc_ids.append(doc_id)
                 encoded.append(ids + end)
@@ -147,9 +160,11 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, folder: str, end_id:
             ["file", "n_docs", "n_ids"],
         )
 
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // RANGE_BYTES))
     ordered = (
         docs.select(F.col("doc_id").cast("bigint"), "text", F.xxhash64("text").alias("tie"))
-        .repartitionByRange("doc_id", "tie")
+        .repartitionByRange(ranges, "doc_id", "tie")
         .sortWithinPartitions("doc_id", "tie")
         .select("doc_id", "text")
     )
