@@ -43,13 +43,15 @@ BASE_KINDS = {
     "hex": (r"[0-9a-f]+", 24, None, "secret"),
 }
 LEAST_ASSIGNED = 6   # characters of the value of ``assign``
+# What may precede a fixed character is of bounded length: long runs would be read again
+# from each of their characters.
 WEAK_KINDS = {
     "short": (_one_of("pwd", "pass", "pin", "passphrase") + _ASSIGNED + r"[!-~]{4,}", 0, None, "secret"),
     "key40": (r"[A-Za-z0-9/+=]{40,}", 40, 40, "secret"),
     "login": (_one_of("user", "username", "login", "client_?id", "account") + _ASSIGNED + r"[A-Za-z0-9._@-]{3,}",
               0, None, "identifier"),
-    "mail": (r"[A-Za-z0-9._+-]+@[A-Za-z0-9-]+[.][A-Za-z0-9.-]+", 0, None, "identifier"),
-    "address": (r"[a-z][a-z0-9+]*://[!-~]+", 0, None, "endpoint"),
+    "mail": (r"[A-Za-z0-9._+-]{1,64}@[A-Za-z0-9-]{1,63}[.][A-Za-z0-9.-]+", 0, None, "identifier"),
+    "address": (r"[a-z][a-z0-9+]{1,14}://[!-~]+", 0, None, "endpoint"),
     "host": (_one_of("host", "hostname", "server", "endpoint") + _ASSIGNED + r"[A-Za-z0-9._:-]{3,}",
              0, None, "endpoint"),
 }
