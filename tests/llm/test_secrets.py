@@ -1,0 +1,88 @@
+"""Secret spans: the query against SQL, the base kinds and the links against plain versions."""
+
+import hashlib
+import re
+
+import duckdb
+
+from salesmill.llm import secrets
+from salesmill.llm.queries import ORACLES, op8_secrets
+
+from .conftest import SMALL, by_id, texts
+
+PATTERNS = {
+    "assign": r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+    "access": r"AKIA[A-Z0-9]+",
+    "hex": r"[0-9a-f]+",
+}
+LEAST = {"access": 20, "hex": 24}
+
+
+def base_spans(text):
+    out = []
+    for k, (kind, pattern) in enumerate(PATTERNS.items()):
+        for m in re.finditer(pattern, text or ""):
+            if len(m[2]) >= 6 if kind == "assign" else len(m[0]) >= LEAST[kind]:
+                out.append((m.start(), k, kind, m.end()))
+    return sorted(out)
+
+
+def joined(spans):
+    return ",".join(f"{kind}:{start}:{stop}" for start, _, kind, stop in spans)
+
+
+KEY = "AKIA" + "ABCD2345" * 2
+SECRET = "wJalrXUtnFEMI/K7MDENG+bPxRfiCYzEXAMPLEKE"   # forty characters
+ODD = [
+    (1, f"é🙂 {KEY} then {SECRET}"), (2, f"alone {SECRET}"), (3, f"{KEY} {'far ' * 100} {SECRET}"),
+    (4, "user = bob\npwd: x1y2z3 and https://db.example.com/x"), (5, "https://db.example.com/x user=bob"),
+    (6, "pwd=abcd"), (7, None), (8, ""), (9, "token=token:abcdef1 Token = 'abc' TOKEN='abcdef'"),
+    (10, f"password={'0a' * 20} mail me at a.b@example.com"), (11, "secret: abcdefg"),
+    (11, "secret: abcdefg"), (None, f"api_key={KEY}"), (12, "token=abcdef " * 3000), (13, "f" * 70_000),
+]
+
+
+def test_query_agrees_with_sql(spark):
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
+    want = db.execute(ORACLES["op8_secrets"])
+    names = [d[0] for d in want.description]
+    rows = sorted(map(tuple, op8_secrets(spark, SMALL).select(*names).collect()))
+    assert rows == sorted(want.fetchall())
+
+
+def test_base_spans_like_plain_ones(spark, odd_docs):
+    more = spark.createDataFrame(ODD, "doc_id bigint, text string")
+    docs = odd_docs.select("doc_id", "text").unionByName(more)
+    got = by_id(secrets.secret_digest(docs), "n_assign", "n_access", "n_hex", "base_sha256")
+    want = {}
+    for doc_id, text in texts() + ODD:
+        spans = base_spans(text)
+        kinds = [s[2] for s in spans]
+        digest = hashlib.sha256(joined(spans).encode()).hexdigest()
+        want.setdefault(doc_id, []).append((*map(kinds.count, PATTERNS), digest))
+    assert got == {k: sorted(v, key=repr) for k, v in want.items()}
+
+
+def test_weak_parts_need_a_complement(spark):
+    docs = spark.createDataFrame(ODD, "doc_id bigint, text string")
+    spans = {r.doc_id: r.spans for r in secrets.secret_digest(docs).collect() if r.doc_id is not None}
+    assert spans[1] == "access:3:23,key40:29:69"
+    assert spans[2] == spans[5] == spans[6] == spans[7] == spans[8] == ""
+    assert spans[3] == "access:0:20"
+    assert spans[4].split(",") == ["login:0:10", "short:11:22", "address:27:53"]
+    # A part inside a base span is not reported again.
+    assert spans[10].split(",")[:2] == ["assign:0:49", "hex:9:49"] and "key40" not in spans[10]
+    assert "mail:" in spans[10]
+
+
+def test_scope_is_by_characters(spark):
+    docs = spark.createDataFrame(
+        [(n, f"{KEY}{' ' * n}{SECRET}") for n in (199, 200, 201, 513)], "doc_id bigint, text string"
+    )
+    spans = {r.doc_id: r.spans for r in secrets.secret_digest(docs).collect()}
+    assert [("key40" in spans[n]) for n in (199, 200, 201, 513)] == [True, True, False, False]
+
+
+def test_no_documents(no_docs):
+    assert secrets.secret_digest(no_docs).count() == 0

@@ -1,0 +1,127 @@
+"""Fingerprints, bit-sliced distances and groups, against plain versions."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from salesmill.llm import simhash
+from salesmill.llm.components import connected_components
+from salesmill.llm.queries import op4_simhash
+
+from .conftest import SMALL, texts
+
+
+def plain_fingerprint(text):
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lower)
+    width = min(4, len(words))
+    hashes = [
+        xxhash.xxh64_intdigest(" ".join(words[k:k + width]).encode(), 42) for k in range(len(words) - width + 1)
+    ] if words else []
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_groups(rows):
+    prints = [plain_fingerprint(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if (prints[a] ^ prints[b]).bit_count() <= 4:
+                parent[root(a)] = root(b)
+    least = {}
+    for k, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[root(k)] = min(doc_id, least.get(root(k), doc_id))
+    return sorted(
+        ((d, f"{p:016x}", least.get(root(k))) for k, ((d, _), p) in enumerate(zip(rows, prints))), key=repr
+    )
+
+
+def digest(found):
+    return sorted(((r.doc_id, f"{r.fp % 2**64:016x}", r.component_id) for r in found.collect()), key=repr)
+
+
+@pytest.mark.parametrize("radius", [0, 3, 4, 7])
+def test_distances_in_planes(radius):
+    r = random.Random(radius)
+    fps = [r.getrandbits(64) for _ in range(70)]
+    fps += [f ^ sum(1 << b for b in r.sample(range(64), r.randrange(10))) for f in fps]
+    fps = np.array(fps, np.uint64)
+    near = simhash.within_radius(simhash.bit_planes(fps), fps[:50], radius)
+    got = np.unpackbits(np.ascontiguousarray(near, "<u8").view(np.uint8), axis=1, bitorder="little")[:, : len(fps)]
+    want = np.bitwise_count(fps[:50, None] ^ fps[None, :]) <= radius
+    assert (got == want).all()
+
+
+def test_links_connect_what_all_links_connect(spark):
+    r = random.Random(5)
+    fps = {r.getrandbits(64) for _ in range(150)}
+    for f in list(fps)[:60]:
+        for _ in range(3):
+            f ^= sum(1 << b for b in r.sample(range(64), r.randrange(1, 6)))
+            fps.add(f)
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    rows = [(f,) for f in signed]
+    roots = {
+        row.node: row.root
+        for row in connected_components(simhash.near_links(spark.createDataFrame(rows, "fp bigint"))).collect()
+    }
+    parent = {f: f for f in signed}
+
+    def root(f):
+        while parent[f] != f:
+            f = parent[f]
+        return f
+
+    for a in signed:
+        for b in signed:
+            if a < b and ((a ^ b) % 2**64).bit_count() <= 4:
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    assert {f: roots.get(f, f) for f in signed} == {f: root(f) for f in signed}
+
+
+def test_large_band_is_dealt_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "TILE", 16)
+    rows = [(1 << a | 1 << b,) for a in range(30) for b in range(a)]
+    roots = connected_components(simhash.near_links(spark.createDataFrame(rows, "fp bigint")))
+    assert roots.count() == len(rows) and roots.select("root").distinct().count() == 1
+
+
+def test_components_of_a_long_chain(spark):
+    edges = spark.createDataFrame([(k, k + 1) for k in range(200)] + [(500, 501), (7, 7)], "a bigint, b bigint")
+    roots = {r.node: r.root for r in connected_components(edges).collect()}
+    assert roots == {k: 0 for k in range(201)} | {500: 500, 501: 500}
+
+
+def test_query_against_plain_version(spark, small):
+    got = sorted((tuple(r) for r in op4_simhash(spark, SMALL).collect()), key=repr)
+    assert got == plain_groups([(d["doc_id"], d["text"]) for d in small("documents")])
+
+
+def test_odd_documents(odd_docs):
+    assert digest(simhash.near_duplicates(odd_docs)) == plain_groups(texts())
+
+
+def test_one_of_each_group_stays(odd_docs):
+    found = simhash.near_duplicates(odd_docs)
+    kept = simhash.one_of_each_group(odd_docs)
+    assert kept.columns == odd_docs.columns
+    rows = kept.collect()
+    assert len(rows) == found.select("group").distinct().count() == 12
+    # Both texts of id 9 are groups of their own; the repeated row is there once.
+    assert sorted(r.doc_id for r in rows if r.doc_id is not None) == [1, 4, 6, 7, 9, 9, 10, 11, 12, 13, 14]
+
+
+def test_no_documents(no_docs):
+    assert simhash.near_duplicates(no_docs).count() == 0
+    assert simhash.one_of_each_group(no_docs).count() == 0

@@ -1,0 +1,95 @@
+"""Simple-8b words and token files: exact round trips."""
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from salesmill.llm import simple8b
+from salesmill.llm.queries import op3_token_files
+from salesmill.llm.token_files import PieceCache, file_bytes, parse_file, read_token_files, token_digest, write_token_files
+
+from .conftest import SMALL, texts
+
+FILE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def tokenizer():
+    found = Tokenizer.from_file(FILE)
+    found.encode_special_tokens = True
+    return found
+
+
+@settings(deadline=None, max_examples=60)
+@given(st.lists(st.one_of(st.integers(0, 3), st.integers(0, 50256), st.integers(0, 2**64 - 1)), max_size=900))
+def test_packing_round_trip(ids):
+    words, starts = simple8b.pack(np.array(ids, np.uint64))
+    assert simple8b.unpack(words, starts, len(ids)).tolist() == ids
+
+
+def test_packing_is_dense_and_blocks_stand_alone():
+    ids = np.array([1] * 600 + [2**63] * 3 + [40_000] * 100, np.uint64)
+    words, starts = simple8b.pack(ids)
+    assert len(words) < 60
+    block = slice(int(starts[1]), int(starts[2]))
+    alone = simple8b.unpack(words[block], np.zeros(1), simple8b.BLOCK)
+    assert (alone == ids[256:512]).all()
+
+
+def test_file_round_trip():
+    encoded = [np.array(x, "<u4").tobytes() for x in ([5, 6, 2], [2], [1, 2])]
+    doc_ids, lengths, ids = parse_file(file_bytes([None, -3, 7], encoded))
+    assert doc_ids == [None, -3, 7] and lengths.tolist() == [3, 1, 2] and ids.tolist() == [5, 6, 2, 2, 1, 2]
+    with pytest.raises(ValueError):
+        parse_file(b"x" * 50)
+
+
+def expected(rows):
+    coder, start, out = tokenizer(), 0, []
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    for doc_id, text in ordered:
+        ids = np.array([*coder.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        out.append((doc_id, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    return out
+
+
+@settings(deadline=None, max_examples=80)
+@given(st.text(st.sampled_from("ab1'.,s \n\t\r\x0b\x1c\xa0é\xadªßœ²日 "), max_size=40))
+def test_cut_pieces_encode_like_the_whole(text):
+    coder = tokenizer()
+    ids = np.frombuffer(next(PieceCache(coder)([text])), "<u4").tolist()
+    assert ids == coder.encode(text, add_special_tokens=False).ids
+
+
+def test_query_against_the_tokenizer(spark, small):
+    got = sorted(tuple(r) for r in op3_token_files(spark, SMALL).collect())
+    assert got == expected([(d["doc_id"], d["text"]) for d in small("documents")])
+
+
+def test_odd_documents(odd_docs):
+    got = token_digest(odd_docs, FILE)
+    assert got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    want = expected(texts())
+    # Documents of one id may come in either order, so starts are compared as a gapless row.
+    key = lambda rows: sorted((r[0] is not None, r[0] or 0, r[2], r[3]) for r in rows)
+    rows = [tuple(r) for r in got.collect()]
+    assert key(rows) == key(want)
+    at = 0
+    for _, start, n, _ in sorted(rows, key=lambda r: r[1]):
+        assert start == at
+        at += n
+
+
+def test_ids_come_back(spark, odd_docs, tmp_path):
+    manifest = write_token_files(odd_docs.where("doc_id = 6"), FILE, str(tmp_path / "files"))
+    row = read_token_files(spark, str(tmp_path / "files"), manifest).first()
+    assert tokenizer().decode(row.ids[:-1]) == "one two three" and row.ids[-1] == 2
+
+
+def test_no_documents(no_docs):
+    assert token_digest(no_docs, FILE).count() == 0
