@@ -12,7 +12,7 @@ from pyspark.sql.types import DecimalType
 
 LINE_AMOUNT = "decimal(10,2)"
 TOTAL_AMOUNT = "decimal(15,2)"
-# Room for amounts that are not whole cents; they are rounded after the sum only.
+# Doubles enter a sum with six decimals each, the sum is rounded to cents.
 EXACT_AMOUNT = "decimal(20,6)"
 
 
@@ -21,10 +21,11 @@ def cents(amount: Column) -> Column:
     return amount.cast(LINE_AMOUNT)
 
 
-def exact(df: DataFrame, name: str) -> Column:
-    """A column as decimal; one that is decimal already is taken as it is."""
+def exact(df: DataFrame, name: str, amount: str = EXACT_AMOUNT) -> Column:
+    """A column as decimal; one that is decimal already is taken as it is. Others are cut to
+    the scale of ``amount`` row by row: six decimals unless another is asked for."""
     is_decimal = isinstance(df.schema[name].dataType, DecimalType)
-    return F.col(name) if is_decimal else F.col(name).cast(EXACT_AMOUNT)
+    return F.col(name) if is_decimal else F.col(name).cast(amount)
 
 
 def exact_sum(amount: Column) -> Column:

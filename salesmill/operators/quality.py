@@ -43,6 +43,11 @@ def _duplicates(keys: Sequence[str]) -> Column:
     return F.count(F.lit(1)) - F.count_distinct(F.struct(*[F.col(f"`{k}`") for k in keys]))
 
 
+def _unknown() -> Column:
+    """What a check counts that lacks a column it reads."""
+    return F.lit(None).cast("long")
+
+
 def _missing(df: DataFrame, expected: Sequence[str]) -> list[str]:
     return [name for name in expected if name not in df.columns]
 
@@ -55,7 +60,7 @@ def validate_schema(df: DataFrame, expected_columns: Sequence[str], table_name:
     missing = _missing(df, expected_columns)
     if missing:
         raise DataQualityException(
-            f"Schema check failed for {table_name}. Missing columns: {missing}"
+            f"{table_name} has not its layout. Missing columns: {missing}"
         )
 
 
@@ -66,9 +71,9 @@ def check_null_completeness(
     if not required_columns:
         return
     counts = df.agg(*[_nulls(name).alias(name) for name in required_columns]).first().asDict()
-    failed = [f"{name}: {count} null values found" for name, count in counts.items() if count]
+    failed = [f"{name} is null in {count} row(s)" for name, count in counts.items() if count]
     if failed:
-        raise DataQualityException(f"Completeness check failed for {table_name}. {'; '.join(failed)}")
+        raise DataQualityException(f"{table_name} lacks required values: {'; '.join(failed)}")
 
 
 def check_uniqueness(df: DataFrame, unique_columns: Sequence[str], table_name: str) -> None:
@@ -76,7 +81,7 @@ def check_uniqueness(df: DataFrame, unique_columns: Sequence[str], table_name: s
     duplicates = df.agg(_duplicates(unique_columns)).first()[0]
     if duplicates:
         raise DataQualityException(
-            f"Uniqueness check failed for {table_name}. Found {duplicates} duplicate(s)"
+            f"{table_name} repeats {', '.join(unique_columns)}: {duplicates} row(s) too many"
         )
 
 
@@ -91,7 +96,7 @@ def check_referential_integrity(
     orphans = orphan_keys(child_df, parent_df, child_key, parent_key).count()
     if orphans:
         raise DataQualityException(
-            f"Referential integrity check failed for {relationship_name}: {orphans} orphan key(s)"
+            f"{relationship_name}: {orphans} key(s) without a parent"
         )
 
 
@@ -178,6 +183,7 @@ def row_preservation(before: DataFrame, after: DataFrame) -> DataFrame:
 
 # -- suite ------------------------------------------------------------------------------
 
+# The columns of the gold table that must not be null.
 GOLD_REQUIRED = ("year", "category", "sub_category", "customer_id", "total_profit", "order_count")
 
 
@@ -197,6 +203,26 @@ def _verdicts(counts: DataFrame, layer: str, checks: Sequence[tuple[int, str, st
     return counts.select(F.inline(F.array(*rows)))
 
 
+def _orphans_of_all(child: DataFrame, parents: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """One row: for each named parent, how many distinct keys of the child it lacks, null if
+    either has no such column. The child is read once: its keys are stacked by relation."""
+    known = {
+        name: (parent, key) for name, (parent, key) in parents.items()
+        if not _missing(child, [key]) and not _missing(parent, [key])
+    }
+    lacking = [_unknown().alias(name) for name in parents if name not in known]
+    if not known:
+        return child.sparkSession.range(1).select(*lacking)
+
+    def keyed(name: str, key: str) -> Column:
+        return F.struct(F.lit(name).alias("relation"), F.col(f"`{key}`").cast("string").alias("key"))
+
+    stacked = child.select(F.inline(F.array(*[keyed(n, key) for n, (_, key) in known.items()])))
+    held = reduce(DataFrame.unionByName, [parent.select(keyed(n, key).alias("k")).select("k.*") for n, (parent, key) in known.items()])
+    orphans = stacked.where("key is not null").distinct().join(held, ["relation", "key"], "left_anti")
+    return orphans.agg(*[F.count_if(F.col("relation") == name).alias(name) for name in known], *lacking)
+
+
 def _schema_violations(df: DataFrame, schema: StructType) -> Column:
     return F.lit(len(_missing(df, column_names(schema))))
 
@@ -214,29 +240,33 @@ def quality_suite(
     """The fourteen checks over all layers as one table; a failed check does not stop it.
 
     ``check_no, layer, check, table, status, violations``. Checks of the same table share
-    a scan; those of column names need none.
+    a scan; those of column names need none. A check that lacks a column it reads has failed,
+    with null violations.
     """
-    customers_required = required_columns(CUSTOMER_BRONZE)
-    products_required = required_columns(PRODUCT_BRONZE)
-
-    def null_total(columns: Sequence[str]) -> Column:
+    def null_total(df: DataFrame, columns: Sequence[str]) -> Column:
+        if _missing(df, columns):
+            return _unknown()
         return reduce(Column.__add__, [_nulls(name) for name in columns])
 
+    def repeated(df: DataFrame, key: str) -> Column:
+        return _unknown() if _missing(df, [key]) else _duplicates([key])
+
     customers = customers_bronze.agg(
-        null_total(customers_required).alias("nulls"),
-        _duplicates(["Customer ID"]).alias("duplicates"),
+        null_total(customers_bronze, required_columns(CUSTOMER_BRONZE)).alias("nulls"),
+        repeated(customers_bronze, "Customer ID").alias("duplicates"),
+        F.count(F.lit(1)).alias("rows"),
     )
     products = products_bronze.agg(
-        null_total(products_required).alias("nulls"),
-        _duplicates(["Product ID"]).alias("duplicates"),
-    )
-    gold = profit_aggregate.agg(null_total(GOLD_REQUIRED).alias("nulls"))
-    to_customers = orphan_report(
-        orders_bronze, customers_bronze, "Customer ID", "Customer ID", "orders->customers"
+        null_total(products_bronze, required_columns(PRODUCT_BRONZE)).alias("nulls"),
+        repeated(products_bronze, "Product ID").alias("duplicates"),
+        F.count(F.lit(1)).alias("rows"),
     )
-    to_products = orphan_report(
-        orders_bronze, products_bronze, "Product ID", "Product ID", "orders->products"
+    gold = profit_aggregate.agg(
+        null_total(profit_aggregate, GOLD_REQUIRED).alias("nulls"), F.count(F.lit(1)).alias("rows")
     )
+    orphans = _orphans_of_all(orders_bronze, {
+        "customers": (customers_bronze, "Customer ID"), "products": (products_bronze, "Product ID"),
+    })
 
     bronze, silver = "bronze", "silver"
     parts = [
@@ -250,11 +280,11 @@ def quality_suite(
             (5, "nulls", "products", F.col("nulls")),
             (7, "unique", "products", F.col("duplicates")),
         ]),
-        _verdicts(to_customers, bronze, [
+        _verdicts(orphans, bronze, [
             (3, "schema", "orders", _schema_violations(orders_bronze, ORDER_BRONZE)),
-            (8, "references", "orders->customers", F.col("orphans")),
+            (8, "references", "orders->customers", F.col("customers")),
+            (9, "references", "orders->products", F.col("products")),
         ]),
-        _verdicts(to_products, bronze, [(9, "references", "orders->products", F.col("orphans"))]),
         _verdicts(spark.range(1), silver, [
             (10, "schema", "customers_enriched", _schema_violations(customers_silver, CUSTOMER_ENRICHED)),
             (11, "schema", "products_enriched", _schema_violations(products_silver, PRODUCT_ENRICHED)),

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import quoted
+
 
 def distinct_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Distinct rows, of the named columns or of all."""
@@ -34,11 +36,17 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) ->
     Remaining columns break ties, so the same row wins on every run. This is a maximum
     and no window: each task keeps one row per key before the shuffle, also where a join
     below has left the rows partitioned already, so a key holding a third of all rows
-    costs one row per task. Rows with a null in the key match nothing and are all kept.
+    costs one row per task. Rows with a null in the key match nothing and are all kept:
+    each has a number of its own in place of a key, so the input is read once.
     """
-    complete = reduce(Column.__and__, [F.col(key).isNotNull() for key in keys])
-    best = best_of_key(df.where(complete), keys, order_by)
-    return best.unionByName(df.where(~complete))
+    complete = reduce(Column.__and__, [F.col(quoted(key)).isNotNull() for key in keys])
+    alone = F.when(~complete, F.monotonically_increasing_id())
+    names = df.columns
+    rest = [name for name in names if name not in order_by]
+    row = F.struct(*[F.col(quoted(name)) for name in [*order_by, *rest]])
+    held = [F.col(quoted(key)).alias(f"__key_{i}") for i, key in enumerate(keys)]
+    best = df.groupBy(*held, alone.alias("__alone")).agg(F.max(row).alias("best"))
+    return best.select([F.col("best")[name].alias(name) for name in names])
 
 
 def best_of_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:

@@ -45,8 +45,13 @@ class StagedSource:
         neither can be skewed, and adaptive execution is free to split the target.
         """
         keys = list(self.keys)
-        untouched = target.join(self.claims, keys, "left_anti")
-        repeated = self.matched.groupBy(*keys).agg(F.sum("copies").alias("copies")).where("copies > 1")
+        # Only keys that the target holds can remove a row of it; for a source that mostly
+        # inserts they are few.
+        taken = self.matched.groupBy(*keys).agg(F.sum("copies").alias("copies"))
+        if taken.isEmpty():
+            return target.unionByName(self.rows.select(*target.columns))
+        untouched = target.join(taken.select(*keys), keys, "left_anti")
+        repeated = taken.where("copies > 1")
         parts = [untouched.select(*target.columns)]
         if repeated.isEmpty():
             parts.append(self.rows)

@@ -11,7 +11,7 @@ from .enrich import (
     round_profit_to_2_decimals,
 )
 from .gold import aggregate_statistics, create_profit_aggregate, profit_statistics, rank_gold
-from .jobs import build_gold, build_silver, ingest_bronze, run_all, run_reports, validate_layers
+from .jobs import HOSTED_FORM, build_gold, build_silver, ingest_bronze, run_all, run_reports, validate_layers
 from .rollups import (
     REPORTS,
     profit_by_customer,
@@ -23,6 +23,7 @@ from .rollups import (
 )
 
 __all__ = [
+    "HOSTED_FORM",
     "REPORTS",
     "add_date_fields",
     "add_email_enrichment",

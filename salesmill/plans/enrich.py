@@ -69,21 +69,18 @@ def enrich_order(
     """Bronze order lines with their customer, product, calendar and profit columns.
 
     By default every line is kept, with nulls where a customer or product is unknown.
-    ``how="inner"`` drops those lines instead. ``dedup`` makes the joined lines distinct;
-    it does so by making each input distinct, which comes to the same since a joined line
-    holds all columns of its parts, but combines copies before any join. ``keep_row_id``
-    and ``product_name`` choose those columns.
+    ``how="inner"`` drops those lines instead. ``dedup`` makes the result distinct; it makes
+    each input distinct first, which combines copies before any join. ``keep_row_id`` and
+    ``product_name`` choose those columns.
     """
     product_attributes = [a for a in PRODUCT_ATTRIBUTES if product_name or a != "product_name"]
-    # Rows count as distinct also when only the customer's state differs.
-    customer_attributes = [*CUSTOMER_ATTRIBUTES, *(["state"] if dedup else [])]
-
     lines = standardize_order_columns(orders_df, keep_row_id)
     if dedup:
         lines = lines.dropDuplicates()
-    lines = join_with_customer(lines, customers_df, how, tuple(customer_attributes), dedup)
+    lines = join_with_customer(lines, customers_df, how, tuple(CUSTOMER_ATTRIBUTES), dedup)
     lines = join_with_product(lines, products_df, how, tuple(product_attributes), dedup)
     lines = round_profit_to_2_decimals(calculate_days_to_ship(add_date_fields(lines)))
 
     columns = [c for c in column_names(ORDER_ENRICHED) if product_name or c != "product_name"]
-    return lines.select(*(["row_id"] if keep_row_id else []), *columns)
+    enriched = lines.select(*(["row_id"] if keep_row_id else []), *columns)
+    return enriched.dropDuplicates() if dedup else enriched

@@ -27,7 +27,13 @@ from ..sinks import (
     save_bronze_table,
     save_gold_table,
 )
-from ..sources import load_bronze_table, load_gold_table, load_silver_table, register_view
+from ..sources import (
+    load_bronze_table,
+    load_gold_table,
+    load_silver_table,
+    parse_order_dates,
+    register_view,
+)
 from .enrich import enrich_customer, enrich_order, enrich_product
 from .gold import create_profit_aggregate
 from .rollups import REPORTS
@@ -55,25 +61,39 @@ def build_silver(
     layers: Layers = LAYERS,
     check_references: bool = True,
     merge_options: dict | None = None,
+    enrich_options: dict | None = None,
+    parse_dates: bool = False,
 ) -> None:
     """Enrich the bronze tables and merge them into silver.
 
     References are checked on the bronze keys, before anything is joined or written; an
-    order line of an unknown customer or product stops the job.
+    order line of an unknown customer or product stops the job. ``enrich_options`` and
+    ``merge_options`` go to the enrichment and the merge of ``customers``, ``products`` and
+    ``orders``; ``parse_dates`` is for bronze orders whose dates are still text.
+
+    ``HOSTED_FORM`` is the set of options for inner joins, distinct rows at each step, and
+    row id and state among the keys.
     """
     customers_bronze = load_bronze_table(spark, "customers", layers)
     products_bronze = load_bronze_table(spark, "products", layers)
     orders_bronze = load_bronze_table(spark, "orders", layers)
-
-    customers = enrich_customer(customers_bronze)
-    products = enrich_product(products_bronze)
-    orders = enrich_order(orders_bronze, customers, products)
-    for name, df, schema in (
-        ("customers_enriched", customers, CUSTOMER_ENRICHED),
-        ("products_enriched", products, PRODUCT_ENRICHED),
-        ("orders_enriched", orders, ORDER_ENRICHED),
+    if parse_dates:
+        orders_bronze = parse_order_dates(orders_bronze)
+
+    enrich = enrich_options or {}
+    customers = enrich_customer(customers_bronze, **enrich.get("customers", {}))
+    products = enrich_product(products_bronze, **enrich.get("products", {}))
+    order_options = enrich.get("orders", {})
+    orders = enrich_order(orders_bronze, customers, products, **order_options)
+    state = enrich.get("products", {}).get("state_name", "product_state")
+    left_out = set() if order_options.get("product_name", True) else {"product_name"}
+    for name, df, expected in (
+        ("customers_enriched", customers, column_names(CUSTOMER_ENRICHED)),
+        ("products_enriched", products,
+         [state if c == "product_state" else c for c in column_names(PRODUCT_ENRICHED)]),
+        ("orders_enriched", orders, [c for c in column_names(ORDER_ENRICHED) if c not in left_out]),
     ):
-        validate_schema(df, column_names(schema), f"{layers.silver}.{name}")
+        validate_schema(df, expected, f"{layers.silver}.{name}")
     if check_references:
         for parent, key in ((customers_bronze, "Customer ID"), (products_bronze, "Product ID")):
             check_referential_integrity(orders_bronze, parent, key, key, f"orders -> {key}")
@@ -84,6 +104,21 @@ def build_silver(
     merge_silver_orders(spark, orders, layers=layers, **options.get("orders", {}))
 
 
+# Inner joins, distinct rows, row ids; order lines and products by their fuller keys.
+HOSTED_FORM = {
+    "check_references": False,
+    "enrich_options": {
+        "customers": {"dedup": True},
+        "products": {"dedup": True, "state_name": "state"},
+        "orders": {"how": "inner", "dedup": True, "keep_row_id": True, "product_name": False},
+    },
+    "merge_options": {
+        "products": {"keys": ["product_id", "product_name", "state"]},
+        "orders": {"keys": ["row_id", "customer_id", "order_id", "product_id"]},
+    },
+}
+
+
 def build_gold(spark: SparkSession, layers: Layers = LAYERS) -> None:
     """Replace the profit aggregate."""
     gold = create_profit_aggregate(load_silver_table(spark, "orders_enriched", layers))
@@ -117,11 +152,15 @@ def run_all(
     products: DataFrame,
     orders: DataFrame,
     layers: Layers = LAYERS,
-    check_references: bool = True,
-    merge_options: dict | None = None,
+    **silver_options,
 ) -> DataFrame:
-    """All layers in turn; returns the quality suite. Safe to run again."""
+    """All layers in turn; returns the quality suite. Options are those of ``build_silver``.
+
+    Safe to run again where rows are unique by their merge keys. Where they are not, the first
+    load stores all of them and the second is refused, unless ``merge_options`` say which
+    of them to take.
+    """
     ingest_bronze(spark, customers, products, orders, layers)
-    build_silver(spark, layers, check_references, merge_options)
+    build_silver(spark, layers, **silver_options)
     build_gold(spark, layers)
     return validate_layers(spark, layers)

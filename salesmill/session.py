@@ -2,25 +2,49 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
 
-# What the plans rely on. Forcing the skew rule matters where an aggregation reuses the
+# What the plans rely on. ANSI arithmetic makes an amount that does not fit raise, where it
+# would become null and drop out of its sum. Forcing the skew rule matters where an aggregation reuses the
 # partitioning of the join below it: unforced, Spark would rather leave a hot key in one
 # task than add a shuffle.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
+# Parquet tables are merged by re-pointing; the others bring a MERGE of their own.
+TABLE_FORMATS = ("parquet", "delta", "iceberg")
+
+
+def quoted(name: str) -> str:
+    """A name for SQL text or a column reference, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def quoted_table(name: str) -> str:
+    """A table's name with its database's before a dot."""
+    return ".".join(map(quoted, name.split(".")))
+
+
+def literal(text: str) -> str:
+    """A string for SQL text."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 @dataclass(frozen=True)
 class Layers:
     """Where the three layers live: a database each, and the format of their tables.
@@ -35,10 +59,16 @@ class Layers:
     root: str | None = None
     table_format: str = "parquet"
 
+    def __post_init__(self) -> None:
+        if self.table_format not in TABLE_FORMATS:
+            raise ValueError(f"table_format {self.table_format!r}: one of {TABLE_FORMATS}")
+
     def create(self, spark: SparkSession) -> "Layers":
+        if not self.root and not _is_local(spark) and _on_this_machine(spark.conf.get("spark.sql.warehouse.dir")):
+            raise RuntimeError("root, or spark.sql.warehouse.dir, must name a folder all executors share")
         for database in (self.bronze, self.silver, self.gold):
-            place = f" LOCATION '{self.root}/{database}'" if self.root else ""
-            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {database}{place}")
+            place = f" LOCATION {literal(f'{self.root}/{database}')}" if self.root else ""
+            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(database)}{place}")
         return self
 
 
@@ -80,16 +110,32 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    Only a local session may do without that setting; it gets a temporary folder.
+    A folder set by ``setCheckpointDir`` serves too. Only a local session may do without
+    either; it gets one temporary folder, removed when the program ends.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not _is_local(spark):
             raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
-        base = tempfile.mkdtemp(prefix="sales-scratch-")
+        base = _local_scratch()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def _is_local(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.master", "").startswith("local")
+
+
+def _on_this_machine(folder: str) -> bool:
+    return ":" not in folder or folder.startswith("file:")
+
+
+@cache
+def _local_scratch() -> str:
+    folder = tempfile.mkdtemp(prefix="sales-scratch-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def stage(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 

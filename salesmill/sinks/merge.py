@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType, StructType
 
 from ..operators.rows import keep_latest
 from ..operators.upsert import StagedSource, stage_source
-from ..session import LAYERS, Layers, stage
-from .tables import quoted, save_table, write_load
+from ..session import LAYERS, TABLE_FORMATS, Layers, literal, quoted, quoted_table, stage
+from .tables import save_table, write_load
 
 CUSTOMER_KEYS = ("customer_id", "customer_name")
 PRODUCT_KEYS = ("product_id", "product_name")
@@ -22,6 +22,13 @@ ORDER_PARTITIONS = ("order_year", "order_month")
 
 # Formats that bring a MERGE of their own.
 MERGE_FORMATS = ("delta", "iceberg")
+# Noted in a table while a load's partitions are being pointed at; beside the load, its list.
+PENDING = "salesmill.pending"
+PENDING_SUFFIX = "-pending"
+FILLED = "__filled"
+PARTITIONS_AT_ONCE = 200
+# Characters that Spark writes as codes in the names of partition folders (fixed values).
+SPECIAL_IN_PATHS = frozenset("\"#%'*/:=?\\\x7f{[]^")
 # How Spark names the folder of a null partition value.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -84,20 +91,25 @@ def merge_table(
     source rows and those holding a row they match. Each is pointed at its new folder in
     one step, or dropped if its last row moved away.
 
-    A merge that stops half way is completed by running it again. So that no row is then
-    found in two places, partitions that rows leave are first pointed at what stays in
-    them. (Should the target hold a key several times and its rows be moving, the second
-    run leaves one of them.) Partitions by other than whole numbers are not rewritten
-    singly; there the table is replaced as a whole.
+    Before the first partition is pointed anew, the list of all that are is written and
+    noted in a property of the table. A merge that stops half way is first finished from
+    that list by the next one, so no row is lost or found twice after it.
     """
+    if table_format not in TABLE_FORMATS:
+        raise ValueError(f"table_format {table_format!r}: one of {TABLE_FORMATS}")
     exists = spark.catalog.tableExists(table)
+    if exists and table_format == "parquet":
+        stored_as = _provider(spark, table)
+        if stored_as != "parquet":
+            raise ValueError(f"{table} is stored as {stored_as}; merging would damage it")
+        _finish_pending(spark, table)
     if on_duplicate == "latest" and not (exists and table_format == "parquet"):
         df = keep_latest(stage(df, "merge-rows"), keys, order_by)
     if not exists:
         save_table(spark, df, table, partition_by, "overwrite", table_format)
         return
     if table_format in MERGE_FORMATS:
-        same_key = " AND ".join(f"{table}.{quoted(k)} = source.{quoted(k)}" for k in keys)
+        same_key = " AND ".join(f"{quoted_table(table)}.{quoted(k)} = source.{quoted(k)}" for k in keys)
         (
             df.alias("source")
             .mergeInto(table, F.expr(same_key))
@@ -111,11 +123,14 @@ def merge_table(
     staged = stage_source(target, df, keys, partition_by, on_duplicate, order_by)
     if not partition_by:
         folder = write_load(spark, staged.merge_into(target), table)
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
-    elif all(isinstance(target.schema[c].dataType, IntegralType) for c in partition_by):
-        _rewrite_partitions(spark, staged, target, table, list(partition_by))
+        spark.sql(f"ALTER TABLE {quoted_table(table)} SET LOCATION {literal(folder)}")
     else:
-        save_table(spark, staged.merge_into(target), table, partition_by)
+        _rewrite_partitions(spark, staged, target, table, list(partition_by))
+
+
+def _provider(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted_table(table)}").where("col_name = 'Provider'").collect()
+    return rows[0]["data_type"].lower() if rows else "unknown"
 
 
 def _rewrite_partitions(
@@ -127,57 +142,77 @@ def _rewrite_partitions(
 ) -> None:
     # One row per table partition at most, so this fits the driver as the catalog does.
     touched = (
-        staged.matched.select(*partition_by)
-        .union(staged.rows.select(*partition_by))
+        staged.matched.select(*map(quoted, partition_by))
+        .union(staged.rows.select(*map(quoted, partition_by)))
         .distinct()
-        .collect()
     )
-    if not touched:
+    rows = touched.collect()
+    if not rows:
         return
-    affected = target.where(_in_partitions(touched, partition_by))
-    merged = write_load(spark, staged.merge_into(affected), table, partition_by)
-    left = _partitions_rows_leave(staged, partition_by)
-    if left:
-        vacated = target.where(_in_partitions(left, partition_by))
-        vacated = vacated.join(staged.claims, list(staged.keys), "left_anti").select(*target.columns)
-        emptied = write_load(spark, vacated, table, partition_by)
-        _point_partitions(spark, table, left, emptied, target.schema, partition_by)
-    _point_partitions(spark, table, touched, merged, target.schema, partition_by)
-
-
-def _partitions_rows_leave(staged: StagedSource, partition_by: list[str]) -> list[Row]:
-    """Partitions holding a row that the source puts into another one."""
-    keys = list(staged.keys)
-    places = [c for c in partition_by if c not in keys]
-    if not places:
-        return []
-    goes_to = staged.rows.select(*keys, *[F.col(c).alias(f"__to_{c}") for c in places])
-    stays = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__to_{c}")) for c in places])
-    moved = staged.matched.join(goes_to, keys).where(~stays)
-    return moved.select(*partition_by).distinct().collect()
-
-
-def _point_partitions(
-    spark: SparkSession,
-    table: str,
-    partitions: list[Row],
-    folder: str,
-    schema: StructType,
-    partition_by: list[str],
-) -> None:
-    """Point partitions at their part of a load, and drop those it has no row for."""
-    written = spark.read.schema(schema).parquet(folder).select(*partition_by).distinct()
-    filled = {tuple(row) for row in written.collect()}
-    known = {row[0] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    for row in partitions:
-        spec = ", ".join(f"{quoted(c)} = {'null' if row[c] is None else row[c]}" for c in partition_by)
-        place = "/".join(f"{c}={NULL_PARTITION if row[c] is None else row[c]}" for c in partition_by)
-        if tuple(row) not in filled:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
-        elif place in known:
-            spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{folder}/{place}'")
-        else:
-            spark.sql(f"ALTER TABLE {table} ADD PARTITION ({spec}) LOCATION '{folder}/{place}'")
+    affected = target.where(_in_partitions(rows, partition_by))
+    folder = write_load(spark, staged.merge_into(affected), table, partition_by)
+    # The partitions that the load has rows for; the others have lost their last one.
+    written = spark.read.schema(target.schema).parquet(folder).select(*map(quoted, partition_by)).distinct()
+    same = reduce(Column.__and__, [F.col(f"t.{quoted(c)}").eqNullSafe(F.col(f"w.{quoted(c)}")) for c in partition_by])
+    filled = touched.alias("t").join(written.withColumn(FILLED, F.lit(True)).alias("w"), same, "left").select(
+        "t.*", F.coalesce(F.col(f"w.{FILLED}"), F.lit(False)).alias(FILLED)
+    )
+    filled.coalesce(1).write.parquet(f"{folder}{PENDING_SUFFIX}")
+    spark.sql(f"ALTER TABLE {quoted_table(table)} SET TBLPROPERTIES ('{PENDING}' = {literal(folder)})")
+    _finish_pending(spark, table)
+
+
+def _finish_pending(spark: SparkSession, table: str) -> None:
+    """Point the partitions of the load noted in the table at it, and drop its empty ones.
+
+    Doing so again changes nothing, so it may stop at any point.
+    """
+    name = quoted_table(table)
+    noted = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    folder = noted.get(PENDING)
+    if not folder:
+        return
+    pending = spark.read.parquet(f"{folder}{PENDING_SUFFIX}")
+    columns = [c for c in pending.columns if c != FILLED]
+    rows = pending.collect()
+    specs = {True: [], False: []}
+    for row in rows:
+        values = ", ".join(f"{quoted(c)} = {_sql_value(row[c])}" for c in columns)
+        specs[row[FILLED]].append((f"PARTITION ({values})", "/".join(_path_part(c, row[c]) for c in columns)))
+    for at in range(0, len(specs[False]), PARTITIONS_AT_ONCE):
+        some = ", ".join(spec for spec, _ in specs[False][at:at + PARTITIONS_AT_ONCE])
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {some}")
+    # Adding takes many at once and leaves those that exist, which are pointed one by one.
+    known = {row[0] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    new = [(spec, place) for spec, place in specs[True] if place not in known]
+    for at in range(0, len(new), PARTITIONS_AT_ONCE):
+        some = " ".join(f"{spec} LOCATION {literal(f'{folder}/{place}')}" for spec, place in new[at:at + PARTITIONS_AT_ONCE])
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {some}")
+    for spec, place in specs[True]:
+        if place in known:
+            spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION {literal(f'{folder}/{place}')}")
+    spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES IF EXISTS ('{PENDING}')")
+
+
+def _sql_value(value) -> str:
+    """A partition value as a typed literal."""
+    if value is None:
+        return "null"
+    if isinstance(value, dt.datetime):
+        return f"TIMESTAMP '{value}'"
+    if isinstance(value, dt.date):
+        return f"DATE '{value}'"
+    return literal(value) if isinstance(value, str) else str(value).lower()
+
+
+def _path_part(name: str, value) -> str:
+    """A partition's folder as Spark names it: special characters as % and two digits."""
+    if value is None or value == "":
+        value = NULL_PARTITION
+    elif isinstance(value, bool):
+        value = str(value).lower()
+    escaped = "".join(f"%{ord(c):02X}" if ord(c) < 32 or c in SPECIAL_IN_PATHS else c for c in str(value))
+    return f"{name}={escaped}"
 
 
 def _in_partitions(rows: list[Row], partition_by: list[str]) -> Column:
@@ -188,10 +223,10 @@ def _in_partitions(rows: list[Row], partition_by: list[str]) -> Column:
         inner_values[tuple(row[c] for c in outer)].append(row[last])
     terms = []
     for prefix, values in inner_values.items():
-        term = F.col(last).isin([v for v in values if v is not None])
+        term = F.col(quoted(last)).isin([v for v in values if v is not None])
         if None in values:
-            term = term | F.col(last).isNull()
+            term = term | F.col(quoted(last)).isNull()
         for name, value in zip(outer, prefix):
-            term = F.col(name).eqNullSafe(F.lit(value)) & term
+            term = F.col(quoted(name)).eqNullSafe(F.lit(value)) & term
         terms.append(term)
     return reduce(Column.__or__, terms)

@@ -2,19 +2,25 @@
 
 A Parquet table points at a folder of its own for each load. The new rows are written
 completely before the table is pointed at them, so a failed job leaves the old rows in
-place and a table may be rebuilt from itself. Folders no longer pointed at stay for
-roll-back until storage retention removes them. One writer per table at a time.
+place and a table may be rebuilt from itself. A partition points at the load that last
+wrote it, so a load's age does not tell whether it is live: leave these folders out of any
+retention rule by age, and let ``drop_old_loads`` remove those nothing points at. One writer
+per table at a time.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
-from ..session import LAYERS, Layers
+from ..session import LAYERS, TABLE_FORMATS, Layers, literal, quoted, quoted_table
+
+
+SAVE_MODES = ("overwrite", "append", "ignore", "error", "errorifexists")
 
 
 def save_bronze_table(
@@ -64,6 +70,10 @@ def save_table(
     table_format: str = "parquet",
 ) -> None:
     """Write ``df`` to ``table`` with Spark's save modes."""
+    if mode not in SAVE_MODES:
+        raise ValueError(f"mode {mode!r}: one of {SAVE_MODES}")
+    if table_format not in TABLE_FORMATS:
+        raise ValueError(f"table_format {table_format!r}: one of {TABLE_FORMATS}")
     exists = spark.catalog.tableExists(table)
     if table_format != "parquet" or mode == "append" or (exists and mode != "overwrite"):
         writer = gather_partitions(df, partition_by).write.format(table_format).mode(mode)
@@ -72,21 +82,22 @@ def save_table(
     folder = write_load(spark, df, table, partition_by)
     schema = _stored_schema(df, partition_by)
     if exists and not partition_by and _can_be_pointed_at(spark, table, schema):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+        spark.sql(f"ALTER TABLE {quoted_table(table)} SET LOCATION {literal(folder)}")
         return
     columns = schema.toDDL()
     layout = f"PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if partition_by else ""
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {layout} LOCATION '{folder}'")
+    name = quoted_table(table)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {layout} LOCATION {literal(folder)}")
     if partition_by:
-        spark.sql(f"MSCK REPAIR TABLE {table}")
+        spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
 def _can_be_pointed_at(spark: SparkSession, table: str, schema: StructType) -> bool:
     """Whether the stored table differs in nothing but its rows."""
     described = {
         row["col_name"]: row["data_type"]
-        for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+        for row in spark.sql(f"DESCRIBE TABLE EXTENDED {quoted_table(table)}").collect()
     }
     partitioned = "# Partition Information" in described
     return (
@@ -117,8 +128,38 @@ def write_load(
     return folder
 
 
-def quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+def drop_old_loads(spark: SparkSession, table: str, older_than: float) -> list[str]:
+    """Remove loads of ``table`` that nothing points at and that are ``older_than`` seconds.
+
+    Live are the folders of the table and of its partitions, as the catalog has them, however
+    old. What is still being written is young: let ``older_than`` exceed the longest job.
+    Returns the names of the folders removed.
+    """
+    database, name = table.rsplit(".", 1)
+    jvm = spark._jvm
+    catalog = spark._jsparkSession.sessionState().catalog()
+    identifier = catalog.qualifyIdentifier(
+        spark._jsparkSession.sessionState().sqlParser().parseTableIdentifier(quoted_table(table))
+    )
+    described = catalog.getTableMetadata(identifier)
+    places = [str(described.location())]
+    if described.partitionColumnNames().nonEmpty():
+        partitions = catalog.listPartitions(identifier, jvm.scala.Option.apply(None))
+        places += [str(partitions.apply(i).location()) for i in range(partitions.size())]
+    live = {part for place in places for part in place.split("/") if part.startswith("load-")}
+
+    base = jvm.org.apache.hadoop.fs.Path(spark.catalog.getDatabase(database).locationUri.rstrip("/") + f"/{name}")
+    store = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(base):
+        return []
+    dropped = []
+    for found in store.listStatus(base):
+        folder = found.getPath().getName()
+        age = time.time() - found.getModificationTime() / 1000
+        if folder.startswith("load-") and folder not in live and age >= older_than:
+            store.delete(found.getPath(), True)
+            dropped.append(folder)
+    return sorted(dropped)
 
 
 def _stored_schema(df: DataFrame, partition_by: Sequence[str]) -> StructType:

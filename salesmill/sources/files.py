@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.dates import day_first_date
 from ..schemas import CUSTOMER_BRONZE, ORDER_BRONZE, PRODUCT_BRONZE
@@ -11,39 +13,99 @@ SOURCE_FOLDER = "source_data"
 DATE_COLUMNS = ("Order Date", "Ship Date")
 
 
+CORRUPT = "_corrupt_record"
+
+
 def load_customer_data(
-    spark: SparkSession, file_path: str | None = None, file_format: str = "csv"
+    spark: SparkSession,
+    file_path: str | None = None,
+    file_format: str = "csv",
+    multi_line: bool = False,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
     """Customers from CSV with a header, or from Parquet.
 
     A workbook has to be saved as CSV first: it can only be opened whole, on one machine.
+    Quotes within a value are doubled, as RFC 4180 has them. ``multi_line=True`` reads values
+    with line breaks; such files are one task each. Records that do not fit the header raise
+    when they are read, or are kept in ``corrupt_column`` if one is named.
     """
-    reader = spark.read.schema(CUSTOMER_BRONZE)
     path = file_path or f"{SOURCE_FOLDER}/Customer.csv"
     if file_format == "csv":
-        return reader.option("header", True).csv(path)
-    return reader.format(file_format).load(path)
+        return _read_csv(spark, CUSTOMER_BRONZE, path, multi_line, corrupt_column)
+    return spark.read.schema(CUSTOMER_BRONZE).format(file_format).load(path)
 
 
-def load_product_data(spark: SparkSession, file_path: str | None = None) -> DataFrame:
-    """Products from CSV with a header."""
-    path = file_path or f"{SOURCE_FOLDER}/Products.csv"
-    return spark.read.schema(PRODUCT_BRONZE).option("header", True).csv(path)
+def load_product_data(
+    spark: SparkSession,
+    file_path: str | None = None,
+    multi_line: bool = False,
+    corrupt_column: str | None = None,
+) -> DataFrame:
+    """Products from CSV with a header; options as for customers."""
+    return _read_csv(spark, PRODUCT_BRONZE, file_path or f"{SOURCE_FOLDER}/Products.csv", multi_line, corrupt_column)
 
 
 def load_order_data(
-    spark: SparkSession, file_path: str | None = None, multi_line: bool = True
+    spark: SparkSession,
+    file_path: str | None = None,
+    multi_line: bool = False,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
     """Orders from JSON, both dates parsed.
 
-    ``multi_line=True`` reads documents (an array of orders per file), one task per
-    file. ``multi_line=False`` reads one order per line; such files can be split, so it
-    is the form for large volumes. The two are not interchangeable: a lines file read
-    as a document yields its first order only.
+    By default a file holds one order per line and can be split. ``multi_line=True`` reads
+    documents (an array of orders per file), one task per file. Neither form passes for the
+    other: lines that are no order raise when they are read (or are kept in
+    ``corrupt_column``), and a file of lines read as documents is refused at once.
     """
     path = file_path or f"{SOURCE_FOLDER}/Orders.json"
-    text = spark.read.schema(ORDER_BRONZE).option("multiLine", multi_line).json(path)
-    return parse_order_dates(text)
+    if multi_line:
+        _refuse_lines(spark, path)
+    reader = spark.read.schema(_as_text(ORDER_BRONZE)).option("columnNameOfCorruptRecord", CORRUPT)
+    text = reader.option("multiLine", multi_line).json(path)
+    return parse_order_dates(_typed(text, ORDER_BRONZE, corrupt_column))
+
+
+def _read_csv(
+    spark: SparkSession, schema: StructType, path: str, multi_line: bool, corrupt_column: str | None
+) -> DataFrame:
+    text = (
+        spark.read.schema(_as_text(schema)).option("header", True)
+        .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+        .option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    )
+    return _typed(text, schema, corrupt_column)
+
+
+def _as_text(schema: StructType) -> StructType:
+    """All columns as text and one for records out of shape: a value of the wrong type is
+    then no fault of the record."""
+    return StructType([StructField(f.name, StringType()) for f in schema.fields] + [StructField(CORRUPT, StringType())])
+
+
+def _typed(text: DataFrame, schema: StructType, corrupt_column: str | None) -> DataFrame:
+    """Declared types, null where a value does not have its type; corrupt records raise, or
+    go to a column."""
+    corrupt = F.col(CORRUPT)
+    if not corrupt_column:
+        message = F.concat(F.lit("record does not fit its layout: "), F.substring(corrupt, 1, 200))
+        text = text.where(F.when(corrupt.isNull(), True).otherwise(F.raise_error(message).cast("boolean")))
+    columns = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    return text.select(*columns, *([corrupt.alias(corrupt_column)] if corrupt_column else []))
+
+
+def _refuse_lines(spark: SparkSession, path: str) -> None:
+    """A file of several lines, each an object or array by itself, is no document: read as
+    one it would give what its first line holds."""
+    value = F.trim("value")
+    alone = F.count_if(value.rlike(r"^(\{.*\}|\[.*\])$"))
+    counted = spark.read.text(path).where(value != "").groupBy(F.input_file_name().alias("file")).agg(
+        F.count("*").alias("lines"), alone.alias("alone")
+    )
+    lines = counted.where("lines > 1 and alone = lines").select("file").head(1)
+    if lines:
+        raise ValueError(f"{lines[0].file} has one order per line; read it with multi_line=False")
 
 
 def parse_order_dates(df: DataFrame, columns: tuple[str, ...] = DATE_COLUMNS) -> DataFrame:

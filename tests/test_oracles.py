@@ -5,6 +5,8 @@ import pytest
 
 import __spark_entry__ as contract
 from check_oracles import TABLES, compare
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -18,7 +20,8 @@ def db():
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(ORACLES) <= set(contract.oracle_sql()) and set(QUERIES) <= set(contract.queries())
 
 
 def test_entry(spark):
@@ -29,7 +32,7 @@ def test_entry(spark):
 UNWANTED = ("Python", "Pandas", "ArrowEval", "CartesianProduct", "BroadcastNestedLoopJoin", "ExistingRDD")
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_agrees_with_sql(spark, db, name):
     df = contract.queries()[name](spark, FOLDER)
     plan = df._jdf.queryExecution().executedPlan().toString()

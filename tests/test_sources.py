@@ -30,26 +30,26 @@ def check_orders(df):
 def test_orders_from_a_document(spark, tmp_path):
     path = tmp_path / "Orders.json"
     path.write_text(json.dumps(ORDERS, indent=2))
-    check_orders(sm.load_order_data(spark, str(path)))
+    check_orders(sm.load_order_data(spark, str(path), multi_line=True))
 
 
 def test_orders_from_lines(spark, tmp_path):
     path = tmp_path / "Orders.json"
     path.write_text("\n".join(map(json.dumps, ORDERS)))
-    check_orders(sm.load_order_data(spark, str(path), multi_line=False))
+    check_orders(sm.load_order_data(spark, str(path)))
 
 
 def test_products_from_csv(spark, tmp_path):
     path = tmp_path / "Products.csv"
     path.write_text(
         "Product ID,Category,Sub-Category,Product Name,State,Price per product\n"
-        'P1,Furniture,Chairs,"Chair, leather",New York,81.88\n'
-        "P2,Technology,Phones,Phone,,not a price\n"
+        'P1,Garden,Tools,"Spade, 12"" ""long""",Lagos,81.88\n'
+        "P2,Kitchen,Pans,Pan,,not a price\n"
     )
     df = sm.load_product_data(spark, str(path))
     assert df.columns == column_names(PRODUCT_BRONZE)
     first, second = df.orderBy("Product ID").collect()
-    assert first["Product Name"] == "Chair, leather" and first["Price per product"] == 81.88
+    assert first["Product Name"] == 'Spade, 12" "long"' and first["Price per product"] == 81.88
     assert second["State"] is None and second["Price per product"] is None
     with pytest.raises(sm.DataQualityException, match="Price per product"):
         sm.check_null_completeness(df, ["Price per product"], "products")
@@ -65,6 +65,34 @@ def test_customers_round_trip(spark, tmp_path, customers, file_format):
     assert dict(df.dtypes)["Postal Code"] == "string"
 
 
+def test_lines_and_documents_do_not_pass_for_each_other(spark, tmp_path):
+    lines, document = tmp_path / "lines.json", tmp_path / "document.json"
+    lines.write_text("\n".join(map(json.dumps, ORDERS)))
+    document.write_text(json.dumps(ORDERS, indent=2))
+    with pytest.raises(ValueError, match="one order per line"):
+        sm.load_order_data(spark, str(lines), multi_line=True)
+    with pytest.raises(Exception, match="does not fit"):
+        sm.load_order_data(spark, str(document)).collect()
+    kept = sm.load_order_data(spark, str(document), corrupt_column="corrupt")
+    assert kept.where("corrupt is not null").count() > 0
+
+
+def test_records_out_of_shape_are_loud(spark, tmp_path):
+    header = ",".join(column_names(CUSTOMER_BRONZE)) + "\n"
+    good = 'C1,Name,mail,1,"Long Road 1\nTown",Consumer,Land,City,State,1,West\n'
+    path = tmp_path / "Customer.csv"
+    path.write_text(header + good + good.replace("C1", "C2"))
+    whole = sm.load_customer_data(spark, str(path), multi_line=True).orderBy("Customer ID").collect()
+    assert [(r["Customer ID"], r["address"]) for r in whole] == [("C1", "Long Road 1\nTown"), ("C2", "Long Road 1\nTown")]
+    with pytest.raises(Exception, match="does not fit"):
+        sm.load_customer_data(spark, str(path)).collect()
+    kept = sm.load_customer_data(spark, str(path), corrupt_column="corrupt")
+    assert kept.where("corrupt is not null").count() == 4
+    path.write_text(header + "C1,Name,mail,1,Road,Consumer,Land,City,State,1,West,surplus\n")
+    with pytest.raises(Exception, match="does not fit"):
+        sm.load_customer_data(spark, str(path)).collect()
+
+
 def test_layer_tables_and_dedup(spark, layers, products):
     sm.save_bronze_table(spark, products.union(products), "products", layers=layers)
     assert sm.load_bronze_table(spark, "products", layers).count() == 6
@@ -73,4 +101,4 @@ def test_layer_tables_and_dedup(spark, layers, products):
 
 def test_view_is_open_to_sql(spark, products):
     sm.register_view(products, "listed_products")
-    assert spark.sql("SELECT count(*) FROM listed_products WHERE Category = 'Furniture'").first()[0] == 1
+    assert spark.sql("SELECT count(*) FROM listed_products WHERE Category = 'Garden'").first()[0] == 1

@@ -1,5 +1,6 @@
 """Full loads and merges of stored tables."""
 
+import datetime as dt
 import os
 from decimal import Decimal
 
@@ -64,7 +65,7 @@ def test_partitioned_load(spark, layers, products):
     got = sm.load_silver_table(spark, "t", layers)
     assert got.columns[-2:] == ["Category", "State"] and got.count() == 3
     assert spark.sql(f"SHOW PARTITIONS {layers.silver}.t").count() == 3
-    assert got.where("Category = 'Furniture'").count() == 1
+    assert got.where("Category = 'Garden'").count() == 1
 
 
 # -- merges -------------------------------------------------------------------------------
@@ -82,24 +83,24 @@ def test_first_load_creates_a_stamped_table(spark, layers, silver):
 
 def test_customers_update_and_insert(spark, layers):
     columns = ["customer_id", "customer_name", "segment"]
-    sm.merge_silver_customers(spark, spark.createDataFrame([("C1", "John", "Consumer"), ("C3", "Max", "Consumer")], columns), layers=layers)
-    sm.merge_silver_customers(spark, spark.createDataFrame([("C1", "John", "Corporate"), ("C2", "Jane", "Consumer")], columns), layers=layers)
+    sm.merge_silver_customers(spark, spark.createDataFrame([("D1", "Iris", "Consumer"), ("D3", "Olaf", "Consumer")], columns), layers=layers)
+    sm.merge_silver_customers(spark, spark.createDataFrame([("D1", "Iris", "Corporate"), ("D2", "Tove", "Consumer")], columns), layers=layers)
     got = sm.load_silver_table(spark, "customers_enriched", layers)
-    assert {(r["customer_id"], r["segment"]) for r in got.collect()} == {("C1", "Corporate"), ("C2", "Consumer"), ("C3", "Consumer")}
-    renamed = spark.createDataFrame([("C1", "Johnny", "Corporate")], columns)
+    assert {(r["customer_id"], r["segment"]) for r in got.collect()} == {("D1", "Corporate"), ("D2", "Consumer"), ("D3", "Consumer")}
+    renamed = spark.createDataFrame([("D1", "Irina", "Corporate")], columns)
     sm.merge_silver_customers(spark, renamed, layers=layers)
     assert sm.load_silver_table(spark, "customers_enriched", layers).count() == 4
-    with_id_key = spark.createDataFrame([("C2", "Janet", "Corporate")], columns)
+    with_id_key = spark.createDataFrame([("D2", "Tova", "Corporate")], columns)
     sm.merge_silver_customers(spark, with_id_key, keys=["customer_id"], layers=layers)
-    assert sm.load_silver_table(spark, "customers_enriched", layers).where("customer_name = 'Jane'").count() == 0
+    assert sm.load_silver_table(spark, "customers_enriched", layers).where("customer_name = 'Tove'").count() == 0
 
 
 def test_products_update(spark, layers):
     columns = ["product_id", "product_name", "price_per_unit"]
-    for price in (100.0, 150.0):
-        sm.merge_silver_products(spark, spark.createDataFrame([("P1", "Chair", price)], columns), layers=layers)
+    for price in (12.5, 14.0):
+        sm.merge_silver_products(spark, spark.createDataFrame([("Q9", "Lamp", price)], columns), layers=layers)
     got = sm.load_silver_table(spark, "products_enriched", layers).collect()
-    assert [r["price_per_unit"] for r in got] == [150.0]
+    assert [r["price_per_unit"] for r in got] == [14.0]
 
 
 def test_orders_merge_by_the_whole_key(spark, layers):
@@ -158,6 +159,77 @@ def test_a_half_finished_merge_is_completed_by_the_next(spark, layers, monkeypat
     ]
 
 
+@pytest.mark.parametrize("statements", range(5))
+def test_a_half_finished_merge_loses_no_repeated_row(spark, layers, monkeypatch, statements):
+    """The target holds a key twice, in one partition; both rows move to another."""
+    table, columns = f"{layers.silver}.t", "k string, p string, v int"
+    twice = spark.createDataFrame([("a", "x", 1), ("a", "x", 2), ("b", "y", 1)], columns)
+    sm.merge_table(spark, twice, table, ["k"], ["p"])
+    moved = spark.createDataFrame([("a", "z", 9)], columns)
+    original, done = type(spark).sql, []
+
+    def lose_the_driver(self, text, *args, **kwargs):
+        if text.startswith("ALTER"):
+            if len(done) == statements:
+                raise RuntimeError("driver lost")
+            done.append(text)
+        return original(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", lose_the_driver)
+    try:
+        sm.merge_table(spark, moved, table, ["k"], ["p"])
+    except RuntimeError:
+        assert statements < 4
+    monkeypatch.undo()
+    sm.merge_table(spark, moved, table, ["k"], ["p"])
+    assert sorted(map(tuple, spark.table(table).select("k", "p", "v").collect())) == [
+        ("a", "z", 9), ("a", "z", 9), ("b", "y", 1)
+    ]
+
+
+def test_other_formats_are_refused(spark, layers):
+    with pytest.raises(ValueError, match="orc"):
+        sm.Layers(table_format="orc")
+    table = f"{layers.silver}.t"
+    df = spark.createDataFrame([("a", 1)], "k string, v int")
+    df.write.format("orc").saveAsTable(table)
+    with pytest.raises(ValueError, match="orc"):
+        sm.merge_table(spark, df, table, ["k"])
+    with pytest.raises(ValueError, match="orc"):
+        sm.merge_table(spark, df, table, ["k"], table_format="orc")
+    assert spark.table(table).count() == 1
+    with pytest.raises(ValueError, match="overwrit"):
+        sm.save_table(spark, df, f"{layers.silver}.u", mode="overwritten")
+
+
+def test_typed_partitions_are_rewritten_singly(spark, layers):
+    table, columns = f"{layers.silver}.t", "k string, day date, b boolean, v int"
+    rows = lambda *r: spark.createDataFrame([(k, dt.date(2020, 1, d), b, v) for k, d, b, v in r], columns)
+    sm.merge_table(spark, rows(("a", 1, True, 1), ("c", 2, False, 1)), table, ["k"], ["day", "b"])
+    files = lambda where: {r[0] for r in spark.table(table).where(where).select("_metadata.file_path").collect()}
+    before = files("k = 'c'")
+    sm.merge_table(spark, rows(("a", 1, True, 2), ("d", 3, True, 1)), table, ["k"], ["day", "b"])
+    assert files("k = 'c'") == before
+    assert sorted((r.k, r.v) for r in spark.table(table).collect()) == [("a", 2), ("c", 1), ("d", 1)]
+
+
+def test_old_loads_go_and_live_ones_stay(spark, layers):
+    table = f"{layers.silver}.orders_enriched"
+    sm.merge_silver_orders(spark, lines(spark, ("O1", "C", "P", 2020, 1, 1), ("O2", "C", "P", 2020, 2, 1)), layers=layers)
+    for quantity in (2, 3):
+        sm.merge_silver_orders(spark, lines(spark, ("O1", "C", "P", 2020, 1, quantity)), layers=layers)
+    before = stored(spark, layers)
+    assert sm.drop_old_loads(spark, table, 3600) == []
+    dropped = sm.drop_old_loads(spark, table, 0)
+    assert len([d for d in dropped if not d.endswith("-pending")]) == 1
+    spark.catalog.refreshTable(table)
+    assert stored(spark, layers) == before == [("O1", "P", 2020, 1, 3), ("O2", "P", 2020, 2, 1)]
+    sm.save_bronze_table(spark, spark.range(3), "t", layers=layers)
+    sm.save_bronze_table(spark, spark.range(2), "t", layers=layers)
+    assert len(sm.drop_old_loads(spark, f"{layers.bronze}.t", 0)) == 1
+    assert sm.load_bronze_table(spark, "t", layers).count() == 2
+
+
 def test_lines_without_a_date_have_a_partition_too(spark, layers):
     sm.merge_silver_orders(spark, lines(spark, ("O1", "C", "P", None, None, 1), ("O2", "C", "P", 2020, 2, 1)), layers=layers)
     sm.merge_silver_orders(spark, lines(spark, ("O1", "C", "P", None, None, 3), ("O3", "C", "P", None, None, 1)), layers=layers)
@@ -200,13 +272,28 @@ def test_all_layers_twice(spark, layers, customers, products, orders):
         assert report.where("status = 'PASSED'").count() == 14
         sm.require_passed(report)
     reports = sm.run_reports(spark, layers)
-    assert reports["profit_by_year"].first()["total_profit"] == Decimal("250.14")
+    assert reports["profit_by_year"].first()["total_profit"] == Decimal("76.55")
     assert set(reports) == {
         "profit_by_year", "profit_by_year_category", "profit_by_customer",
         "profit_by_customer_year", "profit_by_year_subcategory", "top_categories",
     }
 
 
+def test_hosted_form_twice(spark, layers, customers, products, orders):
+    moved = customers.withColumn("State", F.lit("Elsewhere"))
+    twice = orders.union(orders)
+    for _ in range(2):
+        sm.ingest_bronze(spark, customers.union(moved).limit(6), products, twice, layers)
+        fewer = {**sm.HOSTED_FORM, "merge_options": {
+            **sm.HOSTED_FORM["merge_options"],
+            "customers": {"on_duplicate": "latest", "order_by": ["state"]},
+        }}
+        sm.build_silver(spark, layers, **fewer)
+    got = sm.load_silver_table(spark, "orders_enriched", layers)
+    assert got.count() == 3 and "row_id" in got.columns and "product_name" not in got.columns
+    assert sm.load_silver_table(spark, "customers_enriched", layers).count() == 3
+
+
 def test_an_orphan_stops_the_silver_job_before_it_writes(spark, layers, customers, products, orders):
     sm.ingest_bronze(spark, customers.limit(1), products, orders, layers)
     with pytest.raises(sm.DataQualityException):

@@ -131,6 +131,28 @@ def exact_profit_lines(spark: SparkSession, folder: str) -> DataFrame:
     return _lines(spark, folder).withColumnRenamed("exact_profit", "Profit")
 
 
+def eighths_profit_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines whose profit is a double of whole eighths of a unit."""
+    eighths = (F.col("Quantity") - 25) * 5 + F.col("`Row ID`")
+    return _lines(spark, folder).withColumn("Profit", eighths / F.lit(8.0)).drop("exact_profit")
+
+
+def quoted_addresses(df: DataFrame) -> DataFrame:
+    return df.withColumn("address", F.concat(F.lit('Hall "A", '), "address", F.lit('\nfloor "2"')))
+
+
+def orders_as_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines of the source file as JSON arrays, ``value``, and the ``part`` each is.
+
+    A row is a whole file's text, so groups stay small: a thousand order numbers each.
+    """
+    lines = orders_as_text(spark, folder)
+    group = F.floor(F.col("`Order ID`").cast("bigint") / 1000)
+    return lines.groupBy(group.alias("part")).agg(
+        F.to_json(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in lines.columns]))).alias("value")
+    )
+
+
 def orders_as_text(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines as they are in the source file: both dates day first, unpadded."""
     return orders(spark, folder).withColumns(
@@ -157,10 +179,11 @@ def history_and_increment(enriched: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split enriched lines by order date into a first load and an overlapping later one.
 
     In the later load every line has one more piece, so updates can be told from the rest.
-    The enriched lines are written out first, as the silver table they stand for.
+    Lines without a date are in the first. The enriched lines are written out first, as the silver table they stand for.
     """
     enriched = stage(enriched, "orders-enriched")
-    history = enriched.where(F.col("order_date") < F.lit(HISTORY_UNTIL).cast("date"))
+    dated = F.col("order_date")
+    history = enriched.where(dated.isNull() | (dated < F.lit(HISTORY_UNTIL).cast("date")))
     increment = enriched.where(F.col("order_date") >= F.lit(INCREMENT_FROM).cast("date"))
     return history, increment.withColumn("quantity", F.col("quantity") + 1)
 

@@ -94,7 +94,7 @@ _STEPS = {
         LEFT JOIN customers_enriched AS c ON l.customer_id = c.customer_id
         LEFT JOIN products_enriched AS p ON l.product_id = p.product_id""",
     "orders_inner": """
-        SELECT row_id, order_id, order_date, ship_date, ship_mode, order_year, order_month,
+        SELECT DISTINCT row_id, order_id, order_date, ship_date, ship_mode, order_year, order_month,
                order_quarter, customer_id, customer_name, country, segment, region, product_id,
                category, sub_category, quantity, discount, price, price_per_unit, profit, days_to_ship
         FROM (
@@ -133,8 +133,11 @@ _GOLD = (*_SILVER, "profit_aggregate")
 
 _oracle("src_customers", _C, body="SELECT * FROM bronze_customers")
 _oracle("src_customers_parquet", _C, body="SELECT * FROM bronze_customers")
+_oracle("src_customers_quoted", _C, body="""
+    SELECT * REPLACE ('Hall "A", ' || address || chr(10) || 'floor "2"' AS address) FROM bronze_customers""")
 _oracle("src_products_csv", _P, body="SELECT * FROM bronze_products")
 _oracle("src_orders_json", *_ORDERS, body="SELECT * FROM bronze_orders")
+ORACLES["src_orders_json_document"] = ORACLES["src_orders_json"]
 _oracle("bronze_dedup", _P, body="SELECT DISTINCT * FROM bronze_products")
 _oracle("gold_view_sql", *_GOLD, body="""
     SELECT country, year, CAST(sum(total_profit) AS DECIMAL(25,2)) AS total_profit,
@@ -179,7 +182,7 @@ _INNER_COLUMNS = ["row_id", *(c for c in _ORDER_COLUMNS if c != "product_name")]
 
 
 def _history(table: str) -> str:
-    return f"SELECT * FROM {table} WHERE order_date < DATE '1999-07-01'"
+    return f"SELECT * FROM {table} WHERE order_date < DATE '1999-07-01' OR order_date IS NULL"
 
 
 def _increment(table: str) -> str:
@@ -203,6 +206,8 @@ _oracle("upsert_products", _P, _PE, body=_upsert(
     ),
     ["product_id", "product_name"],
 ))
+ORACLES["merge_customers_table"] = ORACLES["upsert_customers"]
+ORACLES["merge_products_table"] = ORACLES["upsert_products"]
 _oracle("upsert_orders", *_SILVER, body=_upsert(
     _history("orders_enriched"),
     _latest(_increment("orders_enriched"), _ORDER_KEYS, _ORDER_COLUMNS),
@@ -411,6 +416,11 @@ _oracle("round_profit", _L, body="""
            CAST(round(exact_profit, 2) AS DECIMAL(10,2)) AS profit
     FROM lines""")
 
+_oracle("round_profit_double", _L, body="""
+    SELECT "Order ID" AS order_id, "Product ID" AS product_id,
+           CAST(round(((CAST("Quantity" AS DECIMAL(20,4)) - 25) * 5 + "Row ID") * 0.125, 2) AS DECIMAL(10,2)) AS profit
+    FROM lines""")
+
 # -- enrichment -----------------------------------------------------------------------------------------
 
 _oracle("enrich_customers", _C, _CE, body="SELECT * FROM customers_enriched")
@@ -519,6 +529,16 @@ _oracle("dq_suite", *_GOLD, body="""
         CAST({violations} AS BIGINT) AS violations"""
     for number, (layer, check, table, violations) in enumerate(_CHECKS, 1)
 ) + ") AS checks")
+# The same, but that three columns are missing: checks that need them fail without a count.
+_MISSING = {1: "1", 3: "1", 4: "NULL", 9: "NULL", 13: "1", 14: "NULL"}
+_oracle("dq_suite_missing_column", *_GOLD, body="""
+    SELECT check_no, layer, "check", "table",
+           CASE WHEN violations = 0 THEN 'PASSED' ELSE 'FAILED' END AS status, violations
+    FROM (""" + " UNION ALL ".join(
+    f"""SELECT {number} AS check_no, '{layer}' AS layer, '{check}' AS "check", '{table}' AS "table",
+        CAST({_MISSING.get(number, violations)} AS BIGINT) AS violations"""
+    for number, (layer, check, table, violations) in enumerate(_CHECKS, 1)
+) + ") AS checks")
 _oracle("dq_row_preservation", *_SILVER, body="""
     SELECT b.n AS rows_before, a.n AS rows_after, b.n = a.n AS preserved
     FROM (SELECT count(*) AS n FROM bronze_orders) AS b, (SELECT count(*) AS n FROM orders_enriched) AS a""")

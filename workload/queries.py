@@ -82,13 +82,25 @@ def query(run: Query) -> Query:
 # -- sources ----------------------------------------------------------------------------
 
 
+def _write_csv(df: DataFrame, folder: str) -> None:
+    df.write.option("header", True).option("escape", '"').csv(folder)
+
+
 @query
 def src_customers(d: Data) -> DataFrame:
     folder = sm.scratch_folder(d.spark, "customers-csv")
-    d.customers.write.option("header", True).csv(folder)
+    _write_csv(d.customers, folder)
     return sm.load_customer_data(d.spark, folder)
 
 
+@query
+def src_customers_quoted(d: Data) -> DataFrame:
+    """Addresses with quotes, separators and line breaks, as a workbook saves them."""
+    folder = sm.scratch_folder(d.spark, "customers-quoted")
+    _write_csv(bronze.quoted_addresses(d.customers), folder)
+    return sm.load_customer_data(d.spark, folder, multi_line=True)
+
+
 @query
 def src_customers_parquet(d: Data) -> DataFrame:
     folder = sm.scratch_folder(d.spark, "customers-parquet")
@@ -99,7 +111,7 @@ def src_customers_parquet(d: Data) -> DataFrame:
 @query
 def src_products_csv(d: Data) -> DataFrame:
     folder = sm.scratch_folder(d.spark, "products-csv")
-    d.products.write.option("header", True).csv(folder)
+    _write_csv(d.products, folder)
     return sm.load_product_data(d.spark, folder)
 
 
@@ -107,7 +119,15 @@ def src_products_csv(d: Data) -> DataFrame:
 def src_orders_json(d: Data) -> DataFrame:
     folder = sm.scratch_folder(d.spark, "orders-json")
     bronze.orders_as_text(d.spark, d.folder).write.json(folder)
-    return sm.load_order_data(d.spark, folder, multi_line=False)
+    return sm.load_order_data(d.spark, folder)
+
+
+@query
+def src_orders_json_document(d: Data) -> DataFrame:
+    """Documents: an array of order lines in each file."""
+    folder = sm.scratch_folder(d.spark, "orders-documents")
+    bronze.orders_as_documents(d.spark, d.folder).write.partitionBy("part").text(folder)
+    return sm.load_order_data(d.spark, folder, multi_line=True)
 
 
 @query
@@ -171,6 +191,32 @@ def upsert_products(d: Data) -> DataFrame:
     return sm.upsert(target, source, sm.PRODUCT_KEYS, "latest", source.columns)
 
 
+@query
+def merge_customers_table(d: Data) -> DataFrame:
+    target = d.customers_silver.where("region <> 'ASIA'")
+    source = d.customers_silver.where("region IN ('ASIA', 'EUROPE')").withColumn(
+        "segment", F.concat(F.lit("NEW "), "segment")
+    )
+    sm.merge_silver_customers(d.spark, target, layers=d.layers)
+    sm.merge_silver_customers(d.spark, source, layers=d.layers)
+    return sm.load_silver_table(d.spark, "customers_enriched", d.layers).drop("updated_at")
+
+
+@query
+def merge_products_table(d: Data) -> DataFrame:
+    target = d.products_silver.where("category <> 'PROMO'")
+    source = d.products_silver.where("category IN ('PROMO', 'SMALL')").withColumn(
+        "price_per_unit", F.col("price_per_unit") + 1.0
+    )
+    sm.save_silver_table(
+        d.spark, target.withColumn("updated_at", F.current_timestamp()), "products_enriched", layers=d.layers
+    )
+    sm.merge_silver_products(
+        d.spark, source, layers=d.layers, on_duplicate="latest", order_by=source.columns
+    )
+    return sm.load_silver_table(d.spark, "products_enriched", d.layers).drop("updated_at")
+
+
 @query
 def upsert_orders(d: Data) -> DataFrame:
     history, increment = bronze.history_and_increment(d.orders_silver)
@@ -482,6 +528,13 @@ def round_profit(d: Data) -> DataFrame:
     return sm.round_profit_to_2_decimals(lines).select("order_id", "product_id", "profit")
 
 
+@query
+def round_profit_double(d: Data) -> DataFrame:
+    """Profits that are doubles, with half cents in eighths, which doubles hold exactly."""
+    lines = sm.standardize_order_columns(bronze.eighths_profit_lines(d.spark, d.folder))
+    return sm.round_profit_to_2_decimals(lines).select("order_id", "product_id", "profit")
+
+
 @query
 def try_cast_date(d: Data) -> DataFrame:
     spelled = bronze.order_date_spellings(d.spark, d.folder)
@@ -557,6 +610,15 @@ def dq_suite(d: Data) -> DataFrame:
     )
 
 
+@query
+def dq_suite_missing_column(d: Data) -> DataFrame:
+    """A required column, a key and a gold column are not there; all checks report."""
+    return sm.quality_suite(
+        d.spark, d.customers.drop("Segment"), d.products, d.orders.drop("Product ID"),
+        d.customers_silver, d.products_silver, d.orders_silver, d.gold.drop("total_profit"),
+    )
+
+
 @query
 def dq_row_preservation(d: Data) -> DataFrame:
     return sm.row_preservation(d.orders, d.orders_silver)
