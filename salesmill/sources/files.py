@@ -87,7 +87,10 @@ def _as_text(schema: StructType) -> StructType:
 def _typed(text: DataFrame, schema: StructType, corrupt_column: str | None) -> DataFrame:
     """Declared types, null where a value does not have its type; corrupt records raise, or
     go to a column."""
-    corrupt = F.col(CORRUPT)
+    # A reader that is asked for few columns does not look whether records have them all, so
+    # what tells corrupt records reads every column: nothing of it, but the planner can't know.
+    other = F.substring(F.concat_ws("", *[F.col(f"`{f.name}`") for f in schema.fields]), 1, 0)
+    corrupt = F.concat(F.col(CORRUPT), other)
     if not corrupt_column:
         message = F.concat(F.lit("record does not fit its layout: "), F.substring(corrupt, 1, 200))
         text = text.where(F.when(corrupt.isNull(), True).otherwise(F.raise_error(message).cast("boolean")))

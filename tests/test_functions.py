@@ -88,3 +88,11 @@ def test_sums_do_not_depend_on_row_order(spark):
     for shuffled in (df, df.repartition(7), df.orderBy("price")):
         row = sm.create_profit_aggregate(shuffled).first()
         assert (row["total_profit"], row["total_sales"]) == (Decimal("300.00"), Decimal("300.00"))
+
+
+def test_amounts_that_do_not_fit_raise_on_any_session(spark, session_conf):
+    session_conf({"spark.sql.ansi.enabled": "false"})
+    sm.configure(spark)
+    large = spark.createDataFrame([(1.0,), (1e12,)], "source_profit double")
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        sm.round_profit_to_2_decimals(large).collect()
