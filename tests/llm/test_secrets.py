@@ -70,7 +70,7 @@ def test_weak_parts_need_a_complement(spark):
     assert spans[1] == "access:3:23,key40:29:69"
     assert spans[2] == spans[5] == spans[6] == spans[7] == spans[8] == ""
     assert spans[3] == "access:0:20"
-    assert spans[4].split(",") == ["login:0:10", "short:11:22", "address:27:53"]
+    assert spans[4].split(",") == ["login:0:10", "short:11:22", "address:27:51"]
     # A part inside a base span is not reported again.
     assert spans[10].split(",")[:2] == ["assign:0:49", "hex:9:49"] and "key40" not in spans[10]
     assert "mail:" in spans[10]
