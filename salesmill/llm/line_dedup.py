@@ -145,7 +145,12 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         "named-runs",
     )
     interval = ["n", "first_rank", "last_rank"]
-    kept = named.groupBy(*interval).agg(F.min("place").alias("kept"), F.count("*").alias("copies")).where("copies > 1")
+    # Written, so that the runs of a very common line come to the join straight from their
+    # shuffle and may be split there.
+    kept = stage(
+        named.groupBy(*interval).agg(F.min("place").alias("kept"), F.count("*").alias("copies")).where("copies > 1"),
+        "kept-runs",
+    )
     later = named.join(kept, interval).where("place > kept").select(
         "place.doc_id", "place.tie", F.explode(F.expr("sequence(place.start, place.start + n - 1)")).alias("idx")
     )
@@ -158,7 +163,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     Lines are cut at ``\\n`` and compared whole. Texts without such lines, null and empty ones
     among them, stay as they are. Repeated rows all get the result of their document. An empty
-    table gives no rows. ``docs`` may have any other columns.
+    table gives no rows. ``docs`` may have any other columns. Documents with such lines grow
+    with the table, so both sides of the last join are shuffled at every size.
     """
     gone = stage(
         repeated_lines(docs, min_words).select(F.col("doc_id").alias("id"), F.col("tie").alias("own"), "gone"),
@@ -172,7 +178,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     stays = F.get(F.transform(F.array(lines), lambda x: F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col("gone")), lambda i: F.get(x, i)
     )), F.lit(0))
-    return rows.join(gone, same, "left").select(
+    return rows.join(gone.hint("merge"), same, "left").select(
         "row",
         F.when(F.col("gone").isNull(), text).otherwise(F.array_join(stays, "\n")).alias("kept_text"),
         F.size(F.split(F.coalesce(text, F.lit("")), "\n", -1)).cast("bigint").alias("n_lines"),
