@@ -47,7 +47,7 @@ class StagedSource:
         keys = list(self.keys)
         # Only keys that the target holds can remove a row of it; for a source that mostly
         # inserts they are few.
-        taken = self.matched.groupBy(*keys).agg(F.sum("copies").alias("copies"))
+        taken = stage(self.matched.groupBy(*keys).agg(F.sum("copies").alias("copies")), "upsert-taken")
         if taken.isEmpty():
             return target.unionByName(self.rows.select(*target.columns))
         untouched = target.join(taken.select(*keys), keys, "left_anti")
