@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The columns that order lines take from their dimensions.
 CUSTOMER_ATTRIBUTES = ("customer_name", "country", "segment", "region")
 PRODUCT_ATTRIBUTES = ("product_name", "category", "sub_category", "price_per_unit")
 

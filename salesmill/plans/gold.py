@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exact, exact_sum
 
+# What the profit aggregate is grouped by.
 PROFIT_DIMENSIONS = ("year", "category", "sub_category", "customer_id", "customer_name", "country")
 
 

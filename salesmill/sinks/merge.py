@@ -15,6 +15,7 @@ from ..operators.upsert import StagedSource, stage_source
 from ..session import LAYERS, TABLE_FORMATS, Layers, literal, quoted, quoted_table, stage
 from .tables import save_table, write_load
 
+# Merge keys and partition columns of the silver tables.
 CUSTOMER_KEYS = ("customer_id", "customer_name")
 PRODUCT_KEYS = ("product_id", "product_name")
 ORDER_KEYS = ("customer_id", "order_id", "product_id")
