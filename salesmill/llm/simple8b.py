@@ -21,13 +21,12 @@ WIDTHS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 
 
 def _bit_lengths(ids: np.ndarray) -> np.ndarray:
-    bits = np.zeros(ids.shape, np.uint8)
-    rest = ids.copy()
-    for step in (32, 16, 8, 4, 2, 1):
-        large = rest >= np.uint64(1 << step)
-        bits[large] += step
-        rest[large] >>= np.uint64(step)
-    return bits + (rest > 0).astype(np.uint8)
+    """Bits of each number: exponents of the halves, which fit a double exactly."""
+    high, low = ids >> np.uint64(32), ids & np.uint64(0xFFFFFFFF)
+    bits = np.frexp(low.astype(np.float64))[1].astype(np.uint8)
+    if high.any():
+        bits = np.where(high > 0, np.frexp(high.astype(np.float64))[1] + 32, bits).astype(np.uint8)
+    return bits
 
 
 AT_A_TIME = 1024 * BLOCK

@@ -32,9 +32,9 @@ from .common import scratch_folder, slices, stage, texts_of
 
 MAGIC = b"S8TOKENS"
 END_ID = 2
-IDS_IN_FILE = 2_000_000
-CACHED_PIECES = 700_000
-RANGE_BYTES = 64 << 20   # of text for a task: fewer, longer ranges repeat fewer pieces
+IDS_IN_FILE = 4_000_000
+CACHED_PIECES = 900_000
+RANGE_BYTES = 96 << 20   # of text for a task: fewer, longer ranges repeat fewer pieces
 
 
 class PieceCache:
