@@ -83,14 +83,16 @@ def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> Da
 
     All documents are counted, those labelled of quality 1 as trusted too. Counts are reduced
     within tasks to at most one row per bucket before they are shuffled. Without trusted
-    documents every weight is 0.
+    documents every weight is 0. Labels grow with the documents, so both sides are shuffled
+    at every size.
     """
     trusted = (
         labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("bigint").alias("id"))
         .distinct().withColumn("trusted", F.lit(1))
     )
     counted = (
-        docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").join(trusted, "id", "left")
+        docs.select(F.col("doc_id").cast("bigint").alias("id"), "text")
+        .join(trusted.hint("merge"), "id", "left")
         .select("trusted", F.explode(grams(words_of(), buckets)).alias("bucket"))
         .groupBy("bucket").agg(F.count("*").alias("raw"), F.count("trusted").alias("trusted"))
     )
