@@ -31,19 +31,26 @@ TILE = 4096          # fingerprints of a band that one task compares with as man
 _VALUE_BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
 
-def fingerprint(text: str, words: int = WORDS) -> int:
-    """SimHash of the word shingles of ``text``, repeats included; 0 without words."""
+def shingle_hashes(text: str, words: int = WORDS) -> np.ndarray:
+    """A hash of each word shingle of ``text``, repeats included; a shorter text is one shingle."""
     from xxhash import xxh64_intdigest
 
     joined = b" ".join(text.encode("utf-8", "surrogatepass").lower().split())
     if not joined:
-        return 0
+        return np.zeros(0, np.uint64)
     spaces = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
     starts = np.append(0, spaces + 1)
     ends = np.append(spaces, len(joined))
     width = min(words, len(starts))
     spans = zip(starts[: len(starts) - width + 1].tolist(), ends[width - 1:].tolist())
-    hashes = np.fromiter((xxh64_intdigest(joined[s:e], SEED) for s, e in spans), np.uint64)
+    return np.fromiter((xxh64_intdigest(joined[s:e], SEED) for s, e in spans), np.uint64)
+
+
+def fingerprint(text: str, words: int = WORDS) -> int:
+    """SimHash of the word shingles of ``text``, repeats included; 0 without words."""
+    hashes = shingle_hashes(text, words)
+    if not len(hashes):
+        return 0
     octets = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)
     ones = np.concatenate([np.bincount(octets[:, k], minlength=256) @ _VALUE_BITS for k in range(8)])
     majority = 2 * ones > len(hashes)
@@ -218,7 +225,11 @@ def one_of_each_group(docs: DataFrame, words: int = WORDS, radius: int = RADIUS)
     It is that with the smallest doc_id (null last), then the smallest hash of its text. Of
     repeated rows one stays. Texts without words are one group.
     """
-    found = near_duplicates(docs, words, radius)
+    return one_of_each(docs, near_duplicates(docs, words, radius))
+
+
+def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each group of ``found(doc_id, tie, group)``, as above."""
     chosen = stage(
         found.groupBy("group").agg(
             F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), "tie")).alias("kept")
