@@ -1,9 +1,8 @@
 """Main text of web pages: what the site repeats is removed.
 
 Pages are parsed into element trees. Every block element's subtree is hashed, and hashes are
-counted per host, in Spark: a subtree that stands in many different surroundings (the hash
-of its parent differs) is the site's template and is deleted. Copies of one article repeat
-all of their surroundings and are no template. In an article its prose stays whatever it is:
+counted per host, in Spark: a subtree that stands on many pages of different content is the
+site's template and is deleted. Copies of one article are one page and make no template. In an article its prose stays whatever it is:
 paragraphs, headings, lists of the text. Elements that say themselves that they are menus,
 notices, adverts, comments and the like go, on the first page of a host already.
 """
@@ -21,8 +20,8 @@ from pyspark.sql import functions as F
 
 from .common import slices, stage, texts_of
 
-LEAST_PLACES = 3       # different surroundings of a template subtree
-LEAST_SHARE = 0.1      # of the host's pages
+LEAST_PAGES = 3        # of different content, with a template subtree
+LEAST_SHARE = 0.01     # of the host's pages of different content
 
 # Elements of HTML, by what they are.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -257,37 +256,47 @@ def host_of(url: str = "url"):
 
 
 def site_templates(
-    pages: DataFrame, least_places: int = LEAST_PLACES, least_share: float = LEAST_SHARE
+    pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE
 ) -> DataFrame:
-    """``host, templates``: hashes of the subtrees that stand in at least ``least_places``
-    different surroundings on the host, and as many as ``least_share`` of its pages.
+    """``host, templates``: hashes of the subtrees that stand on at least ``least_pages`` pages
+    of the host, and as many as ``least_share`` of its pages.
 
-    Surroundings are counted exactly. As each page has few elements, the share bounds what a
-    host can have in ``templates``, however many its pages: not more than the elements of
-    ten pages.
+    Pages of the host whose texts by tags and names are equal are copies and count as one, in
+    both numbers. Pages are counted exactly. As each page has few elements, the share bounds
+    what a host can have in ``templates``, however many its pages: not more than the elements
+    of a hundred pages.
     """
     def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh64_intdigest
+
         for batch in slices(batches, "html"):
-            hosts, own, around = [], [], []
-            for host, html in zip(batch.column("host").to_pylist(), texts_of(batch.column("html"))):
-                pairs = set(subtree_hashes(parse(html)).values())
-                hosts += [host] * len(pairs)
-                own += [_signed(h) for h, _ in pairs]
-                around += [_signed(p) for _, p in pairs]
+            contents, subtrees = [], []
+            for html in texts_of(batch.column("html")):
+                tree = parse(html)
+                contents.append(_signed(xxh64_intdigest(main_text(tree).encode("utf-8", "surrogatepass"))))
+                # The null stands for the page itself.
+                subtrees.append([*sorted({_signed(h) for h, _ in subtree_hashes(tree).values()}), None])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(own, pa.int64()), pa.array(around, pa.int64())],
-                ["host", "subtree", "around"],
+                [batch.column("host"), pa.array(contents, pa.int64()), pa.array(subtrees, pa.list_(pa.int64()))],
+                ["host", "content", "subtrees"],
             )
 
-    sited = pages.select(host_of().alias("host"), "html")
-    counts = sited.groupBy("host").agg(F.count("*").alias("pages"))
-    places = (
-        sited.mapInArrow(hashed, "host string, subtree bigint, around bigint")
-        .distinct().groupBy("host", "subtree").agg(F.count("*").alias("places"))
-        .where(F.col("places") >= least_places)
+    distinct = (
+        pages.select(host_of().alias("host"), "html")
+        .mapInArrow(hashed, "host string, content bigint, subtrees array<bigint>")
+        .groupBy("host", "content").agg(F.min("subtrees").alias("subtrees"))
+    )
+    counts = stage(
+        distinct.select("host", F.explode("subtrees").alias("subtree"))
+        .groupBy("host", "subtree").agg(F.count("*").alias("n"))
+        .where((F.col("n") >= least_pages) | F.col("subtree").isNull()),
+        "subtree-counts",
     )
-    return places.join(counts, "host").where(F.col("places") >= F.col("pages") * least_share).groupBy("host").agg(
-        F.collect_list("subtree").alias("templates")
+    hosts = counts.where("subtree is null").select("host", F.col("n").alias("pages"))
+    return (
+        counts.where("subtree is not null").join(hosts, "host")
+        .where(F.col("n") >= F.col("pages") * least_share)
+        .groupBy("host").agg(F.collect_list("subtree").alias("templates"))
     )
 
 
@@ -299,7 +308,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     """Per row of ``pages(page_id, url, html)``: ``page_id, url, text, n_chars``.
 
     Null and empty html give an empty text. Pages without a host in their url share the empty
-    host. Repeated rows give repeated results and are one surrounding. No rows: none. Other
+    host. Repeated rows give repeated results and count as one page. No rows: none. Other
     columns are not read. Templates join the pages by their host; the hosts' side is
     broadcast if small by its written size, and else shuffled, a hot host's pages split.
     """

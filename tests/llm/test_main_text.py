@@ -66,6 +66,35 @@ def test_site_templates(spark):
     assert got[20, "https://other.example/"] == ("Weather today\nText 20\nCall us", 29)
 
 
+def test_rotating_templates_on_a_small_and_a_large_host(spark):
+    """Twelve rails, each on a twelfth of the pages; each promo in six of them."""
+    def page(k):
+        rail = k % 12
+        return (
+            f"<div>Rail {rail}<div>Promo {rail % 2}</div></div><div><p>Text {k}</p></div>"
+            + "<div>Promo {}</div>".format(k % 2)
+        )
+
+    def check(n, copies):
+        rows = [row(k, f"http://h{n}/{k}", page(k)) for k in range(n)]
+        rows += [row(n + k, f"http://h{n}/{n + k}", page(0)) for k in range(copies)]
+        got = texts_by_id(extract_main_text(pages(spark, rows)))
+        assert all(text == f"Text {k if k < n else 0}" for (k, _), (text, _) in got.items())
+
+    check(48, 0)
+    check(1200, 0)
+    check(48, 2000)   # copies are one page
+
+
+def test_blocks_repeated_on_one_page_are_no_template(spark):
+    """Three surroundings, but one page."""
+    page = "<div>Same<p>a</p></div>"
+    rows = [row(1, "http://one/", f"<div>x{page}</div><div>y{page}</div><div>z{page}</div>")]
+    rows += [row(2, "http://one/2", "<p>other</p>")]
+    got = texts_by_id(extract_main_text(pages(spark, rows)))
+    assert got[1, "http://one/"][0] == "x\nSame\na\ny\nSame\na\nz\nSame\na"
+
+
 def test_odd_rows(spark):
     rows = [row(1, None, None), row(2, "x", ""), row(None, None, "<p>a</p>"), row(3, "not a url", "<p>b é🙂</p>")]
     rows += [row(4, "http://h/", "<p>c</p>"), row(4, "http://h/", "<p>c</p>"), row(5, "", "<p>" + "w " * 100_000)]
