@@ -10,7 +10,7 @@ notices, adverts, comments and the like go, on the first page of a host already.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from html import unescape
 
@@ -136,8 +136,10 @@ def _opened(here: Element, tag: str) -> Element:
 
 def _is_chrome(e: Element, in_article: bool) -> bool:
     """Whether an element says itself that it is none of the main text."""
-    if e.tag in UNSEEN or e.tag in CHROME or (e.tag == "header" and not in_article):
+    if e.tag in UNSEEN:
         return True
+    if e.tag in CHROME or (e.tag == "header" and not in_article):
+        return in_article or not _frames_page(e)
     a = e.attributes
     if not a or e.tag in ("html", "body", "main"):
         return False
@@ -155,6 +157,26 @@ def _is_chrome(e: Element, in_article: bool) -> bool:
     return not (in_article and "header" in names and any(x.tag in HEADINGS for x in _below(e)))
 
 
+def _frames_page(e: Element) -> bool:
+    """Whether a chrome tag stands around what the page is about: it holds articles or the main
+    element and none is outside, or it is a form that holds all of the page's text."""
+    if e.tag != "form" and not any(x.tag in ("article", "main") for x in _below(e)):
+        return False
+    said, elsewhere, at = [], [], e
+    while at.parent is not None:
+        elsewhere += [x for x in at.parent.parts if x is not at]
+        at = at.parent
+    while elsewhere:
+        part = elsewhere.pop()
+        if isinstance(part, str):
+            said.append(part)
+        elif part.tag not in UNSEEN:
+            if part.tag in ("article", "main"):
+                return False
+            elsewhere += part.parts
+    return any(x.tag in ("article", "main") for x in _below(e)) or not "".join(said).strip()
+
+
 def _below(e: Element) -> Iterator[Element]:
     waiting = [e]
     while waiting:
@@ -184,22 +206,36 @@ def subtree_hashes(root: Element) -> dict[int, tuple[int, int]]:
 
 
 def _articles(root: Element) -> list[Element]:
-    """The elements that hold the main text: articles that are not comments, else the main
-    element, else the whole page."""
-    for wanted in ("article", "main"):
-        found, waiting = [], [root]
-        while waiting:
-            e = waiting.pop()
-            for part in reversed(e.parts):
-                if isinstance(part, Element) and not _is_chrome(part, False):
-                    waiting.append(part)
-            if e.tag == wanted or wanted == "main" and e.attributes.get("role", "").lower() == "main":
-                while waiting and waiting[-1].parent is e:
-                    waiting.pop()
-                found.append(e)
-        if found:
-            return found
-    return [root]
+    """The elements that hold the main text: the main element if it has paragraphs of its own
+    outside its articles, else articles that are not comments, else the main element, else
+    the whole page."""
+    mains = _found(root, lambda e: e.tag == "main" or e.attributes.get("role", "").lower() == "main")
+    if any(_has_own_paragraphs(e) for e in mains):
+        return mains
+    return _found(root, lambda e: e.tag == "article") or mains or [root]
+
+
+def _found(root: Element, wanted: Callable[[Element], bool]) -> list[Element]:
+    """Elements outside chrome that are wanted, the outermost of them."""
+    found, waiting = [], [root]
+    while waiting:
+        e = waiting.pop()
+        if wanted(e):
+            found.append(e)
+            continue
+        waiting += [x for x in reversed(e.parts) if isinstance(x, Element) and not _is_chrome(x, False)]
+    return found
+
+
+def _has_own_paragraphs(e: Element) -> bool:
+    waiting = [e]
+    while waiting:
+        for part in waiting.pop().parts:
+            if isinstance(part, Element) and part.tag != "article" and not _is_chrome(part, True):
+                if part.tag == "p" and any(isinstance(t, str) and t.strip() for x in (part, *_below(part)) for t in x.parts):
+                    return True
+                waiting.append(part)
+    return False
 
 
 def main_text(root: Element, templates: set[int] | frozenset[int] = frozenset()) -> str:

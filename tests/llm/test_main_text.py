@@ -33,6 +33,21 @@ def test_pages_of_no_order():
     assert main_text(parse("<title>only &amp; title")) == ""
 
 
+def test_main_with_prose_beside_articles():
+    cards = "<article><p>card 1</p></article><article><p>card 2</p></article>"
+    assert main_text(parse(f"<main><h1>Head</h1><p>Own <b>text</b></p><div>{cards}</div></main>")) == (
+        "Head\nOwn text\ncard 1\ncard 2"
+    )
+    assert main_text(parse(f"<main>{cards}<aside><p>side</p></aside></main><p>foot</p>")) == "card 1\ncard 2"
+
+
+def test_chrome_tags_around_the_page():
+    assert main_text(parse("<body><form><nav>menu</nav><div><p>all</p></div></form><script>x</script></body>")) == "all"
+    assert main_text(parse("<div>top</div><form><main><p>text</p></main></form><form>Mail</form>")) == "text"
+    assert main_text(parse("<aside><article><p>card</p></article></aside><article><p>text</p></article>")) == "text"
+    assert main_text(parse("<p>text</p><form><p>Mail</p></form>")) == "text"
+
+
 def test_templates_go_and_prose_stays():
     page = "<body><div>{}</div><div>Buy now</div><article><p>own {}</p><p>Buy now</p><div>Buy now</div></article></body>"
     tree = parse(page.format("x", 1))
