@@ -14,7 +14,7 @@ holds the bounds); scoring is numpy in tasks.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import asdict, dataclass, field
 
@@ -303,13 +303,16 @@ class Adam:
             self.p[k][at] -= rate * m / (np.sqrt(v) + 1e-8)
 
 
-def train(documents: list[list[str]], toxic: list[int], s: Settings = Settings()) -> Network | None:
+def train(
+    documents: list[list[str]], toxic: list[int], s: Settings = Settings(), stands_for: tuple[float, float] = (1.0, 1.0)
+) -> Network | None:
     """Fit the network to documents given as texts of their windows; None with one class only.
 
     Which window of a toxic document is toxic is not known: each document learns through its
     highest window, chosen anew every third round (at first by the associations of its words);
     clean documents also through one at random. A quarter of the documents is held back to
-    fit the scale of the scores.
+    fit the scale of the scores; there a clean and a toxic document count as many labelled ones as
+    they stand for, so that scores refer to all labelled documents at every size.
     """
     if len(set(toxic)) < 2:
         return None
@@ -342,7 +345,8 @@ def train(documents: list[list[str]], toxic: list[int], s: Settings = Settings()
             _learn(net, adam, data, data.windows[chosen[some]], targets[some], balance)
     logits = np.maximum.reduceat(_window_logits(net, data), bounds[:-1])
     fit_on = back if len(set(data.toxic[back])) == 2 else learn
-    net.scale, net.shift = _fit_scale(logits[fit_on], data.toxic[fit_on])
+    weights = np.where(data.toxic[fit_on] > 0, stands_for[1], stands_for[0])
+    net.scale, net.shift = _fit_scale(logits[fit_on], data.toxic[fit_on], weights / weights.mean())
     return net
 
 
@@ -386,14 +390,14 @@ def _by_row(slots: np.ndarray, gradient: np.ndarray) -> tuple[np.ndarray, np.nda
     return rows, out
 
 
-def _fit_scale(logits: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
-    """Logistic regression of the label on the logit, drawn towards scale 1 and shift 0."""
+def _fit_scale(logits: np.ndarray, toxic: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
+    """Weighted logistic regression of the label on the logit, drawn towards scale 1 and shift 0."""
     x = np.stack([logits, np.ones_like(logits)], axis=1).astype(float)
     w, start = np.array([1.0, 0.0]), np.array([1.0, 0.0])
     for _ in range(25):
         q = _sigmoid(x @ w)
-        gradient = x.T @ (q - toxic) + 0.5 * (w - start)
-        curve = (x * (q * (1 - q))[:, None]).T @ x + 0.5 * np.eye(2)
+        gradient = x.T @ (weights * (q - toxic)) + 0.5 * (w - start)
+        curve = (x * (weights * q * (1 - q))[:, None]).T @ x + 0.5 * np.eye(2)
         w = w - np.linalg.solve(curve, gradient)
         w[0] = max(w[0], 0.05)
     return float(w[0]), float(w[1])
@@ -406,9 +410,12 @@ def held_out(doc_id="doc_id"):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> tuple[list[list[str]], list[int]]:
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, s: Settings = Settings()
+) -> tuple[list[list[str]], list[int], tuple[float, float]]:
     """Windows of up to ``sample_toxic`` and ``sample_clean`` labelled documents, not held out,
-    first by the hash of their ids. A document labelled twice is toxic if one label says so."""
+    first by the hash of their ids. A document labelled twice is toxic if one label says so. Last
+    come the labelled documents that a clean and a toxic one of the sample stand for."""
     known = (
         labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
         .where("doc_id is not null and toxic is not null").where(~held_out())
@@ -420,7 +427,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, s: Settings = Settings()
     ]
     rows = [(row.doc_id, row.toxic) for part in parts for row in part.collect()]
     if not rows:
-        return [], []
+        return [], [], (1.0, 1.0)
+    of_all = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).where("toxic in (0, 1)").collect()}
     # Bounded by the settings: some thousand ids.
     chosen = docs.sparkSession.createDataFrame(rows, "doc_id bigint, toxic int")
 
@@ -448,11 +456,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, s: Settings = Settings()
     for doc_id, toxic, windows in sorted(zip(*(sample.column(c).to_pylist() for c in sample.column_names))):
         key = tuple(windows)
         seen[key] = max(seen.get(key, 0), toxic)
-    return [list(k) for k in seen], list(seen.values())
+    sampled = Counter(value for _, value in rows)
+    stands_for = tuple(of_all[v] / sampled[v] if sampled[v] else 1.0 for v in (0, 1))
+    return [list(k) for k in seen], list(seen.values()), stands_for
 
 
 def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Network | None:
-    return train(*labelled_sample(docs, labels, s), s)
+    documents, toxic, stands_for = labelled_sample(docs, labels, s)
+    return train(documents, toxic, s, stands_for)
 
 
 def _shared(docs: DataFrame, net: Network | None):

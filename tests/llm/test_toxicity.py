@@ -100,6 +100,23 @@ def test_labels_of_held_out_documents_are_not_read(spark):
     assert same[0] == same[1]
 
 
+def test_scale_refers_to_all_labels_when_a_cap_binds(spark):
+    """Labels that the words do not tell: the score is the share of toxic ones."""
+    rows = [(i, t, int(i % 10 == 0)) for i, t, _ in made(900, 4)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, x) for i, _, x in rows], "doc_id bigint, toxic int")
+    s = tox.Settings(word_slots=1 << 8, run_slots=1 << 8, epochs=1, sample_toxic=40, sample_clean=40)
+    documents, toxic, stands_for = tox.labelled_sample(docs, labels, s)
+    known = [x for i, _, x in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert stands_for == (known.count(0) / 40, known.count(1) / 40) and len(toxic) == 80
+    logits, labels = np.zeros(80), np.array(toxic)
+    weights = np.where(labels > 0, stands_for[1], stands_for[0])
+    _, shift = tox._fit_scale(logits, labels, weights / weights.mean())
+    share = known.count(1) / len(known)
+    assert 1 / (1 + np.exp(-shift)) == pytest.approx(share, abs=0.03)
+    assert tox.train(documents, toxic, s, stands_for).shift < tox.train(documents, toxic, s).shift - 0.5
+
+
 def test_odd_documents(spark, odd_docs, fitted):
     net = fitted[2]
     found = tox.score_toxicity(odd_docs, net)
