@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, texts_of
+from .common import slices, stage, texts_of
 
 # Longer runs of word characters are several words.
 LONGEST = 24
@@ -43,7 +43,7 @@ class Settings:
     runs: tuple[int, ...] = (4, 5)   # characters in a run
     sample_toxic: int = 1500     # labelled documents to learn from, at most
     sample_clean: int = 3000
-    sample_windows: int = 40     # windows of each, at most, evenly spread
+    sample_windows: int = 240_000    # of all of them, a third for toxic ones: fewer documents, each whole
     epochs: int = 14
     batch: int = 96
     rate: float = 0.01
@@ -413,7 +413,7 @@ def held_out(doc_id="doc_id"):
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, s: Settings = Settings()
 ) -> tuple[list[list[str]], list[int], tuple[float, float]]:
-    """Windows of up to ``sample_toxic`` and ``sample_clean`` labelled documents, not held out,
+    """All windows of up to ``sample_toxic`` and ``sample_clean`` labelled documents, not held out,
     first by the hash of their ids. A document labelled twice is toxic if one label says so. Last
     come the labelled documents that a clean and a toxic one of the sample stand for."""
     known = (
@@ -438,8 +438,6 @@ def labelled_sample(
             for text in texts_of(batch.column("text")):
                 words = WORD.findall(text.lower())
                 starts = np.arange(0, max(len(words) - (s.window - s.step), 1), s.step)
-                if len(starts) > s.sample_windows:
-                    starts = starts[np.linspace(0, len(starts) - 1, s.sample_windows).astype(int)]
                 found.append([" ".join(words[k:k + s.window]) for k in starts])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("toxic"), pa.array(found, pa.list_(pa.string()))],
@@ -447,10 +445,26 @@ def labelled_sample(
             )
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    sample = (
-        texts.join(F.broadcast(chosen), "doc_id")
-        .mapInArrow(cut, "doc_id bigint, toxic int, windows array<string>").toArrow()
+    found = stage(
+        texts.join(F.broadcast(chosen), "doc_id").mapInArrow(cut, "doc_id bigint, toxic int, windows array<string>"),
+        "labelled-windows",
     )
+    sizes = {r.doc_id: r.n for r in found.groupBy("doc_id").agg(F.sum(F.size("windows")).alias("n")).collect()}
+    left = {1: s.sample_windows // 3, 0: s.sample_windows - s.sample_windows // 3}
+    whole, full = [], set()
+    for doc_id, value in rows:
+        n = sizes.get(doc_id, 0)
+        # The first of a class is taken whatever its length, and the order decides, not the length.
+        if value in full or n > left[value] and any(v == value for _, v in whole[-1:]):
+            full.add(value)
+            continue
+        left[value] -= n
+        whole.append((doc_id, value))
+    rows = whole
+    if full:
+        kept = docs.sparkSession.createDataFrame([(i,) for i, _ in rows], "doc_id bigint")
+        found = found.join(F.broadcast(kept), "doc_id", "left_semi")
+    sample = found.select("doc_id", "toxic", "windows").toArrow()
     # Copies would count as many times; keep each content once, in a fixed order.
     seen = {}
     for doc_id, toxic, windows in sorted(zip(*(sample.column(c).to_pylist() for c in sample.column_names))):

@@ -117,6 +117,21 @@ def test_scale_refers_to_all_labels_when_a_cap_binds(spark):
     assert tox.train(documents, toxic, s, stands_for).shift < tox.train(documents, toxic, s).shift - 0.5
 
 
+def test_sampled_documents_are_whole(spark):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(2000))) for i in ids]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id bigint, toxic int")
+    words = {t for _, t in rows}
+    for most in (240_000, 1000):
+        s = tox.Settings(sample_windows=most)
+        documents, toxic, stands_for = tox.labelled_sample(docs, labels, s)
+        assert all(set(" ".join(d).split()) in [set(t.split()) for t in words] for d in documents)
+        assert set(toxic) == {0, 1} and (len(documents) == len(ids)) == (most == 240_000)
+        assert sum(map(len, documents)) <= most
+        assert [round(stands_for[v] * toxic.count(v)) for v in (0, 1)] == [len(ids) - len(ids) // 2, len(ids) // 2]
+
+
 def test_odd_documents(spark, odd_docs, fitted):
     net = fitted[2]
     found = tox.score_toxicity(odd_docs, net)
