@@ -34,7 +34,7 @@ THRESHOLD = 0.7
 @dataclass(frozen=True)
 class Settings:
     window: int = 32             # words
-    step: int = 24               # words from one window to the next
+    step: int = 16               # words from one window to the next: any 17 in a row are whole in one
     hidden: int = 8              # units in a direction
     word_slots: int = 1 << 16
     word_size: int = 4

@@ -52,6 +52,12 @@ def test_windows_overlap_and_cover_every_word(n):
     assert len(cut) == 1 or (cut[-1] >= 0).sum() > s.window - s.step
 
 
+def test_short_passages_lie_whole_in_a_window():
+    s = tox.Settings()
+    cut = [set(w.tolist()) for w in tox.windows_of(np.arange(1000, dtype=np.int32), s)]
+    assert all(any(set(range(k, k + 17)) <= w for w in cut) for k in range(1000 - 17))
+
+
 def made(n, seed):
     """Documents of invented words; toxic ones have some words of one stem among them."""
     r = random.Random(seed)
