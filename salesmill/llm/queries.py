@@ -5,7 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, main_text, quality, secrets, sentence_pieces, shards, simhash, tiling, token_files, toxicity
+from . import (
+    conversation_trie,
+    line_dedup,
+    main_text,
+    merkle,
+    quality,
+    secrets,
+    sentence_pieces,
+    shards,
+    simhash,
+    tiling,
+    token_files,
+    toxicity,
+)
 from .common import read_table
 
 
@@ -66,6 +79,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.rebuilt_trie(read_table(spark, sf_dir, "conversations"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_digest(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_main_text": op1_main_text,
     "op2_toxicity": op2_toxicity,
@@ -77,6 +98,8 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_line_dedup": op10_line_dedup,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 ORACLES: dict[str, str] = {"op8_secrets": secrets.oracle()}
