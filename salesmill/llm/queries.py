@@ -18,6 +18,7 @@ from . import (
     tiling,
     token_files,
     toxicity,
+    warc_archive,
 )
 from .common import read_table
 
@@ -87,6 +88,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op13_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_archive.archive_digest(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_main_text": op1_main_text,
     "op2_toxicity": op2_toxicity,
@@ -100,6 +105,7 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
     "op11_conversation_trie": op11_conversation_trie,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_warc_archive": op13_warc_archive,
 }
 
 ORACLES: dict[str, str] = {"op8_secrets": secrets.oracle()}
