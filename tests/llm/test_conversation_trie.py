@@ -1,0 +1,132 @@
+"""Conversation trie against a dictionary of all prefixes."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import zlib
+
+import pytest
+
+from salesmill.llm import conversation_trie as ct
+from salesmill.llm.queries import op11_conversation_trie
+
+from .conftest import SMALL
+
+LAYOUT = "conv_id bigint, turn bigint, role string, text string"
+EXTRA = ", pos bigint, n bigint, depth int, a bigint, b string, size int, item string, kind int, `__place` int, block int"
+
+
+def sequences(rows):
+    """Turns of each conversation in their order."""
+    convs = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            item = hashlib.sha256(f"{len(role.encode())}:{role}{text}".encode()).hexdigest()
+            convs.setdefault(conv, []).append((turn is not None, turn or 0, role, text[:64], item, text))
+    return {c: [(r, t) for *_, r, _, _, t in sorted(turns)] for c, turns in convs.items()}
+
+
+def rebuilt(own):
+    out = {}
+    for conv, turns in own.items():
+        h = zlib.crc32(str(conv).encode()) % 6
+        out[conv] = own.get(conv - int(math.fmod(conv, 100)), [])[:h] + turns[h:]
+    return out
+
+
+def plain(convs):
+    nodes, children = {}, {}
+    for conv, turns in convs.items():
+        for d in range(len(turns) + 1):
+            nodes.setdefault(tuple(turns[:d]), []).append(conv)
+    for path in nodes:
+        if path:
+            children.setdefault(path[:-1], []).append(path)
+    leaves, saved = {}, {}
+    for path in sorted(nodes, key=len, reverse=True):
+        below = children.get(path, [])
+        leaves[path] = sum(leaves[p] for p in below) if below else 1
+        own = (len(nodes[path]) - 1) * len(path[-1][1]) if path else 0
+        saved[path] = own + sum(saved[p] for p in below)
+    out = []
+    for path, members in nodes.items():
+        ends = ",".join(str(c) for c in sorted(members) if len(convs[c]) == len(path))
+        out.append((
+            min(members), len(path), min(nodes[path[:-1]]) if path else None, len(members), len(children.get(path, [])),
+            leaves[path], saved[path], hashlib.sha256(ends.encode()).hexdigest(),
+        ))
+    return sorted(out)
+
+
+def rows_of(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def some_conversations(seed=3, n=160):
+    r = random.Random(seed)
+    texts = ["hello", "", None, "é🙂ß", "x" * 700, "tell me more", "and then?"]
+    rows = []
+    for k in range(n):
+        conv = r.choice([k, k + 100 * r.randrange(6), -k, 10**15 + k])
+        for turn in range(r.choice([1, 1, 2, 3, 5, 9])):
+            rows.append((conv, r.choice([turn, turn, None]), r.choice(["user", "assistant", None]), r.choice(texts)))
+    # One conversation that many copy whole, and one that has no turns left once rebuilt.
+    rows += [(2000 + k, turn, "user", f"copy {turn}") for k in range(90) for turn in range(7)]
+    rows += [(c, 1, "user", "only") for c in range(77_701, 77_720)]
+    return rows + rows[:40]
+
+
+def test_query_against_plain(spark, small):
+    got = op11_conversation_trie(spark, SMALL)
+    assert got.columns == [
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    ]
+    assert {t for _, t in got.dtypes[:-1]} == {"bigint"}
+    rows = [(c["conv_id"], c["turn"], c["role"], c["text"]) for c in small("conversations")]
+    assert rows_of(got) == plain(rebuilt(sequences(rows)))
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_odd_conversations(spark, seed):
+    rows = some_conversations(seed)
+    rows += [(None, 1, "user", "nobody's"), (None, None, None, None), (5_000, None, None, None)]
+    names = EXTRA.count(",")
+    df = spark.createDataFrame([(*row, *[None] * names) for row in rows], LAYOUT + EXTRA).repartition(5)
+    own = sequences(rows)
+    assert any(not turns for turns in rebuilt(own).values())
+    assert rows_of(ct.rebuilt_trie(df)) == plain(rebuilt(own))
+    assert rows_of(ct.conversation_trie(df)) == plain(own)
+
+
+def test_no_conversations(spark):
+    assert ct.rebuilt_trie(spark.createDataFrame([], LAYOUT)).count() == 0
+
+
+def test_long_conversations_in_blocks(spark, monkeypatch):
+    """Conversations over several blocks and ranges, that part in a late turn, and lists of ids in several pieces."""
+    monkeypatch.setattr(ct, "BLOCK", 7)
+    monkeypatch.setattr(ct, "CHUNK", 16)
+    rows = [(c, t, "user", f"turn {t}") for c in (1, 2, 3) for t in range(200)]
+    rows += [(4, t, "user", f"turn {t}" if t < 150 else f"other {t}") for t in range(300)]
+    rows += [(c, 0, "user", "short") for c in range(10, 60)]
+    df = spark.createDataFrame(rows, LAYOUT).repartition(6)
+    assert rows_of(ct.conversation_trie(df)) == plain(sequences(rows))
+
+
+def test_sketch_decides_what_moves_only(spark, monkeypatch):
+    """A sketch so small that all seems shared gives the same trie; a wide one lets tails stay."""
+    rows = some_conversations()
+    df = spark.createDataFrame(rows, LAYOUT)
+    turns = ct.number_turns(df)
+    prefixes = ct._prefixes(turns.selectExpr("conv_id", "pos + 1 as depth", "n", "item", "size"))
+    kinds = {r.kind: r["count"] for r in ct._screened(prefixes, ct.MOST_CELLS).groupBy("kind").count().collect()}
+    assert kinds[ct.TAIL] > 50 and kinds[ct.CANDIDATE] < prefixes.count() * 0.9
+    monkeypatch.setattr(ct, "LEAST_CELLS", 8)
+    prefixes.persist()
+    assert {r.kind for r in ct._screened(prefixes, 8).select("kind").distinct().collect()} == {ct.CANDIDATE}
+    convs = turns.where("pos = 0").select("conv_id", "n")
+    got = ct.trie(turns.selectExpr("conv_id", "pos + 1 as depth", "n", "item", "size"), convs, most_cells=8)
+    assert rows_of(got) == plain(sequences(rows))
