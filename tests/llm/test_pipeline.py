@@ -75,3 +75,36 @@ def test_run_is_all_stages(spark, stages):
     assert sorted(map(tuple, got.select("doc_id", "ids_crc32").collect())) == sorted(
         map(tuple, after.select("doc_id", "ids_crc32").collect())
     )
+
+
+@pytest.fixture(params=["odd", "none"])
+def odd_folder(request, spark, odd_docs, no_docs, tmp_path):
+    """Tables of odd documents or none, no labels, and benchmark items of which one is null and one empty."""
+    docs = odd_docs if request.param == "odd" else no_docs
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    items = [(1, None), (2, ""), (3, " ".join(f"p2w{k}" for k in range(20)))]
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    return str(tmp_path)
+
+
+def test_odd_documents_through_all_stages(spark, odd_folder, tmp_path):
+    """Names that clash come through all stages but the last; what each removes is what it states."""
+    docs = read_table(spark, odd_folder, "documents")
+    columns, kept = docs.columns, {}
+    for k, (name, step) in enumerate(corpus_pipeline.STAGES):
+        step(spark, docs, odd_folder).write.parquet(f"{tmp_path}/stage{k}")
+        docs = spark.read.parquet(f"{tmp_path}/stage{k}")
+        kept[name] = [(r.doc_id, r.text) for r in docs.collect()] if name != "sentence_pieces" else docs.count()
+        assert name == "sentence_pieces" or docs.columns == columns
+    if not kept["toxicity"]:
+        assert not any(kept.values())
+        return
+    source = [(r.doc_id, r.text) for r in read_table(spark, odd_folder, "documents").collect()]
+    assert sorted(kept["toxicity"], key=repr) == sorted(source, key=repr)   # no labels: nothing is toxic
+    assert sum(not (t or "").split() for _, t in kept["near_dedup"]) == 1   # texts without words are one group
+    assert len(set(kept["near_dedup"])) == len(kept["near_dedup"])
+    assert [i for i, t in kept["near_dedup"] if "p2w3" in (t or "")] == [10]
+    assert not any("p2w3" in (t or "") for _, t in kept["decontamination"])
+    assert kept["sentence_pieces"] == len(kept["decontamination"])
+    assert corpus_pipeline.run(spark, odd_folder).count() == kept["sentence_pieces"]
