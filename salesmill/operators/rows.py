@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..session import quoted
@@ -60,3 +61,21 @@ def best_of_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) ->
 def sample(df: DataFrame, columns: Iterable[str], order_by: Sequence[str], rows: int) -> DataFrame:
     """The first ``rows`` rows in a stated order, for display."""
     return df.select(*columns).orderBy(*order_by).limit(rows)
+
+
+def in_partitions(rows: Sequence[Row], partition_by: Sequence[str]) -> Column:
+    """Whether a row is of one of the given partitions: a filter that the scan can prune by, with
+    one term for each value of the outer columns."""
+    *outer, last = partition_by
+    inner_values = defaultdict(list)
+    for row in rows:
+        inner_values[tuple(row[c] for c in outer)].append(row[last])
+    terms = [F.lit(False)]
+    for prefix, values in inner_values.items():
+        term = F.col(quoted(last)).isin([v for v in values if v is not None])
+        if None in values:
+            term = term | F.col(quoted(last)).isNull()
+        for name, value in zip(outer, prefix):
+            term = F.col(quoted(name)).eqNullSafe(F.lit(value)) & term
+        terms.append(term)
+    return reduce(Column.__or__, terms[1:] or terms)

@@ -12,12 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .rows import best_of_key
+from .rows import best_of_key, in_partitions
 
 
 class AmbiguousSourceError(ValueError):
@@ -38,32 +39,40 @@ class StagedSource:
     claims: DataFrame
     matched: DataFrame
 
+    @cached_property
+    def taken(self) -> DataFrame:
+        """Each key that the target holds, once, and in how many rows. Only these can remove a
+        row of it; for a source that mostly inserts they are few."""
+        return stage(self.matched.groupBy(*self.keys).agg(F.sum("copies").alias("copies")), "upsert-taken")
+
+    def removed(self, target: DataFrame) -> DataFrame:
+        """Rows of ``target`` that the source replaces."""
+        return target.join(self.taken.select(*self.keys), list(self.keys), "left_semi").select(*target.columns)
+
     def merge_into(self, target: DataFrame) -> DataFrame:
         """``target`` with the source upserted; lazy.
 
         Both written sides of these joins hold a key once and come straight from a scan:
         neither can be skewed, and adaptive execution is free to split the target.
         """
+        return self.untouched(target).unionByName(self.added(target))
+
+    def untouched(self, target: DataFrame) -> DataFrame:
+        """Rows of ``target`` that stay as they are."""
+        if self.taken.isEmpty():
+            return target
+        return target.join(self.taken.select(*self.keys), list(self.keys), "left_anti").select(*target.columns)
+
+    def added(self, target: DataFrame) -> DataFrame:
+        """Rows that the merge puts in: each source row, as often as ``target`` holds its key, once if it does not."""
         keys = list(self.keys)
-        # Only keys that the target holds can remove a row of it; for a source that mostly
-        # inserts they are few.
-        taken = stage(self.matched.groupBy(*keys).agg(F.sum("copies").alias("copies")), "upsert-taken")
-        if taken.isEmpty():
-            return target.unionByName(self.rows.select(*target.columns))
-        untouched = target.join(taken.select(*keys), keys, "left_anti")
-        repeated = taken.where("copies > 1")
-        parts = [untouched.select(*target.columns)]
+        repeated = self.taken.where("copies > 1")
         if repeated.isEmpty():
-            parts.append(self.rows)
-        else:
-            repeated_keys = stage(repeated.select(*keys), "repeated-keys")
-            several = stage(self.rows.join(repeated_keys, keys, "left_semi"), "repeated-rows")
-            parts.append(self.rows.join(repeated_keys, keys, "left_anti"))
-            parts.append(target.select(*keys).join(several, keys, "inner"))
-        merged = parts[0]
-        for part in parts[1:]:
-            merged = merged.unionByName(part.select(*target.columns))
-        return merged
+            return self.rows.select(*target.columns)
+        repeated_keys = stage(repeated.select(*keys), "repeated-keys")
+        several = stage(self.rows.join(repeated_keys, keys, "left_semi"), "repeated-rows")
+        once = self.rows.join(repeated_keys, keys, "left_anti").select(*target.columns)
+        return once.unionByName(target.select(*keys).join(several, keys, "inner").select(*target.columns))
 
 
 def stage_source(
@@ -73,11 +82,13 @@ def stage_source(
     location: Sequence[str] = (),
     on_duplicate: str = "error",
     order_by: Sequence[str] = (),
+    co_located: Sequence[str] = (),
 ) -> StagedSource:
     """Write the source out and find what it touches, reading keys of the target only.
 
     The source is computed once, here; it is often a whole enrichment, and the merge
-    looks at it several times.
+    looks at it several times. ``co_located`` are partition columns of the target that follow from
+    the key, so that keys are looked for only where the source has rows.
     """
     keys = list(keys)
     if on_duplicate not in ("error", "latest"):
@@ -90,6 +101,9 @@ def stage_source(
         rows.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("claims")),
         "upsert-claims",
     )
+    if co_located:
+        # As many values as the target has partitions, at most.
+        target = target.where(in_partitions(rows.select(*co_located).distinct().collect(), co_located))
     held_at = list(dict.fromkeys([*keys, *location]))
     matched = stage(
         target.select(*held_at)

@@ -6,6 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 from functools import cache
 
@@ -111,14 +114,53 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under the cluster's shared ``spark.checkpoint.dir``.
 
     A folder set by ``setCheckpointDir`` serves too. Only a local session may do without
-    either; it gets one temporary folder, removed when the program ends.
+    either; it gets one temporary folder, removed when the program ends. Within
+    ``owned_scratch`` it is a folder of the owner.
     """
+    return f"{_OWNER.get() or _scratch_base(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def _scratch_base(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not _is_local(spark):
             raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
         base = _local_scratch()
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+# The folder that scratch folders are made in while one task owns them.
+_OWNER: ContextVar[str | None] = ContextVar("scratch_owner", default=None)
+
+
+@contextmanager
+def owned_scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A folder that holds all scratch folders made within, and is removed when the work is done.
+
+    For work that leaves nothing lazy behind. If it fails its folder stays, since what has been written
+    may be needed to finish it; an owner within another is part of that one.
+    """
+    if _OWNER.get():
+        yield _OWNER.get()
+        return
+    folder = f"{_scratch_base(spark)}/{purpose}-{uuid.uuid4().hex}"
+    token = _OWNER.set(folder)
+    try:
+        yield folder
+    finally:
+        _OWNER.reset(token)
+    remove_folder(spark, folder)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def remove_file(spark: SparkSession, file_path: str) -> None:
+    """A file as ``_metadata.file_path`` names it, if it is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file_path))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
 
 
 def _is_local(spark: SparkSession) -> bool:

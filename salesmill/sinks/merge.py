@@ -3,17 +3,27 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections import defaultdict
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.rows import keep_latest
+from ..operators.rows import in_partitions, keep_latest
 from ..operators.upsert import StagedSource, stage_source
-from ..session import LAYERS, TABLE_FORMATS, Layers, literal, quoted, quoted_table, stage
-from .tables import save_table, write_load
+from ..session import (
+    LAYERS,
+    TABLE_FORMATS,
+    Layers,
+    literal,
+    owned_scratch,
+    quoted,
+    quoted_table,
+    remove_file,
+    scratch_folder,
+    stage,
+)
+from .tables import gather_partitions, save_table, write_load
 
 # Merge keys and partition columns of the silver tables.
 CUSTOMER_KEYS = ("customer_id", "customer_name")
@@ -23,15 +33,12 @@ ORDER_PARTITIONS = ("order_year", "order_month")
 
 # Formats that bring a MERGE of their own.
 MERGE_FORMATS = ("delta", "iceberg")
-# Noted in a table while a load's partitions are being pointed at; beside the load, its list.
+# Noted in a table while partitions of it are replaced: the folder of the rows that they get.
 PENDING = "salesmill.pending"
-PENDING_SUFFIX = "-pending"
-FILLED = "__filled"
-PARTITIONS_AT_ONCE = 200
-# Characters that Spark writes as codes in the names of partition folders (fixed values).
-SPECIAL_IN_PATHS = frozenset("\"#%'*/:=?\\\x7f{[]^")
-# How Spark names the folder of a null partition value.
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+# Noted in a table whose rows are dealt out by the hash of a key column: that column, and how many buckets.
+BUCKET_BY, BUCKETS = "salesmill.bucket_by", "salesmill.buckets"
+BUCKET = "key_bucket"
+FILE = "__file"
 
 
 def merge_silver_customers(
@@ -85,48 +92,71 @@ def merge_table(
     table_format: str = "parquet",
     on_duplicate: str = "error",
     order_by: Sequence[str] = (),
+    buckets: int | None = None,
 ) -> None:
     """Upsert ``df`` into ``table``, creating it on the first load.
 
-    On a Parquet table only the partitions a merge touches are rewritten: those of the
-    source rows and those holding a row they match. Each is pointed at its new folder in
-    one step, or dropped if its last row moved away.
+    On a partitioned Parquet table only partitions that hold a row to update, or get one that comes from
+    another partition, are rewritten (Spark's dynamic partition overwrite); rows of
+    new keys are appended to the others, whose files stay. The rows of a rewritten partition are complete in
+    the scratch folder, and noted in the table, before Spark replaces its files: a merge that stops
+    half way is finished by the next one, or by itself run again.
 
-    Before the first partition is pointed anew, the list of all that are is written and
-    noted in a property of the table. A merge that stops half way is first finished from
-    that list by the next one, so no row is lost or found twice after it.
+    ``buckets`` is for tables without partitions of their own: rows are dealt out by the hash of the
+    first key into so many, in the partition column ``key_bucket``. A merge then looks for keys in the source's
+    buckets only and rewrites those that hold one. Later merges take the number from the
+    table; its first key must be among theirs.
     """
     if table_format not in TABLE_FORMATS:
         raise ValueError(f"table_format {table_format!r}: one of {TABLE_FORMATS}")
     exists = spark.catalog.tableExists(table)
+    noted = {}
     if exists and table_format == "parquet":
         stored_as = _provider(spark, table)
         if stored_as != "parquet":
             raise ValueError(f"{table} is stored as {stored_as}; merging would damage it")
-        _finish_pending(spark, table)
-    if on_duplicate == "latest" and not (exists and table_format == "parquet"):
-        df = keep_latest(stage(df, "merge-rows"), keys, order_by)
-    if not exists:
-        save_table(spark, df, table, partition_by, "overwrite", table_format)
-        return
-    if table_format in MERGE_FORMATS:
-        same_key = " AND ".join(f"{quoted_table(table)}.{quoted(k)} = source.{quoted(k)}" for k in keys)
-        (
-            df.alias("source")
-            .mergeInto(table, F.expr(same_key))
-            .whenMatched().updateAll()
-            .whenNotMatched().insertAll()
-            .merge()
-        )
-        return
-
-    target = spark.table(table)
-    staged = stage_source(target, df, keys, partition_by, on_duplicate, order_by)
-    if not partition_by:
-        folder = write_load(spark, staged.merge_into(target), table)
-        spark.sql(f"ALTER TABLE {quoted_table(table)} SET LOCATION {literal(folder)}")
-    else:
-        _rewrite_partitions(spark, staged, target, table, list(partition_by))
+        finish_replacing(spark, table)
+        noted = _noted(spark, table)
+    bucket_by = noted.get(BUCKET_BY) or (keys[0] if buckets and not exists and table_format == "parquet" else None)
+    if bucket_by:
+        if partition_by or bucket_by not in keys:
+            raise ValueError(f"rows of {table} are in buckets of {bucket_by!r}: one of the keys, and no partitions beside it")
+        buckets = int(noted.get(BUCKETS) or buckets)
+        df = df.withColumn(BUCKET, F.pmod(F.xxhash64(quoted(bucket_by)), F.lit(buckets)).cast("int"))
+        partition_by = (BUCKET,)
+    with owned_scratch(spark, "merge"):
+        if on_duplicate == "latest" and not (exists and table_format == "parquet"):
+            df = keep_latest(stage(df, "merge-rows"), keys, order_by)
+        if not exists:
+            save_table(spark, df, table, partition_by, "overwrite", table_format)
+            if bucket_by:
+                _note(spark, table, {BUCKET_BY: bucket_by, BUCKETS: str(buckets)})
+        elif table_format in MERGE_FORMATS:
+            _native_merge(df, table, keys)
+        else:
+            target = spark.table(table)
+            staged = stage_source(
+                target, df, keys, partition_by, on_duplicate, order_by, co_located=partition_by if bucket_by else ()
+            )
+            if partition_by:
+                _merge_partitions(spark, staged, target, table, list(partition_by))
+            else:
+                folder = write_load(spark, staged.merge_into(target), table)
+                spark.sql(f"ALTER TABLE {quoted_table(table)} SET LOCATION {literal(folder)}")
+
+
+def merge_condition(table: str, keys: Sequence[str]) -> str:
+    return " AND ".join(f"{quoted_table(table)}.{quoted(k)} = source.{quoted(k)}" for k in keys)
+
+
+def _native_merge(df: DataFrame, table: str, keys: Sequence[str]) -> None:
+    (
+        df.alias("source")
+        .mergeInto(table, F.expr(merge_condition(table, keys)))
+        .whenMatched().updateAll()
+        .whenNotMatched().insertAll()
+        .merge()
+    )
 
 
 def _provider(spark: SparkSession, table: str) -> str:
@@ -134,65 +164,84 @@ def _provider(spark: SparkSession, table: str) -> str:
     return rows[0]["data_type"].lower() if rows else "unknown"
 
 
-def _rewrite_partitions(
+def _noted(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {quoted_table(table)}").collect()}
+
+
+def _note(spark: SparkSession, table: str, properties: dict[str, str]) -> None:
+    told = ", ".join(f"{literal(k)} = {literal(v)}" for k, v in properties.items())
+    spark.sql(f"ALTER TABLE {quoted_table(table)} SET TBLPROPERTIES ({told})")
+
+
+def _merge_partitions(
     spark: SparkSession,
     staged: StagedSource,
     target: DataFrame,
     table: str,
     partition_by: list[str],
 ) -> None:
+    places = [quoted(c) for c in partition_by]
+    known = staged.rows.join(staged.taken.select(*staged.keys), list(staged.keys), "left_semi")
     # One row per table partition at most, so this fits the driver as the catalog does.
-    touched = (
-        staged.matched.select(*map(quoted, partition_by))
-        .union(staged.rows.select(*map(quoted, partition_by)))
-        .distinct()
-    )
-    rows = touched.collect()
-    if not rows:
-        return
-    affected = target.where(_in_partitions(rows, partition_by))
-    folder = write_load(spark, staged.merge_into(affected), table, partition_by)
-    # The partitions that the load has rows for; the others have lost their last one.
-    written = spark.read.schema(target.schema).parquet(folder).select(*map(quoted, partition_by)).distinct()
-    same = reduce(Column.__and__, [F.col(f"t.{quoted(c)}").eqNullSafe(F.col(f"w.{quoted(c)}")) for c in partition_by])
-    filled = touched.alias("t").join(written.withColumn(FILLED, F.lit(True)).alias("w"), same, "left").select(
-        "t.*", F.coalesce(F.col(f"w.{FILLED}"), F.lit(False)).alias(FILLED)
-    )
-    filled.coalesce(1).write.parquet(f"{folder}{PENDING_SUFFIX}")
-    spark.sql(f"ALTER TABLE {quoted_table(table)} SET TBLPROPERTIES ('{PENDING}' = {literal(folder)})")
-    _finish_pending(spark, table)
+    hit = staged.matched.select(*places).union(known.select(*places)).distinct().collect()
+    in_hit = in_partitions(hit, partition_by)
+    if hit:
+        affected = target.where(in_hit)
+        rewritten = staged.untouched(affected).unionByName(staged.added(affected).where(in_hit))
+        replace_partitions(spark, table, rewritten, hit, partition_by)
+    # All rows of known keys are among the rewritten.
+    new = staged.rows.where(~F.coalesce(in_hit, F.lit(False))).select(*target.columns)
+    gather_partitions(new, partition_by).write.insertInto(table)
+
+
+def replace_partitions(
+    spark: SparkSession, table: str, rows: DataFrame, partitions: Sequence[Row], partition_by: Sequence[str]
+) -> None:
+    """Give each of ``partitions`` those of ``rows`` that belong to it; those that get none are dropped."""
+    places = [quoted(c) for c in partition_by]
+    folder = scratch_folder(spark, "rewritten")
+    rows.write.parquet(f"{folder}/rows")
+    filled = set(spark.read.schema(rows.schema).parquet(f"{folder}/rows").select(*places).distinct().collect())
+    vacated = [p for p in partitions if p not in filled]
+    emptied = spark.table(table).where(in_partitions(vacated, partition_by)).select(*places, F.col("_metadata.file_path").alias(FILE))
+    emptied.distinct().write.parquet(f"{folder}/vacated")
+    _note(spark, table, {PENDING: folder})
+    finish_replacing(spark, table)
 
 
-def _finish_pending(spark: SparkSession, table: str) -> None:
-    """Point the partitions of the load noted in the table at it, and drop its empty ones.
+def finish_replacing(spark: SparkSession, table: str) -> None:
+    """Replace the partitions whose rows are noted in the table, if any are.
 
     Doing so again changes nothing, so it may stop at any point.
     """
-    name = quoted_table(table)
-    noted = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
-    folder = noted.get(PENDING)
+    folder = _noted(spark, table).get(PENDING)
     if not folder:
         return
-    pending = spark.read.parquet(f"{folder}{PENDING_SUFFIX}")
-    columns = [c for c in pending.columns if c != FILLED]
-    rows = pending.collect()
-    specs = {True: [], False: []}
-    for row in rows:
-        values = ", ".join(f"{quoted(c)} = {_sql_value(row[c])}" for c in columns)
-        specs[row[FILLED]].append((f"PARTITION ({values})", "/".join(_path_part(c, row[c]) for c in columns)))
-    for at in range(0, len(specs[False]), PARTITIONS_AT_ONCE):
-        some = ", ".join(spec for spec, _ in specs[False][at:at + PARTITIONS_AT_ONCE])
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {some}")
-    # Adding takes many at once and leaves those that exist, which are pointed one by one.
-    known = {row[0] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
-    new = [(spec, place) for spec, place in specs[True] if place not in known]
-    for at in range(0, len(new), PARTITIONS_AT_ONCE):
-        some = " ".join(f"{spec} LOCATION {literal(f'{folder}/{place}')}" for spec, place in new[at:at + PARTITIONS_AT_ONCE])
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {some}")
-    for spec, place in specs[True]:
-        if place in known:
-            spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION {literal(f'{folder}/{place}')}")
-    spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES IF EXISTS ('{PENDING}')")
+    name, target = quoted_table(table), spark.table(table)
+    rows = spark.read.schema(target.schema).parquet(f"{folder}/rows").select(*target.columns)
+    vacated = spark.read.parquet(f"{folder}/vacated")
+    places = [c for c in vacated.columns if c != FILE]
+    with _overwriting_dynamically(spark):
+        gather_partitions(rows, places).write.insertInto(table, overwrite=True)
+    # Dropping leaves the files, and a later row of the partition would bring them back.
+    for place in vacated.groupBy(*map(quoted, places)).agg(F.collect_set(FILE).alias(FILE)).collect():
+        values = ", ".join(f"{quoted(c)} = {_sql_value(place[c])}" for c in places)
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({values})")
+        for file in place[FILE]:
+            remove_file(spark, file)
+    spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES IF EXISTS ({literal(PENDING)})")
+
+
+@contextmanager
+def _overwriting_dynamically(spark: SparkSession) -> Iterator[None]:
+    """An overwriting insert replaces only the partitions that it has rows for."""
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
 
 
 def _sql_value(value) -> str:
@@ -204,30 +253,3 @@ def _sql_value(value) -> str:
     if isinstance(value, dt.date):
         return f"DATE '{value}'"
     return literal(value) if isinstance(value, str) else str(value).lower()
-
-
-def _path_part(name: str, value) -> str:
-    """A partition's folder as Spark names it: special characters as % and two digits."""
-    if value is None or value == "":
-        value = NULL_PARTITION
-    elif isinstance(value, bool):
-        value = str(value).lower()
-    escaped = "".join(f"%{ord(c):02X}" if ord(c) < 32 or c in SPECIAL_IN_PATHS else c for c in str(value))
-    return f"{name}={escaped}"
-
-
-def _in_partitions(rows: list[Row], partition_by: list[str]) -> Column:
-    """A filter the scan can prune by; one term for each value of the outer columns."""
-    *outer, last = partition_by
-    inner_values = defaultdict(list)
-    for row in rows:
-        inner_values[tuple(row[c] for c in outer)].append(row[last])
-    terms = []
-    for prefix, values in inner_values.items():
-        term = F.col(quoted(last)).isin([v for v in values if v is not None])
-        if None in values:
-            term = term | F.col(quoted(last)).isNull()
-        for name, value in zip(outer, prefix):
-            term = F.col(quoted(name)).eqNullSafe(F.lit(value)) & term
-        terms.append(term)
-    return reduce(Column.__or__, terms)

@@ -131,62 +131,169 @@ def test_a_row_that_changes_partition_appears_once(spark, layers):
     assert parts == {"order_year=2020/order_month=2", "order_year=2020/order_month=3"}
 
 
-@pytest.mark.parametrize("statements", range(5))
-def test_a_half_finished_merge_is_completed_by_the_next(spark, layers, monkeypatch, statements):
-    """Two lines change places, a third stays; the driver is lost after some statements."""
+@pytest.fixture
+def lose_the_driver(spark, monkeypatch):
+    """Run a merge whose driver is lost before the n-th statement or insert; says whether it was."""
+
+    def run(steps, merge):
+        done = []
+
+        def guarded(original, counts):
+            def call(self, first, *args, **kwargs):
+                if counts(first):
+                    if len(done) == steps:
+                        raise RuntimeError("driver lost")
+                    done.append(first)
+                return original(self, first, *args, **kwargs)
+            return call
+
+        writer = type(spark.range(1).write)
+        monkeypatch.setattr(type(spark), "sql", guarded(type(spark).sql, lambda t: t.startswith("ALTER")))
+        monkeypatch.setattr(writer, "insertInto", guarded(writer.insertInto, lambda t: True))
+        try:
+            merge()
+        except RuntimeError:
+            return True
+        finally:
+            monkeypatch.undo()
+        return False
+
+    return run
+
+
+@pytest.mark.parametrize("steps", range(5))
+def test_a_half_finished_merge_is_completed_by_the_next(spark, layers, lose_the_driver, steps):
+    """Two lines change places, a third stays, a fourth is new; the driver is lost after some steps."""
     sm.merge_silver_orders(spark, lines(
         spark, ("O1", "C", "P", 2020, 1, 1), ("O2", "C", "P", 2020, 2, 1), ("O3", "C", "P", 2020, 1, 1)
     ), layers=layers)
-    moved = lines(spark, ("O1", "C", "P", 2020, 2, 7), ("O2", "C", "P", 2020, 1, 7))
-    original, done = type(spark).sql, []
-
-    def lose_the_driver(self, text, *args, **kwargs):
-        if text.startswith("ALTER"):
-            if len(done) == statements:
-                raise RuntimeError("driver lost")
-            done.append(text)
-        return original(self, text, *args, **kwargs)
-
-    monkeypatch.setattr(type(spark), "sql", lose_the_driver)
-    try:
-        sm.merge_silver_orders(spark, moved, layers=layers)
-    except RuntimeError:
-        assert statements < 4
-    monkeypatch.undo()
+    moved = lines(spark, ("O1", "C", "P", 2020, 2, 7), ("O2", "C", "P", 2020, 1, 7), ("O4", "C", "P", 2020, 6, 7))
+    lost = lose_the_driver(steps, lambda: sm.merge_silver_orders(spark, moved, layers=layers))
+    assert lost == (steps < 4)   # note, overwrite, strike the note, append
     sm.merge_silver_orders(spark, moved, layers=layers)
     assert stored(spark, layers) == [
-        ("O1", "P", 2020, 2, 7), ("O2", "P", 2020, 1, 7), ("O3", "P", 2020, 1, 1)
+        ("O1", "P", 2020, 2, 7), ("O2", "P", 2020, 1, 7), ("O3", "P", 2020, 1, 1), ("O4", "P", 2020, 6, 7)
     ]
 
 
-@pytest.mark.parametrize("statements", range(5))
-def test_a_half_finished_merge_loses_no_repeated_row(spark, layers, monkeypatch, statements):
-    """The target holds a key twice, in one partition; both rows move to another."""
+@pytest.mark.parametrize("steps", range(6))
+def test_a_half_finished_merge_loses_no_repeated_row(spark, layers, lose_the_driver, steps):
+    """The target holds a key twice, in one partition; both rows move to another, the first is empty then."""
     table, columns = f"{layers.silver}.t", "k string, p string, v int"
     twice = spark.createDataFrame([("a", "x", 1), ("a", "x", 2), ("b", "y", 1)], columns)
     sm.merge_table(spark, twice, table, ["k"], ["p"])
     moved = spark.createDataFrame([("a", "z", 9)], columns)
-    original, done = type(spark).sql, []
-
-    def lose_the_driver(self, text, *args, **kwargs):
-        if text.startswith("ALTER"):
-            if len(done) == statements:
-                raise RuntimeError("driver lost")
-            done.append(text)
-        return original(self, text, *args, **kwargs)
-
-    monkeypatch.setattr(type(spark), "sql", lose_the_driver)
-    try:
-        sm.merge_table(spark, moved, table, ["k"], ["p"])
-    except RuntimeError:
-        assert statements < 4
-    monkeypatch.undo()
+    lost = lose_the_driver(steps, lambda: sm.merge_table(spark, moved, table, ["k"], ["p"]))
+    assert lost == (steps < 5)   # note, overwrite, drop a partition, strike the note, append
     sm.merge_table(spark, moved, table, ["k"], ["p"])
     assert sorted(map(tuple, spark.table(table).select("k", "p", "v").collect())) == [
         ("a", "z", 9), ("a", "z", 9), ("b", "y", 1)
     ]
 
 
+def test_new_rows_leave_the_files_of_their_month(spark, layers):
+    """One new line in a month of a thousand is a file of its own; an update rewrites the month."""
+    month = [(f"O{k}", "C", "P", 2020, 1, k) for k in range(1000)]
+    sm.merge_silver_orders(spark, lines(spark, *month), layers=layers)
+    before = partition_files(spark, layers, "order_month = 1")
+    sm.merge_silver_orders(spark, lines(spark, ("N1", "C", "P", 2020, 1, 5)), layers=layers)
+    after = partition_files(spark, layers, "order_month = 1")
+    assert before < after and len(after - before) == 1
+    sm.merge_silver_orders(spark, lines(spark, ("O7", "C", "P", 2020, 1, -1)), layers=layers)
+    assert not partition_files(spark, layers, "order_month = 1") & after
+    got = stored(spark, layers)
+    assert len(got) == 1001 and sum(q for *_, q in got) == sum(range(1000)) + 5 - 7 - 1
+
+
+def test_rows_of_an_emptied_partition_do_not_come_back(spark, layers):
+    """The last line leaves a month, and a partition without a date; later a new line comes to each."""
+    sm.merge_silver_orders(spark, lines(spark, ("O1", "C", "P", 2020, 1, 1), ("O2", "C", "P", None, None, 1)), layers=layers)
+    sm.merge_silver_orders(spark, lines(spark, ("O1", "C", "P", 2020, 2, 2), ("O2", "C", "P", 2020, 2, 2)), layers=layers)
+    parts = {r[0] for r in spark.sql(f"SHOW PARTITIONS {layers.silver}.orders_enriched").collect()}
+    assert parts == {"order_year=2020/order_month=2"}
+    sm.merge_silver_orders(spark, lines(spark, ("O3", "C", "P", 2020, 1, 3), ("O4", "C", "P", None, None, 3)), layers=layers)
+    got = sm.load_silver_table(spark, "orders_enriched", layers)
+    assert sorted((r["order_id"], r["quantity"]) for r in got.collect()) == [("O1", 2), ("O2", 2), ("O3", 3), ("O4", 3)]
+
+
+def test_a_published_merge_leaves_no_scratch_folder(spark, layers):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = os.listdir(shared) if os.path.exists(shared) else []
+    rows = [("O1", "C", "P", 2020, 1, 1), ("O2", "C", "P", 2020, 2, 1)]
+    for quantity in (1, 2):
+        changed = [(*row[:-1], quantity) for row in rows] + [(f"N{quantity}", "C", "P", 2020, 3, 1)]
+        sm.merge_silver_orders(spark, lines(spark, *changed), layers=layers, on_duplicate="latest", order_by=["quantity"])
+        sm.merge_silver_customers(spark, spark.createDataFrame(
+            [("D1", "Iris", quantity)], "customer_id string, customer_name string, size int"
+        ), layers=layers, buckets=4)
+    assert sorted(os.listdir(shared)) == sorted(before) and len(stored(spark, layers)) == 4
+
+
+# -- tables in buckets ------------------------------------------------------------------------
+
+
+def customers_of(spark, *rows):
+    return spark.createDataFrame(list(rows), "customer_id string, customer_name string, segment string")
+
+
+def bucket_files(spark, layers):
+    df = sm.load_silver_table(spark, "customers_enriched", layers)
+    return {r[0]: r[1] for r in df.select("_metadata.file_path", "key_bucket").distinct().collect()}
+
+
+def test_merges_rewrite_hit_buckets_only(spark, layers):
+    many = [(f"D{k}", f"name {k}", "Consumer") for k in range(200)] + [(None, "nobody", "Consumer")]
+    sm.merge_silver_customers(spark, customers_of(spark, *many), layers=layers, buckets=16)
+    before = bucket_files(spark, layers)
+    assert set(before.values()) == set(range(16))
+    # The number of buckets is the table's, whatever a later merge names.
+    changes = customers_of(spark, ("D7", "name 7", "Corporate"), (None, "nobody", "Corporate"))
+    sm.merge_silver_customers(spark, changes, layers=layers, buckets=3)
+    after = bucket_files(spark, layers)
+    hit = {before[f] for f in set(before) - set(after)}
+    got = sm.load_silver_table(spark, "customers_enriched", layers)
+    assert hit == {r[0] for r in got.where("customer_id = 'D7'").select("key_bucket").collect()}
+    assert got.count() == 202 and got.where("segment = 'Corporate'").count() == 2
+    assert got.where("customer_id = 'D7'").first().segment == "Corporate"
+    with pytest.raises(ValueError, match="customer_id"):
+        sm.merge_silver_customers(spark, changes, layers=layers, keys=["customer_name"])
+    assert sm.load_silver_table(spark, "customers_enriched", layers).count() == 202
+
+
+def test_keys_are_looked_for_in_the_buckets_of_the_source(spark, layers):
+    from salesmill.operators.upsert import stage_source
+
+    many = [(f"D{k}", f"name {k}", "Consumer") for k in range(200)]
+    sm.merge_silver_customers(spark, customers_of(spark, *many), layers=layers, buckets=16)
+    target = sm.load_silver_table(spark, "customers_enriched", layers)
+    read = []
+    original = type(target).where
+    try:
+        type(target).where = lambda self, condition: read.append(found := original(self, condition)) or found
+        source = target.where("customer_id IN ('D7', 'D9')")
+        read.clear()
+        stage_source(target, source, ["customer_id"], ["key_bucket"], co_located=["key_bucket"])
+    finally:
+        type(target).where = original
+    pruned = next(df for df in read if "key_bucket" in df.columns and "segment" in df.columns)
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [key_bucket" in plan
+    assert len(pruned.inputFiles()) <= 2 < len(target.inputFiles())
+
+
+def test_the_merge_command_names_keys_and_all_columns(spark, layers):
+    """What formats with a merge of their own are given, as Spark parses it."""
+    from salesmill.sinks.merge import merge_condition, _native_merge
+
+    assert merge_condition("silver.t", ["a key", "b`"]) == "`silver`.`t`.`a key` = source.`a key` AND `silver`.`t`.`b``` = source.`b```"
+    table = f"{layers.silver}.t"
+    df = spark.createDataFrame([("a", 1, 2)], "k string, v int, w int")
+    sm.save_table(spark, df, table)
+    with pytest.raises(Exception, match="MERGE INTO TABLE") as refused:
+        _native_merge(df, table, ["k"])
+    assert "not supported" in str(refused.value).lower() or "UNSUPPORTED" in str(refused.value)
+
+
 def test_other_formats_are_refused(spark, layers):
     with pytest.raises(ValueError, match="orc"):
         sm.Layers(table_format="orc")
@@ -218,12 +325,13 @@ def test_old_loads_go_and_live_ones_stay(spark, layers):
     sm.merge_silver_orders(spark, lines(spark, ("O1", "C", "P", 2020, 1, 1), ("O2", "C", "P", 2020, 2, 1)), layers=layers)
     for quantity in (2, 3):
         sm.merge_silver_orders(spark, lines(spark, ("O1", "C", "P", 2020, 1, quantity)), layers=layers)
-    before = stored(spark, layers)
-    assert sm.drop_old_loads(spark, table, 3600) == []
-    dropped = sm.drop_old_loads(spark, table, 0)
-    assert len([d for d in dropped if not d.endswith("-pending")]) == 1
+    # Merges write into the folder that the table has.
+    assert sm.drop_old_loads(spark, table, 0) == []
+    assert stored(spark, layers) == [("O1", "P", 2020, 1, 3), ("O2", "P", 2020, 2, 1)]
+    sm.save_silver_table(spark, lines(spark, ("O5", "C", "P", 2020, 2, 1)), "orders_enriched", sm.ORDER_PARTITIONS, layers=layers)
+    assert sm.drop_old_loads(spark, table, 3600) == [] and len(sm.drop_old_loads(spark, table, 0)) == 1
     spark.catalog.refreshTable(table)
-    assert stored(spark, layers) == before == [("O1", "P", 2020, 1, 3), ("O2", "P", 2020, 2, 1)]
+    assert stored(spark, layers) == [("O5", "P", 2020, 2, 1)]
     sm.save_bronze_table(spark, spark.range(3), "t", layers=layers)
     sm.save_bronze_table(spark, spark.range(2), "t", layers=layers)
     assert len(sm.drop_old_loads(spark, f"{layers.bronze}.t", 0)) == 1
