@@ -10,7 +10,23 @@ from .enrich import (
     enrich_product,
     round_profit_to_2_decimals,
 )
-from .gold import aggregate_statistics, create_profit_aggregate, profit_statistics, rank_gold
+from .gold import (
+    aggregate_statistics,
+    create_profit_aggregate,
+    profit_statistics,
+    rank_gold,
+    refresh_sketches,
+    sketch_gold,
+    sketched_statistics,
+)
+from .gold_state import (
+    apply_profit_delta,
+    load_profit_aggregate,
+    merge_orders_and_gold,
+    profit_delta,
+    profit_from_state,
+    profit_state,
+)
 from .jobs import HOSTED_FORM, build_gold, build_silver, ingest_bronze, run_all, run_reports, validate_layers
 from .rollups import (
     REPORTS,
@@ -28,6 +44,7 @@ __all__ = [
     "add_date_fields",
     "add_email_enrichment",
     "aggregate_statistics",
+    "apply_profit_delta",
     "build_gold",
     "build_silver",
     "calculate_days_to_ship",
@@ -38,16 +55,24 @@ __all__ = [
     "ingest_bronze",
     "layer_audit",
     "layer_counts",
+    "load_profit_aggregate",
+    "merge_orders_and_gold",
     "profit_by_customer",
     "profit_by_customer_year",
     "profit_by_year",
     "profit_by_year_category",
     "profit_by_year_subcategory",
+    "profit_delta",
+    "profit_from_state",
+    "profit_state",
     "profit_statistics",
     "rank_gold",
+    "refresh_sketches",
     "round_profit_to_2_decimals",
     "run_all",
     "run_reports",
+    "sketch_gold",
+    "sketched_statistics",
     "top_categories",
     "validate_layers",
 ]

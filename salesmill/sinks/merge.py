@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -93,6 +93,7 @@ def merge_table(
     on_duplicate: str = "error",
     order_by: Sequence[str] = (),
     buckets: int | None = None,
+    on_change: Callable[[DataFrame, DataFrame], None] | None = None,
 ) -> None:
     """Upsert ``df`` into ``table``, creating it on the first load.
 
@@ -106,22 +107,25 @@ def merge_table(
     first key into so many, in the partition column ``key_bucket``. A merge then looks for keys in the source's
     buckets only and rewrites those that hold one. Later merges take the number from the
     table; its first key must be among theirs.
+
+    ``on_change`` is told, before the table changes, which of its rows go and which come; not
+    on the first load, and not by formats that merge by themselves. What it needs it must write then.
     """
     if table_format not in TABLE_FORMATS:
         raise ValueError(f"table_format {table_format!r}: one of {TABLE_FORMATS}")
     exists = spark.catalog.tableExists(table)
-    noted = {}
+    properties = {}
     if exists and table_format == "parquet":
         stored_as = _provider(spark, table)
         if stored_as != "parquet":
             raise ValueError(f"{table} is stored as {stored_as}; merging would damage it")
         finish_replacing(spark, table)
-        noted = _noted(spark, table)
-    bucket_by = noted.get(BUCKET_BY) or (keys[0] if buckets and not exists and table_format == "parquet" else None)
+        properties = noted(spark, table)
+    bucket_by = properties.get(BUCKET_BY) or (keys[0] if buckets and not exists and table_format == "parquet" else None)
     if bucket_by:
         if partition_by or bucket_by not in keys:
             raise ValueError(f"rows of {table} are in buckets of {bucket_by!r}: one of the keys, and no partitions beside it")
-        buckets = int(noted.get(BUCKETS) or buckets)
+        buckets = int(properties.get(BUCKETS) or buckets)
         df = df.withColumn(BUCKET, F.pmod(F.xxhash64(quoted(bucket_by)), F.lit(buckets)).cast("int"))
         partition_by = (BUCKET,)
     with owned_scratch(spark, "merge"):
@@ -130,7 +134,7 @@ def merge_table(
         if not exists:
             save_table(spark, df, table, partition_by, "overwrite", table_format)
             if bucket_by:
-                _note(spark, table, {BUCKET_BY: bucket_by, BUCKETS: str(buckets)})
+                note(spark, table, {BUCKET_BY: bucket_by, BUCKETS: str(buckets)})
         elif table_format in MERGE_FORMATS:
             _native_merge(df, table, keys)
         else:
@@ -139,8 +143,10 @@ def merge_table(
                 target, df, keys, partition_by, on_duplicate, order_by, co_located=partition_by if bucket_by else ()
             )
             if partition_by:
-                _merge_partitions(spark, staged, target, table, list(partition_by))
+                _merge_partitions(spark, staged, target, table, list(partition_by), on_change)
             else:
+                if on_change:
+                    on_change(staged.removed(target), staged.added(target))
                 folder = write_load(spark, staged.merge_into(target), table)
                 spark.sql(f"ALTER TABLE {quoted_table(table)} SET LOCATION {literal(folder)}")
 
@@ -164,29 +170,36 @@ def _provider(spark: SparkSession, table: str) -> str:
     return rows[0]["data_type"].lower() if rows else "unknown"
 
 
-def _noted(spark: SparkSession, table: str) -> dict[str, str]:
+def noted(spark: SparkSession, table: str) -> dict[str, str]:
     return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {quoted_table(table)}").collect()}
 
 
-def _note(spark: SparkSession, table: str, properties: dict[str, str]) -> None:
+def note(spark: SparkSession, table: str, properties: dict[str, str]) -> None:
     told = ", ".join(f"{literal(k)} = {literal(v)}" for k, v in properties.items())
     spark.sql(f"ALTER TABLE {quoted_table(table)} SET TBLPROPERTIES ({told})")
 
 
+def strike(spark: SparkSession, table: str, key: str) -> None:
+    spark.sql(f"ALTER TABLE {quoted_table(table)} UNSET TBLPROPERTIES IF EXISTS ({literal(key)})")
+
+
 def _merge_partitions(
     spark: SparkSession,
     staged: StagedSource,
     target: DataFrame,
     table: str,
     partition_by: list[str],
+    on_change: Callable[[DataFrame, DataFrame], None] | None,
 ) -> None:
     places = [quoted(c) for c in partition_by]
     known = staged.rows.join(staged.taken.select(*staged.keys), list(staged.keys), "left_semi")
     # One row per table partition at most, so this fits the driver as the catalog does.
     hit = staged.matched.select(*places).union(known.select(*places)).distinct().collect()
     in_hit = in_partitions(hit, partition_by)
+    affected = target.where(in_hit)
+    if on_change:
+        on_change(staged.removed(affected), staged.added(affected))
     if hit:
-        affected = target.where(in_hit)
         rewritten = staged.untouched(affected).unionByName(staged.added(affected).where(in_hit))
         replace_partitions(spark, table, rewritten, hit, partition_by)
     # All rows of known keys are among the rewritten.
@@ -205,7 +218,7 @@ def replace_partitions(
     vacated = [p for p in partitions if p not in filled]
     emptied = spark.table(table).where(in_partitions(vacated, partition_by)).select(*places, F.col("_metadata.file_path").alias(FILE))
     emptied.distinct().write.parquet(f"{folder}/vacated")
-    _note(spark, table, {PENDING: folder})
+    note(spark, table, {PENDING: folder})
     finish_replacing(spark, table)
 
 
@@ -214,7 +227,7 @@ def finish_replacing(spark: SparkSession, table: str) -> None:
 
     Doing so again changes nothing, so it may stop at any point.
     """
-    folder = _noted(spark, table).get(PENDING)
+    folder = noted(spark, table).get(PENDING)
     if not folder:
         return
     name, target = quoted_table(table), spark.table(table)
@@ -229,7 +242,7 @@ def finish_replacing(spark: SparkSession, table: str) -> None:
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({values})")
         for file in place[FILE]:
             remove_file(spark, file)
-    spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES IF EXISTS ({literal(PENDING)})")
+    strike(spark, table, PENDING)
 
 
 @contextmanager

@@ -55,9 +55,11 @@ def save_gold_table(
     partition_cols: Sequence[str] | None = None,
     mode: str = "overwrite",
     layers: Layers = LAYERS,
+    cluster_by: Sequence[str] = (),
 ) -> None:
+    """``cluster_by``: columns that rows are stored by, within partitions; see ``save_table``."""
     save_table(
-        spark, df, f"{layers.gold}.{table_name}", partition_cols or (), mode, layers.table_format
+        spark, df, f"{layers.gold}.{table_name}", partition_cols or (), mode, layers.table_format, cluster_by
     )
 
 
@@ -68,18 +70,24 @@ def save_table(
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
     table_format: str = "parquet",
+    cluster_by: Sequence[str] = (),
 ) -> None:
-    """Write ``df`` to ``table`` with Spark's save modes."""
+    """Write ``df`` to ``table`` with Spark's save modes.
+
+    ``cluster_by`` deals rows out by ranges of these columns (after the partition's) and sorts
+    them, so that each file and row group holds a narrow range and a filter on them skips the others
+    by their statistics. A value of very many rows may fill several files if further columns follow it.
+    """
     if mode not in SAVE_MODES:
         raise ValueError(f"mode {mode!r}: one of {SAVE_MODES}")
     if table_format not in TABLE_FORMATS:
         raise ValueError(f"table_format {table_format!r}: one of {TABLE_FORMATS}")
     exists = spark.catalog.tableExists(table)
     if table_format != "parquet" or mode == "append" or (exists and mode != "overwrite"):
-        writer = gather_partitions(df, partition_by).write.format(table_format).mode(mode)
+        writer = _arranged(df, partition_by, cluster_by).write.format(table_format).mode(mode)
         (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
         return
-    folder = write_load(spark, df, table, partition_by)
+    folder = write_load(spark, df, table, partition_by, cluster_by)
     schema = _stored_schema(df, partition_by)
     if exists and not partition_by and _can_be_pointed_at(spark, table, schema):
         spark.sql(f"ALTER TABLE {quoted_table(table)} SET LOCATION {literal(folder)}")
@@ -116,14 +124,21 @@ def gather_partitions(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
+def _arranged(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str]) -> DataFrame:
+    if not cluster_by:
+        return gather_partitions(df, partition_by)
+    order = [quoted(c) for c in (*partition_by, *cluster_by)]
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def write_load(
-    spark: SparkSession, df: DataFrame, table: str, partition_by: Sequence[str] = ()
+    spark: SparkSession, df: DataFrame, table: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()
 ) -> str:
     """Write ``df`` to a new folder beside the table's other loads; returns the folder."""
     database, name = table.rsplit(".", 1)
     base = spark.catalog.getDatabase(database).locationUri.rstrip("/")
     folder = f"{base}/{name}/load-{uuid.uuid4().hex}"
-    writer = gather_partitions(df, partition_by).write
+    writer = _arranged(df, partition_by, cluster_by).write
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
     return folder
 

@@ -1,0 +1,129 @@
+"""The gold state after merges, and sketches of the gold table."""
+
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+
+import salesmill as sm
+from salesmill.plans import gold_state
+
+COLUMNS = (
+    "order_id string, customer_id string, product_id string, customer_name string, country string, category string,"
+    " sub_category string, price double, profit decimal(10,2), order_date date, order_year int, order_month int"
+)
+
+
+def line(order, customer, product, category, price, profit, year, month=1):
+    day = dt.date(year, month, 3) if year else None
+    return (order, customer, product, f"name {customer}", None, category, "sub", price,
+            None if profit is None else Decimal(profit), day, year, month if year else None)
+
+
+FIRST = [
+    line("O1", "C1", "P1", "Tools", 10.005, "1.10", 2020), line("O1", "C1", "P2", "Tools", 20.0, "2.20", 2020),
+    line("O2", "C2", "P1", "Pans", 5.0, "-1.00", 2020, 2), line("O3", "C2", "P1", None, None, None, 2021),
+    line("O4", "C3", "P1", "Cards", 1.0, "0.01", None), line(None, "C3", "P9", "Cards", 1.0, "0.02", 2021),
+]
+SECOND = [
+    line("O1", "C1", "P1", "Tools", 11.0, "1.60", 2020),         # another profit
+    line("O2", "C2", "P1", "Cards", 5.0, "-1.00", 2020, 2),      # its group goes, another comes
+    line("O3", "C2", "P1", None, 4.0, "0.40", 2022, 5),          # another year
+    line("O5", "C9", "P1", "Tools", 7.0, "0.70", 2020, 3),       # new line, month that has none
+    line("O4", "C3", "P1", "Cards", 1.0, "0.01", None),          # as it was
+]
+
+
+def lines(spark, rows):
+    return spark.createDataFrame(rows, COLUMNS)
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.select(*sorted(df.columns)).collect()), key=repr)
+
+
+def rebuilt(spark, layers):
+    return rows_of(sm.create_profit_aggregate(sm.load_silver_table(spark, "orders_enriched", layers)))
+
+
+def files(spark, layers):
+    state = spark.table(f"{layers.gold}.profit_state")
+    return {r[0] for r in state.select("_metadata.file_path").distinct().collect()}
+
+
+def test_state_is_the_rebuilt_aggregate(spark, layers):
+    for rows in (FIRST, SECOND, SECOND, FIRST[:2]):
+        sm.merge_orders_and_gold(spark, lines(spark, rows), layers)
+        assert rows_of(sm.load_profit_aggregate(spark, layers)) == rebuilt(spark, layers)
+    kinds = dict(sm.create_profit_aggregate(sm.load_silver_table(spark, "orders_enriched", layers)).dtypes)
+    assert dict(sm.load_profit_aggregate(spark, layers).dtypes) == kinds
+
+
+def test_merges_without_change_and_in_one_year_leave_other_files(spark, layers):
+    sm.merge_orders_and_gold(spark, lines(spark, FIRST), layers)
+    before = files(spark, layers)
+    sm.merge_orders_and_gold(spark, lines(spark, FIRST[:4]), layers)
+    assert files(spark, layers) == before
+    sm.merge_orders_and_gold(spark, lines(spark, [line("O2", "C2", "P1", "Pans", 6.0, "1.00", 2020, 2)]), layers)
+    after = files(spark, layers)
+    assert len(before - after) == 1 and all("year=2020" in f for f in before ^ after)
+
+
+@pytest.mark.parametrize("lost_at", ["orders", "gold"])
+def test_a_state_that_was_left_behind_is_built_anew(spark, layers, monkeypatch, lost_at):
+    sm.merge_orders_and_gold(spark, lines(spark, FIRST), layers)
+
+    def lose(*args, **kwargs):
+        raise RuntimeError("driver lost")
+
+    if lost_at == "gold":
+        monkeypatch.setattr(gold_state, "_rewrite_groups", lose)
+    else:
+        monkeypatch.setattr(gold_state, "profit_delta", lose)
+    with pytest.raises(RuntimeError):
+        sm.merge_orders_and_gold(spark, lines(spark, SECOND), layers)
+    monkeypatch.undo()
+    sm.merge_orders_and_gold(spark, lines(spark, SECOND), layers)
+    assert rows_of(sm.load_profit_aggregate(spark, layers)) == rebuilt(spark, layers)
+    assert sm.load_silver_table(spark, "orders_enriched", layers).count() == 7
+
+
+def test_deltas_keep_changed_groups_only(spark):
+    before, after = lines(spark, FIRST), lines(spark, [*FIRST[:5], FIRST[5][:8] + (Decimal("0.03"),) + FIRST[5][9:]])
+    delta = sm.profit_delta(before, after).collect()
+    assert [(r.category, r.year, r.profit_sum, r.line_count) for r in delta] == [("Cards", 2021, Decimal("0.010000"), 0)]
+    state = sm.apply_profit_delta(sm.profit_state(before), sm.profit_delta(before, before.limit(0)))
+    assert state.count() == 0
+
+
+# -- sketches ---------------------------------------------------------------------------------
+
+
+def gold(spark, rows):
+    return spark.createDataFrame(rows, "year int, category string, customer_id string")
+
+
+def test_sketches_add_up(spark):
+    rows = [(2000 + k % 4 if k % 50 else None, f"cat {k % 7}", f"C{k % 3000}") for k in range(9000)]
+    table = gold(spark, rows)
+    exact = sm.aggregate_statistics(table).first()
+    for found in (sm.sketched_statistics(sm.sketch_gold(table)).first(), sm.aggregate_statistics(table, approximate=0.01).first()):
+        assert found.total_records == exact.total_records == 9000
+        assert found.distinct_years == exact.distinct_years == 4 and found.distinct_categories == 7
+        assert abs(found.distinct_customers - 3000) < 150
+
+
+@pytest.mark.parametrize("years", [[2001], [None], [2001, None], []])
+def test_only_named_years_are_sketched_anew(spark, years):
+    table = gold(spark, [(2000, "a", "C1"), (2001, "b", "C2"), (None, "c", "C3")])
+    stale = sm.sketch_gold(gold(spark, [(2000, "a", "C1"), (2001, "x", "C8"), (2001, "y", "C9"), (None, "z", "C7")]))
+    got = {r.year: r.records for r in sm.refresh_sketches(stale, table, years).collect()}
+    assert got == {2000: 1, 2001: 1 if 2001 in years else 2, None: 1}
+
+
+def test_no_gold_rows(spark):
+    nothing = gold(spark, [])
+    assert tuple(sm.sketched_statistics(sm.sketch_gold(nothing)).first()) == (0, 0, 0, 0)
+    assert tuple(sm.aggregate_statistics(nothing, approximate=0.05).first()) == (0, 0, 0, 0)

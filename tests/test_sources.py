@@ -2,6 +2,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import Observation
 
 import salesmill as sm
 from salesmill.schemas import CUSTOMER_BRONZE, PRODUCT_BRONZE, column_names
@@ -102,3 +103,47 @@ def test_layer_tables_and_dedup(spark, layers, products):
 def test_view_is_open_to_sql(spark, products):
     sm.register_view(products, "listed_products")
     assert spark.sql("SELECT count(*) FROM listed_products WHERE Category = 'Garden'").first()[0] == 1
+
+
+# -- rejected records ---------------------------------------------------------------------------
+
+
+def report(df):
+    return sorted(((r.source, r.records, r.field, r.rejected) for r in df.collect()), key=repr)
+
+
+def test_rejects_are_counted_in_the_pass_that_loads(spark, layers, tmp_path):
+    path = tmp_path / "Orders.json"
+    path.write_text("\n".join([*map(json.dumps, ORDERS), '{"Row ID": 4, "Order', "[1, 2]"]))
+    seen = Observation("orders")
+    orders = sm.load_order_data(spark, str(path), corrupt_column="fault", rejects=seen)
+    sm.save_bronze_table(spark, orders, "orders", layers=layers)
+    assert report(sm.rejects_report(spark, {"orders": seen})) == sorted([
+        ("orders", 5, None, 2), ("orders", 5, "Order Date", 1), ("orders", 5, "Ship Date", 1), ("orders", 5, "Quantity", 1),
+    ], key=repr)
+    stored = sm.load_bronze_table(spark, "orders", layers)
+    assert stored.count() == 5 and stored.where("fault IS NOT NULL").count() == 2
+
+
+def test_clean_and_empty_loads_reject_nothing(spark, tmp_path, customers):
+    customers.write.option("header", True).csv(str(tmp_path / "csv"))
+    customers.write.parquet(str(tmp_path / "parquet"))
+    (tmp_path / "empty.csv").write_text(",".join(column_names(PRODUCT_BRONZE)) + "\n")
+    seen = {name: Observation(name) for name in ("csv", "parquet", "none")}
+    sm.load_customer_data(spark, str(tmp_path / "csv"), rejects=seen["csv"]).collect()
+    sm.load_customer_data(spark, str(tmp_path / "parquet"), "parquet", rejects=seen["parquet"]).collect()
+    sm.load_product_data(spark, str(tmp_path / "empty.csv"), rejects=seen["none"]).collect()
+    assert report(sm.rejects_report(spark, seen)) == [("csv", 3, None, 0), ("none", 0, None, 0), ("parquet", 3, None, 0)]
+
+
+def test_values_of_records_out_of_shape_are_not_counted_twice(spark, tmp_path):
+    path = tmp_path / "Products.csv"
+    path.write_text(
+        ",".join(column_names(PRODUCT_BRONZE)) + "\nP1,a,b,c,d,cheap\nP2,a,b\nP3,a,b,c,d,1.5\nP4,a,b,c,d,cheap,more\n"
+    )
+    seen = Observation("products")
+    rows = sm.load_product_data(spark, str(path), corrupt_column="fault", rejects=seen).collect()
+    assert len(rows) == 4 and sum(r.fault is None for r in rows) == 2
+    assert report(sm.rejects_report(spark, {"products": seen})) == [
+        ("products", 4, "Price per product", 1), ("products", 4, None, 2),
+    ]

@@ -68,6 +68,34 @@ def test_partitioned_load(spark, layers, products):
     assert got.where("Category = 'Garden'").count() == 1
 
 
+def test_clustered_gold_skips_row_groups(spark, layers, session_conf):
+    """Of a table stored by ranges of a column, few row groups can hold one of its values."""
+    import pyarrow.parquet as pq
+
+    session_conf({"spark.sql.shuffle.partitions": "6", "spark.sql.adaptive.coalescePartitions.enabled": "false"})
+
+    rows = spark.range(20_000).selectExpr(
+        "cast(id % 3 as int) as year", "concat('cat ', lpad(id * 7919 % 40, 2, '0')) as category", "id as customer_id"
+    ).repartition(8)
+
+    def holding(name, value):
+        df = sm.load_gold_table(spark, name, layers)
+        groups = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in df.inputFiles()]
+        column = groups[0].schema.names.index("category")
+        stats = [m.row_group(g).column(column).statistics for m in groups for g in range(m.num_row_groups)]
+        return sum(s.min <= value <= s.max for s in stats), len(stats)
+
+    for name, by in (("plain", ()), ("clustered", ("category", "customer_id"))):
+        sm.save_gold_table(spark, rows, name, layers=layers, cluster_by=by)
+        assert sm.load_gold_table(spark, name, layers).count() == 20_000
+    assert holding("plain", "cat 05")[0] == holding("plain", "cat 05")[1] > 1
+    hit, of = holding("clustered", "cat 05")
+    assert hit <= 2 < of == 6
+    sm.save_gold_table(spark, rows, "parts", ["year"], layers=layers, cluster_by=["category"])
+    got = sm.load_gold_table(spark, "parts", layers)
+    assert got.where("category = 'cat 05' AND year = 1").count() == rows.where("category = 'cat 05' AND year = 1").count()
+
+
 # -- merges -------------------------------------------------------------------------------
 
 

@@ -137,6 +137,35 @@ def eighths_profit_lines(spark: SparkSession, folder: str) -> DataFrame:
     return _lines(spark, folder).withColumn("Profit", eighths / F.lit(8.0)).drop("exact_profit")
 
 
+def products_with_faults(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Listings as text, ``Brand#7`` without a price that is a number; and lines of ``Brand#8`` that end after two fields."""
+    listed = products(spark, folder)
+    price = F.when(F.col("Sub-Category") == "Brand#7", F.lit("on request")).otherwise(F.col("Price per product").cast("string"))
+    short = listed.where("`Sub-Category` = 'Brand#8'").select("Product ID", "Category")
+    return listed.withColumn("Price per product", price), short
+
+
+def orders_with_faults(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines as JSON text: those of 1-URGENT have a quantity in words, those of 2-HIGH a month first, and of those with
+    row id 7 only the beginning is there."""
+    lines = orders_as_text(spark, folder)
+    mode = F.col("Ship Mode")
+    changed = lines.withColumns({
+        "Quantity": F.when(mode == "1-URGENT", F.lit("some")).otherwise(F.col("Quantity").cast("string")),
+        "Order Date": F.when(mode == "2-HIGH", F.lit("12/31/1999")).otherwise(F.col("Order Date")),
+    })
+    record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in changed.columns]))
+    return changed.select(F.when(F.col("Row ID") == 7, F.substring(record, 1, 20)).otherwise(record).alias("value"))
+
+
+def with_moved_groups(increment: DataFrame) -> DataFrame:
+    """A later load whose lines have another profit, and those of ``Brand#3`` another category: groups that gain,
+    groups that lose lines, and groups that no line is left of."""
+    moved = F.when(F.col("sub_category") == "Brand#3", F.lit("MOVED")).otherwise(F.col("category"))
+    more = (F.col("profit") + F.lit("1.25").cast("decimal(3,2)")).cast("decimal(10,2)")
+    return increment.withColumns({"category": moved, "profit": more})
+
+
 def quoted_addresses(df: DataFrame) -> DataFrame:
     return df.withColumn("address", F.concat(F.lit('Hall "A", '), "address", F.lit('\nfloor "2"')))
 

@@ -143,8 +143,28 @@ _oracle("gold_view_sql", *_GOLD, body="""
     SELECT country, year, CAST(sum(total_profit) AS DECIMAL(25,2)) AS total_profit,
            CAST(sum(order_count) AS BIGINT) AS order_count
     FROM profit_aggregate GROUP BY country, year""")
+_oracle("src_rejects", _C, _P, *_ORDERS, body="""
+    , listings AS (
+        SELECT count(*) AS listed, count(*) FILTER ("Sub-Category" = 'Brand#8') AS short,
+               count(*) FILTER ("Sub-Category" = 'Brand#7') AS unpriced FROM bronze_products
+    ), order_faults AS (
+        SELECT count(*) AS lines, count(*) FILTER ("Row ID" = 7) AS cut,
+               count(*) FILTER ("Row ID" <> 7 AND "Ship Mode" = '1-URGENT') AS worded,
+               count(*) FILTER ("Row ID" <> 7 AND "Ship Mode" = '2-HIGH') AS misdated FROM bronze_orders
+    ), counts AS (
+        SELECT 'customers' AS source, (SELECT count(*) FROM bronze_customers) AS records, 0 AS rejected, NULL AS field
+        UNION ALL SELECT 'products', listed + short, short, NULL FROM listings
+        UNION ALL SELECT 'products', listed + short, unpriced, 'Price per product' FROM listings
+        UNION ALL SELECT 'orders', lines, cut, NULL FROM order_faults
+        UNION ALL SELECT 'orders', lines, worded, 'Quantity' FROM order_faults
+        UNION ALL SELECT 'orders', lines, misdated, 'Order Date' FROM order_faults
+    )
+    SELECT source, CAST(records AS BIGINT) AS records, CAST(rejected AS BIGINT) AS rejected, field
+    FROM counts WHERE field IS NULL OR rejected > 0""")
 _oracle("sink_overwrite", *_ORDERS, body="SELECT * FROM bronze_orders")
 _oracle("sink_partitioned", *_GOLD, body="SELECT * FROM profit_aggregate")
+_oracle("prune_gold_category", *_GOLD, body="""
+    SELECT * FROM profit_aggregate WHERE category = 'PROMO' AND sub_category = 'Brand#11'""")
 _oracle("prune_orders_year_month", *_SILVER, body="""
     SELECT * FROM orders_enriched WHERE order_year = 1998 AND order_month = 3""")
 
@@ -208,6 +228,8 @@ _oracle("upsert_products", _P, _PE, body=_upsert(
 ))
 ORACLES["merge_customers_table"] = ORACLES["upsert_customers"]
 ORACLES["merge_products_table"] = ORACLES["upsert_products"]
+ORACLES["merge_customers_bucketed"] = ORACLES["upsert_customers"]
+ORACLES["merge_products_bucketed"] = ORACLES["upsert_products"]
 _oracle("upsert_orders", *_SILVER, body=_upsert(
     _history("orders_enriched"),
     _latest(_increment("orders_enriched"), _ORDER_KEYS, _ORDER_COLUMNS),
@@ -309,6 +331,26 @@ _oracle("gold_stats", *_GOLD, body="""
            count(DISTINCT category) AS distinct_categories,
            count(DISTINCT customer_id) AS distinct_customers
     FROM profit_aggregate""")
+_oracle("gold_profit_incremental", *_SILVER, body=f"""
+    , moved AS (
+        SELECT * REPLACE (
+            CASE WHEN sub_category = 'Brand#3' THEN 'MOVED' ELSE category END AS category,
+            CAST(profit + 1.25 AS DECIMAL(10,2)) AS profit)
+        FROM ({_increment("orders_enriched")}) AS increment
+    )""" + _upsert(
+    _history("orders_enriched"), _latest("SELECT * FROM moved", _ORDER_KEYS, _ORDER_COLUMNS), _ORDER_KEYS,
+).replace("SELECT t.* FROM target AS t ANTI", ", merged AS (SELECT t.* FROM target AS t ANTI", 1) + """)
+    SELECT order_year AS year, category, sub_category, customer_id, customer_name, country,
+           CAST(sum(profit) AS DECIMAL(15,2)) AS total_profit,
+           CAST(sum(CAST(price AS DECIMAL(20,6))) AS DECIMAL(15,2)) AS total_sales,
+           count(order_id) AS order_count
+    FROM merged GROUP BY ALL""")
+_oracle("gold_stats_sketch", *_GOLD, body="""
+    SELECT count(*) AS total_records, count(DISTINCT year) AS distinct_years,
+           count(DISTINCT category) AS distinct_categories, count(DISTINCT customer_id) AS distinct_customers,
+           TRUE AS sketched_distinct_categories_near, TRUE AS sketched_distinct_customers_near,
+           TRUE AS rough_distinct_categories_near, TRUE AS rough_distinct_customers_near
+    FROM profit_aggregate""")
 _oracle("duplicate_keys", *_ORDERS, body="""
     SELECT "Customer ID", "Order ID", "Product ID", count(*) AS copies
     FROM bronze_orders GROUP BY ALL HAVING count(*) > 1""")

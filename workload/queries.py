@@ -7,7 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 import salesmill as sm
@@ -148,6 +148,30 @@ def gold_view_sql(d: Data) -> DataFrame:
     )
 
 
+@query
+def src_rejects(d: Data) -> DataFrame:
+    """What a load of bronze tables could not take, counted while they were loaded."""
+    folder = sm.scratch_folder(d.spark, "faults")
+    listed, short = bronze.products_with_faults(d.spark, d.folder)
+    _write_csv(listed, f"{folder}/products/whole")
+    _write_csv(short, f"{folder}/products/short")
+    bronze.orders_with_faults(d.spark, d.folder).write.text(f"{folder}/orders")
+    _write_csv(d.customers, f"{folder}/customers")
+
+    observed = {name: Observation(name) for name in ("customers", "products", "orders")}
+    loaded = {
+        "customers": sm.load_customer_data(d.spark, f"{folder}/customers", rejects=observed["customers"]),
+        "products": sm.load_product_data(
+            d.spark, f"{folder}/products/*", corrupt_column="fault", rejects=observed["products"]
+        ).where("fault IS NULL").drop("fault"),
+        "orders": sm.load_order_data(
+            d.spark, f"{folder}/orders", corrupt_column="fault", rejects=observed["orders"]
+        ).where("fault IS NULL").drop("fault"),
+    }
+    sm.ingest_bronze(d.spark, **loaded, layers=d.layers)
+    return sm.rejects_report(d.spark, observed)
+
+
 # -- sinks and upserts --------------------------------------------------------------------
 
 
@@ -173,6 +197,15 @@ def prune_orders_year_month(d: Data) -> DataFrame:
     return stored.where("order_year = 1998 AND order_month = 3")
 
 
+@query
+def prune_gold_category(d: Data) -> DataFrame:
+    """Gold stored by ranges of category: row groups of other categories are skipped by their statistics."""
+    sm.save_gold_table(
+        d.spark, d.gold, "profit_aggregate", layers=d.layers, cluster_by=["category", "sub_category", "customer_id"]
+    )
+    return sm.load_gold_table(d.spark, "profit_aggregate", d.layers).where("category = 'PROMO' AND sub_category = 'Brand#11'")
+
+
 @query
 def upsert_customers(d: Data) -> DataFrame:
     target = d.customers_silver.where("region <> 'ASIA'")
@@ -217,6 +250,31 @@ def merge_products_table(d: Data) -> DataFrame:
     return sm.load_silver_table(d.spark, "products_enriched", d.layers).drop("updated_at")
 
 
+@query
+def merge_customers_bucketed(d: Data) -> DataFrame:
+    """The merge of ``merge_customers_table``, on a table in hash buckets of the key."""
+    target = d.customers_silver.where("region <> 'ASIA'")
+    source = d.customers_silver.where("region IN ('ASIA', 'EUROPE')").withColumn(
+        "segment", F.concat(F.lit("NEW "), "segment")
+    )
+    sm.merge_silver_customers(d.spark, target, layers=d.layers, buckets=8)
+    sm.merge_silver_customers(d.spark, source, layers=d.layers)
+    return sm.load_silver_table(d.spark, "customers_enriched", d.layers).drop("updated_at", "key_bucket")
+
+
+@query
+def merge_products_bucketed(d: Data) -> DataFrame:
+    target = d.products_silver.where("category <> 'PROMO'")
+    source = d.products_silver.where("category IN ('PROMO', 'SMALL')").withColumn(
+        "price_per_unit", F.col("price_per_unit") + 1.0
+    )
+    sm.merge_silver_products(d.spark, target, layers=d.layers, buckets=8)
+    sm.merge_silver_products(
+        d.spark, source, layers=d.layers, on_duplicate="latest", order_by=source.columns
+    )
+    return sm.load_silver_table(d.spark, "products_enriched", d.layers).drop("updated_at", "key_bucket")
+
+
 @query
 def upsert_orders(d: Data) -> DataFrame:
     history, increment = bronze.history_and_increment(d.orders_silver)
@@ -353,6 +411,18 @@ def gold_profit_pxq(d: Data) -> DataFrame:
     return sm.create_profit_aggregate(d.orders_silver, "price_x_qty", ordered=True)
 
 
+@query
+def gold_profit_incremental(d: Data) -> DataFrame:
+    """Gold after a first load and a merge, of which only the changed groups were aggregated."""
+    history, increment = bronze.history_and_increment(d.orders_silver)
+    changed = bronze.with_moved_groups(increment)
+    sm.merge_orders_and_gold(d.spark, history, d.layers)
+    sm.merge_orders_and_gold(
+        d.spark, changed, d.layers, on_duplicate="latest", order_by=changed.columns
+    )
+    return sm.load_profit_aggregate(d.spark, d.layers)
+
+
 @query
 def layer_counts(d: Data) -> DataFrame:
     return sm.layer_counts({
@@ -376,6 +446,23 @@ def gold_stats(d: Data) -> DataFrame:
     return sm.aggregate_statistics(d.gold)
 
 
+@query
+def gold_stats_sketch(d: Data) -> DataFrame:
+    """The exact counts, and whether those from sketches (one year's taken anew) and the approximate ones are near."""
+    gold = sm.stage(d.gold, "gold")
+    sketches = sm.stage(sm.sketch_gold(gold.where("year <> 1998")), "gold-sketches")
+    sketched = sm.sketched_statistics(sm.refresh_sketches(sketches, gold, [1998, None]))
+    exact, rough = sm.aggregate_statistics(gold), sm.aggregate_statistics(gold, approximate=0.015)
+    near = [
+        (F.abs(F.col(f"{side}.{name}") - F.col(f"exact.{name}")) <= 0.05 * F.col(f"exact.{name}")).alias(f"{side}_{name}_near")
+        for side in ("sketched", "rough") for name in ("distinct_categories", "distinct_customers")
+    ]
+    # One row each; exact columns of the sketches join them.
+    same = ["total_records", "distinct_years"]
+    found = exact.alias("exact").join(sketched.alias("sketched"), same).join(rough.alias("rough").drop("distinct_years"), same[0])
+    return found.select(*same, "exact.distinct_categories", "exact.distinct_customers", *near)
+
+
 @query
 def duplicate_keys(d: Data) -> DataFrame:
     return sm.duplicate_keys(d.orders, ["Customer ID", "Order ID", "Product ID"])
