@@ -15,7 +15,8 @@ from .quality import (
     uniqueness_report,
     validate_schema,
 )
-from .rows import common_values, distinct_values, duplicate_keys, keep_latest, sample
+from .quality_state import CHECKED, Checked, quality_state, quality_suite_of_states
+from .rows import common_values, distinct_rows, distinct_values, duplicate_keys, keep_latest, sample
 from .standardize import (
     standardize_customer_columns,
     standardize_order_columns,
@@ -25,12 +26,15 @@ from .upsert import AmbiguousSourceError, upsert
 
 __all__ = [
     "AmbiguousSourceError",
+    "CHECKED",
+    "Checked",
     "DataQualityException",
     "check_null_completeness",
     "check_referential_integrity",
     "check_uniqueness",
     "common_values",
     "conformance_report",
+    "distinct_rows",
     "distinct_values",
     "duplicate_keys",
     "join_with_customer",
@@ -39,7 +43,9 @@ __all__ = [
     "null_report",
     "orphan_keys",
     "orphan_report",
+    "quality_state",
     "quality_suite",
+    "quality_suite_of_states",
     "require_passed",
     "row_preservation",
     "sample",

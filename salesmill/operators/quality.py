@@ -268,30 +268,47 @@ def quality_suite(
         "customers": (customers_bronze, "Customer ID"), "products": (products_bronze, "Product ID"),
     })
 
+    return suite_of_counts(spark, {
+        "customers": customers_bronze, "products": products_bronze, "orders": orders_bronze,
+        "customers_enriched": customers_silver, "products_enriched": products_silver, "orders_enriched": orders_silver,
+        "profit_aggregate": profit_aggregate,
+    }, customers, products, orphans, gold)
+
+
+def suite_of_counts(
+    spark: SparkSession,
+    tables: dict[str, DataFrame],
+    customers: DataFrame,
+    products: DataFrame,
+    orphans: DataFrame,
+    gold: DataFrame,
+) -> DataFrame:
+    """The fourteen checks from rows of counts: ``nulls`` and ``duplicates`` of customers and products, orphans towards
+    ``customers`` and ``products``, ``nulls`` of gold. Of ``tables`` only the column names are looked at."""
     bronze, silver = "bronze", "silver"
     parts = [
         _verdicts(customers, bronze, [
-            (1, "schema", "customers", _schema_violations(customers_bronze, CUSTOMER_BRONZE)),
+            (1, "schema", "customers", _schema_violations(tables["customers"], CUSTOMER_BRONZE)),
             (4, "nulls", "customers", F.col("nulls")),
             (6, "unique", "customers", F.col("duplicates")),
         ]),
         _verdicts(products, bronze, [
-            (2, "schema", "products", _schema_violations(products_bronze, PRODUCT_BRONZE)),
+            (2, "schema", "products", _schema_violations(tables["products"], PRODUCT_BRONZE)),
             (5, "nulls", "products", F.col("nulls")),
             (7, "unique", "products", F.col("duplicates")),
         ]),
         _verdicts(orphans, bronze, [
-            (3, "schema", "orders", _schema_violations(orders_bronze, ORDER_BRONZE)),
+            (3, "schema", "orders", _schema_violations(tables["orders"], ORDER_BRONZE)),
             (8, "references", "orders->customers", F.col("customers")),
             (9, "references", "orders->products", F.col("products")),
         ]),
         _verdicts(spark.range(1), silver, [
-            (10, "schema", "customers_enriched", _schema_violations(customers_silver, CUSTOMER_ENRICHED)),
-            (11, "schema", "products_enriched", _schema_violations(products_silver, PRODUCT_ENRICHED)),
-            (12, "schema", "orders_enriched", _schema_violations(orders_silver, ORDER_ENRICHED)),
+            (10, "schema", "customers_enriched", _schema_violations(tables["customers_enriched"], CUSTOMER_ENRICHED)),
+            (11, "schema", "products_enriched", _schema_violations(tables["products_enriched"], PRODUCT_ENRICHED)),
+            (12, "schema", "orders_enriched", _schema_violations(tables["orders_enriched"], ORDER_ENRICHED)),
         ]),
         _verdicts(gold, "gold", [
-            (13, "schema", "profit_aggregate", _schema_violations(profit_aggregate, PROFIT_AGGREGATE)),
+            (13, "schema", "profit_aggregate", _schema_violations(tables["profit_aggregate"], PROFIT_AGGREGATE)),
             (14, "nulls", "profit_aggregate", F.col("nulls")),
         ]),
     ]

@@ -17,6 +17,29 @@ def distinct_values(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     return (df.select(*columns) if columns else df).distinct()
 
 
+def row_fingerprint(columns: Sequence[Column]) -> list[Column]:
+    """128 bits of the columns' values, as two numbers; null counts as a value."""
+    values = [part for c in columns for part in (c.isNull(), c)]
+    return [F.xxhash64(F.lit(seed), *values) for seed in (1, 2)]
+
+
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """Whole rows, once each, for wide tables of mostly distinct rows.
+
+    Fingerprints are shuffled in place of rows; a row whose fingerprint no other has is distinct
+    and stays where it is. The others are compared whole, so fingerprints that only happen to be equal
+    lose no row. Fingerprints that repeat are joined back by broadcast if Spark measures them as small. ``df`` is
+    read three times: it should be a stored table.
+    """
+    a, b = row_fingerprint([F.col(quoted(c)) for c in df.columns])
+    marked = df.withColumns({"__a": a, "__b": b})
+    repeated = marked.groupBy("__a", "__b").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    alone, several = (
+        marked.join(repeated, ["__a", "__b"], how).select(*map(quoted, df.columns)) for how in ("left_anti", "left_semi")
+    )
+    return alone.unionByName(several.distinct())
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str], count_as: str = "copies") -> DataFrame:
     """Keys held by more than one row, and by how many; null counts as a value."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_as)).where(F.col(count_as) > 1)

@@ -28,6 +28,7 @@ from .gold_state import (
     profit_state,
 )
 from .jobs import HOSTED_FORM, build_gold, build_silver, ingest_bronze, run_all, run_reports, validate_layers
+from .quality_jobs import refresh_quality_state
 from .rollups import (
     REPORTS,
     profit_by_customer,
@@ -67,6 +68,7 @@ __all__ = [
     "profit_state",
     "profit_statistics",
     "rank_gold",
+    "refresh_quality_state",
     "refresh_sketches",
     "round_profit_to_2_decimals",
     "run_all",

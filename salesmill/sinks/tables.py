@@ -121,7 +121,7 @@ def gather_partitions(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     A rebalance and no plain repartition: adaptive execution splits a partition that
     holds far more than the others instead of leaving it to one task.
     """
-    return df.hint("rebalance", *partition_by) if partition_by else df
+    return df.hint("rebalance", *map(quoted, partition_by)) if partition_by else df
 
 
 def _arranged(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str]) -> DataFrame:

@@ -1,0 +1,82 @@
+"""Quality states: equal to the suite, whatever partitions were read again."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import Row
+from pyspark.sql import functions as F
+
+import salesmill as sm
+
+CHECKS = sm.Checked(required=("a key", "note"), key="a key", references=("a key", "other"))
+LAYOUT = "`a key` string, note string, other int, part string"
+
+
+def table_of(spark, rows):
+    return spark.createDataFrame(rows, LAYOUT)
+
+
+FIRST = [("k1", "n", 1, "x"), ("k1", None, 2, "y"), (None, "n", None, "y"), (None, None, 2, None), ("k2", "n", 3, "z")]
+
+
+def counts(state):
+    rows = [(r.part, r.measure, r.value if r.measure != "key" else None, r.n) for r in state.collect()]
+    return sorted(rows, key=repr)
+
+
+def test_a_state_counts_rows_nulls_keys_and_references(spark):
+    got = counts(sm.quality_state(table_of(spark, FIRST), CHECKS, ["part"]))
+    assert got == sorted([
+        ("x", "rows", None, 1), ("x", "nulls", None, 0), ("x", "key", None, 1), ("x", "a key", "k1", 1), ("x", "other", "1", 1),
+        ("y", "rows", None, 2), ("y", "nulls", None, 2), ("y", "key", None, 1), ("y", "key", None, 1), ("y", "a key", "k1", 1),
+        ("y", "a key", None, 1), ("y", "other", "2", 1), ("y", "other", None, 1),
+        (None, "rows", None, 1), (None, "nulls", None, 2), (None, "key", None, 1), (None, "a key", None, 1), (None, "other", "2", 1),
+        ("z", "rows", None, 1), ("z", "nulls", None, 0), ("z", "key", None, 1), ("z", "a key", "k2", 1), ("z", "other", "3", 1),
+    ], key=repr)
+    assert sm.quality_state(table_of(spark, []), CHECKS, ["part"]).count() == 0
+
+
+@pytest.mark.parametrize("changed", [["y"], ["z", None], ["new", "x"], []])
+def test_refreshing_reads_changed_partitions_only(spark, layers, changed):
+    """Partitions that are not named keep their state though the table differs there; one goes, one comes."""
+    table, state = f"{layers.bronze}.t", f"{layers.bronze}.t_state"
+    sm.save_table(spark, table_of(spark, FIRST), table, ["part"])
+    sm.refresh_quality_state(spark, state, spark.table(table), CHECKS, ["part"])
+    now = [("k9", None, 9, p) for p in ("x", "y", None, "new")]
+    sm.save_table(spark, table_of(spark, now), table, ["part"])
+    got = sm.refresh_quality_state(spark, state, spark.table(table), CHECKS, ["part"], [Row(part=p) for p in changed])
+    want = [r for r in now if r[3] in changed] + [r for r in FIRST if r[3] not in changed]
+    assert counts(got) == counts(sm.quality_state(table_of(spark, want), CHECKS, ["part"]))
+
+
+def test_only_files_of_changed_partitions_are_opened(spark, layers):
+    from salesmill.operators.rows import in_partitions
+
+    table = f"{layers.bronze}.t"
+    sm.save_table(spark, table_of(spark, FIRST), table, ["part"])
+    df = spark.table(table)
+    state = sm.quality_state(df.where(in_partitions([Row(part="x"), Row(part=None)], ["part"])), CHECKS, ["part"])
+    plan = state._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(" in plan and "ReadSchema: struct<a key:string,note:string,other:int>" in plan
+    scanned = df.where(in_partitions([Row(part="x"), Row(part=None)], ["part"])).inputFiles()
+    assert 1 <= len(scanned) <= 2 < len(df.inputFiles())
+
+
+def test_suite_of_states_is_the_suite(spark, customers, products, orders):
+    """With duplicates over partitions, null keys and orphans."""
+    c = customers.union(customers.limit(1).withColumn("Region", F.lit("West")))
+    p = products.withColumn("Product ID", F.when(F.col("State") == "Lagos", F.lit(None)).otherwise(F.col("Product ID")))
+    p = p.union(p)
+    o = orders.withColumn("Customer ID", F.when(F.col("Row ID") == 12, F.lit("nobody")).otherwise(F.col("Customer ID")))
+    silver = [sm.enrich_customer(c), sm.enrich_product(p)]
+    silver.append(sm.enrich_order(o, *silver))
+    gold = sm.create_profit_aggregate(silver[2])
+    want = sm.quality_suite(spark, c, p, o, *silver, gold)
+    parts = {"customers": (c, "Region"), "products": (p, "State"), "orders": (o, "Ship Mode"), "profit_aggregate": (gold, "year")}
+    states = {name: sm.quality_state(df, sm.CHECKED[name], [place]) for name, (df, place) in parts.items()}
+    tables = {"customers": c, "products": p, "orders": o, "profit_aggregate": gold}
+    tables |= dict(zip(("customers_enriched", "products_enriched", "orders_enriched"), silver))
+    got = sm.quality_suite_of_states(spark, states, tables)
+    assert got.dtypes == want.dtypes
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert want.where("violations > 0").count() >= 4

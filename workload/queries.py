@@ -7,12 +7,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 import salesmill as sm
 from salesmill.functions import day_first_date, day_first_parts
 from salesmill.operators import distinct_values, sample
+from salesmill.operators.rows import in_partitions
 from salesmill.schemas import CUSTOMER_ENRICHED, ORDER_ENRICHED, PRODUCT_BRONZE, column_names
 
 from . import bronze
@@ -335,7 +336,7 @@ def filter_in_list(d: Data) -> DataFrame:
 
 @query
 def distinct_rows(d: Data) -> DataFrame:
-    return distinct_values(d.products)
+    return sm.distinct_rows(sm.stage(d.products, "products"))
 
 
 @query
@@ -697,6 +698,31 @@ def dq_suite(d: Data) -> DataFrame:
     )
 
 
+@query
+def dq_suite_incremental(d: Data) -> DataFrame:
+    """The suite from states, of which only those of partitions that changed since the first load were taken anew."""
+    tables = {
+        "customers": (d.customers, "Region", ["ASIA", "EUROPE"], {"Segment": F.lit(None).cast("string")}),
+        "products": (d.products, "Category", ["PROMO"], {"Product ID": F.lit("P-1")}),
+        "orders": (d.orders, "Ship Mode", ["1-URGENT"], {"Customer ID": F.lit("NOBODY")}),
+        "profit_aggregate": (d.gold, "year", [1998, None], {"category": F.lit(None).cast("string")}),
+    }
+    states, current = {}, {}
+    for name, (df, place, changed, faults) in tables.items():
+        in_changed = in_partitions([Row(**{place: value}) for value in changed], [place])
+        spoilt = df.withColumns({c: F.when(in_changed, fault).otherwise(F.col(f"`{c}`")) for c, fault in faults.items()})
+        table, state = f"{d.layers.bronze}.{name}", f"{d.layers.bronze}.{name}_state"
+        sm.save_table(d.spark, spoilt, table, [place])
+        sm.refresh_quality_state(d.spark, state, d.spark.table(table), sm.CHECKED[name], [place])
+        sm.save_table(d.spark, df, table, [place])
+        current[name] = d.spark.table(table)
+        states[name] = sm.refresh_quality_state(
+            d.spark, state, current[name], sm.CHECKED[name], [place], [Row(**{place: value}) for value in changed]
+        )
+    silver = {"customers_enriched": d.customers_silver, "products_enriched": d.products_silver, "orders_enriched": d.orders_silver}
+    return sm.quality_suite_of_states(d.spark, states, current | silver)
+
+
 @query
 def dq_suite_missing_column(d: Data) -> DataFrame:
     """A required column, a key and a gold column are not there; all checks report."""
