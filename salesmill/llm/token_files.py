@@ -32,19 +32,24 @@ from .common import scratch_folder, slices, stage, texts_of
 
 MAGIC = b"S8TOKENS"
 END_ID = 2
-IDS_IN_FILE = 4_000_000
-CACHED_PIECES = 900_000
+IDS_IN_FILE = 1_000_000
+CACHE_BYTES = 160 << 20
+ENTRY_BYTES = 190
+PIECES_AT_ONCE = 10_000
 RANGE_BYTES = 96 << 20   # of text for a task: fewer, longer ranges repeat fewer pieces
 
 
 class PieceCache:
-    """Ids of texts from a ``tokenizers`` tokenizer, each distinct piece encoded once.
+    """Ids of texts from a ``tokenizers`` tokenizer, each distinct piece encoded once while it is known.
 
     A byte-level pre-tokenizer cuts texts at changes between letters, digits, signs and white
     space. Texts of Latin letters are cut here in the same way, others only before spaces
-    that follow a visible character, which no such tokenizer joins to what precedes them. What
-    is cached is forgotten at ``CACHED_PIECES``; that bounds memory and changes no result.
-    Tokenizers of another kind encode whole texts.
+    that follow a visible character, which no such tokenizer joins to what precedes them. Texts that hold
+    one of the tokenizer's added tokens are encoded whole, and tokenizers of another kind encode
+    whole texts only.
+
+    What is known is kept in two generations of at most ``CACHE_BYTES`` together: pieces met again move to the
+    young one, and when that is full the old one is forgotten. That bounds memory and changes no result.
     """
 
     BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
@@ -53,35 +58,87 @@ class PieceCache:
     CUTS = re.compile(
         r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-z0-9À-ÖØ-öø-ÿ]+|\s+(?!\S)|\s+"
     )
+    # Pieces that stay pieces in a line of their own.
+    LINE = re.compile(r" ?(?:[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]+)")   # no contraction begins without its mark
 
-    def __init__(self, tokenizer) -> None:
+    def __init__(self, tokenizer, cache_bytes: int = CACHE_BYTES) -> None:
         self.tokenizer = tokenizer
         kind = json.loads(tokenizer.to_str())
         first = kind["pre_tokenizer"] or {}
         self.cuttable = kind["normalizer"] is None and (
             first.get("type"), first.get("add_prefix_space"), first.get("use_regex")
         ) == ("ByteLevel", False, True)
-        self.known: dict[str, bytes] = {}
+        added = [t["content"] for t in kind.get("added_tokens") or []]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        self.most = cache_bytes // 2
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.held = 0
+        line = tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line = line[0] if len(line) == 1 else None
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
 
+    def _encode_new(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Words and numbers are encoded as lines of one text: a call for each costs more than its ids."""
+        lines = [] if self.line is None else list(filter(self.LINE.fullmatch, pieces))
+        others = list(set(pieces).difference(lines))
+        for at in range(0, len(others), PIECES_AT_ONCE):
+            some = others[at:at + PIECES_AT_ONCE]
+            yield from zip(some, self._encode(some))
+        for at in range(0, len(lines), PIECES_AT_ONCE):
+            some = lines[at:at + PIECES_AT_ONCE]
+            ids = np.frombuffer(self._encode(["\n".join(some)])[0], "<u4")
+            ends = np.flatnonzero(ids == self.line)
+            starts, raw = [0, *(4 * ends + 4).tolist()], ids.tobytes()
+            ends = [*(4 * ends).tolist(), len(raw)]
+            yield from zip(some, map(raw.__getitem__, map(slice, starts, ends)))
+
     def _cut(self, text: str) -> list[str]:
         return self.CUTS.findall(text) if self.LATIN.fullmatch(text) else self.BEFORE_SPACE.split(text)
 
+    def _know(self, pieces: set[str]) -> None:
+        """Have the ids of all these pieces in the young generation."""
+        if self.held > self.most:
+            self.young, self.old, self.held = {}, self.young, 0
+        wanted = pieces.difference(self.young)
+        found = {p: self.old[p] for p in wanted.intersection(self.old)}
+        found.update(self._encode_new(list(wanted.difference(found))))
+        # About what two small objects and a place in a dictionary take.
+        self.held += ENTRY_BYTES * len(found) + 2 * sum(map(len, found)) + sum(map(len, found.values()))
+        self.young.update(found)
+
+    def _joined(self, pieces: list[str]) -> bytes:
+        return b"".join(map(self.young.__getitem__, pieces))
+
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit numbers."""
-        if not self.cuttable:
-            yield from self._encode(texts)
-            return
-        if len(self.known) > CACHED_PIECES:
-            self.known.clear()
-        cut = list(map(self._cut, texts))
-        new = list(set().union(*cut).difference(self.known))
-        self.known.update(zip(new, self._encode(new)))
-        for pieces in cut:
-            yield b"".join(map(self.known.__getitem__, pieces))
+        whole = [not self.cuttable or bool(self.added and self.added.search(t)) for t in texts]
+        cut = [None if w else self._cut(t) for t, w in zip(texts, whole)]
+        short = [c for c in cut if c is not None and len(c) <= PIECES_AT_ONCE]
+        self._know(set().union(*short))
+        done = iter([self._joined(c) for c in short])
+        for text, pieces in zip(texts, cut):
+            if pieces is None:
+                yield self._encode([text])[0]
+            elif len(pieces) <= PIECES_AT_ONCE:
+                yield next(done)
+            else:
+                parts = []
+                for at in range(0, len(pieces), PIECES_AT_ONCE):
+                    part = pieces[at:at + PIECES_AT_ONCE]
+                    self._know(set(part))
+                    parts.append(self._joined(part))
+                yield b"".join(parts)
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its file system, as Spark resolves it, in the form that ``pyarrow.fs`` reads."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return re.sub(r"^file:/(?!/)", "file:///", found)
 
 
 def file_bytes(doc_ids: list[int | None], encoded: list[bytes]) -> bytes:
@@ -119,18 +176,19 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, folder: str, end_id:
     ascending order of doc_id (null first; equal ids by the hash of their texts).
 
     Returns the written manifest: ``file, n_docs, n_ids``. A null or empty text has the end
-    id alone. Texts count whole, special tokens in them as ordinary text. No documents: no
-    files. Repeated rows are written as often as they come. Other columns are not read.
+    id alone. Texts count whole, and a special token in them is what the library makes of
+    it. No documents: no files. Repeated rows are written as often as they come. Other columns are not read.
 
-    ``folder`` must be one that ``pyarrow.fs`` can write to and Spark can read.
+    ``folder`` must be one that ``pyarrow.fs`` can write to and Spark can read. Without a scheme it is
+    on the file system that Spark takes it for.
     """
+    place = qualified(docs.sparkSession, folder)
+
     def encode_range(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(tokenizer_file)
-        tokenizer.encode_special_tokens = True
-        encode = PieceCache(tokenizer)
-        store, root = pa.fs.FileSystem.from_uri(folder)
+        encode = PieceCache(Tokenizer.from_file(tokenizer_file))
+        store, root = pa.fs.FileSystem.from_uri(place)
         store.create_dir(root, recursive=True)
         task = TaskContext.get()
         end = np.array([end_id], "<u4").tobytes()
@@ -175,9 +233,13 @@ def read_token_files(
     spark: SparkSession, folder: str, manifest: DataFrame, with_ids: bool = True
 ) -> DataFrame:
     """Per document: ``doc_id, start`` (ids of all documents before it), ``n_tokens,
-    ids_crc32`` and, if asked for, the ``ids`` themselves."""
-    names = ["file", "doc_id", "offset", "n_tokens", "ids_crc32"] + ["ids"] * with_ids
-    layout = "file string, doc_id bigint, offset bigint, n_tokens bigint, ids_crc32 bigint"
+    ids_crc32`` and, if asked for, the ``ids`` themselves.
+
+    Raises if a file of the manifest is not there or holds another number of documents. What orders
+    the files is a window over one row for each, of a million ids.
+    """
+    names = ["file", "docs_in_file", "doc_id", "offset", "n_tokens", "ids_crc32"] + ["ids"] * with_ids
+    layout = "file string, docs_in_file bigint, doc_id bigint, offset bigint, n_tokens bigint, ids_crc32 bigint"
 
     def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,6 +250,7 @@ def read_token_files(
                 crcs = [zlib.crc32(raw[4 * (e - n):4 * e]) for e, n in zip(ends.tolist(), lengths.tolist())]
                 columns = [
                     pa.array([path.rsplit("/", 1)[1]] * len(doc_ids), pa.string()),
+                    pa.array([len(doc_ids)] * len(doc_ids), pa.int64()),
                     pa.array(doc_ids, pa.int64()),
                     pa.array(ends - lengths, pa.int64()),
                     pa.array(lengths, pa.int64()),
@@ -198,17 +261,20 @@ def read_token_files(
                     columns.append(pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int64))))
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    # One row per file: the ids before each.
     before = F.coalesce(
         F.sum("n_ids").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
-    starts = manifest.select("file", before.alias("file_start"))
+    starts = manifest.select("file", "n_docs", before.alias("file_start"))
     files = spark.read.format("binaryFile").schema(
         "path string, modificationTime timestamp, length bigint, content binary"
     ).option("pathGlobFilter", "*.s8").load(folder)
     decoded = files.select("path", "content").mapInArrow(decode, layout + ", ids array<bigint>" * with_ids)
-    return decoded.join(starts, "file").select(
-        "doc_id", (F.col("file_start") + F.col("offset")).alias("start"), *names[3:]
+    lost = F.raise_error(F.concat(F.lit("token file is not as written: "), "file")).cast("bigint")
+    whole = F.coalesce(F.col("docs_in_file") == F.col("n_docs"), F.lit(False))
+    return starts.join(decoded, "file", "left").select(
+        "doc_id",
+        F.when(whole, F.col("file_start") + F.col("offset")).otherwise(lost).alias("start"),
+        *names[4:],
     )
 
 

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from salesmill.llm import simple8b
+from salesmill.llm import simple8b, token_files
 from salesmill.llm.queries import op3_token_files
 from salesmill.llm.token_files import PieceCache, file_bytes, parse_file, read_token_files, token_digest, write_token_files
 
@@ -19,9 +19,7 @@ FILE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def tokenizer():
-    found = Tokenizer.from_file(FILE)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(FILE)
 
 
 @settings(deadline=None, max_examples=60)
@@ -66,6 +64,54 @@ def test_cut_pieces_encode_like_the_whole(text):
     assert ids == coder.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("cache_bytes", [0, 3000, 1 << 20])
+def test_small_caches_and_long_texts(monkeypatch, small, cache_bytes):
+    """Generations that are forgotten after each call, texts in several parts, added tokens within texts."""
+    monkeypatch.setattr(token_files, "PIECES_AT_ONCE", 7)
+    coder = tokenizer()
+    cache = PieceCache(coder, cache_bytes)
+    given = [d["text"] for d in small("documents")] + ["a<|endoftext|>b <|endoftext|>", "<|endoftext|>", "", "it's we'll 12'd", " \n x"]
+    for at in range(0, len(given), 3):
+        for text, ids in zip(given[at:at + 3], cache(given[at:at + 3])):
+            assert np.frombuffer(ids, "<u4").tolist() == coder.encode(text, add_special_tokens=False).ids
+    assert cache.held <= cache_bytes + 200_000
+
+
+def test_special_tokens_are_the_library_s(spark):
+    rows = [(1, "<|endoftext|>"), (2, "x <|endoftext|> y"), (3, "<|endoftext"), (4, "é<|endoftext|>日本")]
+    got = token_digest(spark.createDataFrame(rows, "doc_id bigint, text string"), FILE)
+    assert sorted(map(tuple, got.collect())) == expected(rows)
+    assert expected(rows)[0][2] == 2
+
+
+def test_several_files_in_a_range(spark, odd_docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_files, "IDS_IN_FILE", 40)
+    manifest = write_token_files(odd_docs.coalesce(1), FILE, str(tmp_path / "files"))
+    assert manifest.count() > 4
+    got = [tuple(r) for r in read_token_files(spark, str(tmp_path / "files"), manifest, with_ids=False).collect()]
+    key = lambda rows: sorted((r[0] is not None, r[0] or 0, *r[2:]) for r in rows)
+    assert key(got) == key(expected(texts()))
+    assert sorted(r[1] + r[2] for r in got)[:-1] == sorted(r[1] for r in got)[1:]
+
+
+@pytest.mark.parametrize("change", ["missing", "other"])
+def test_files_that_are_not_as_written_raise(spark, odd_docs, tmp_path, change):
+    folder = tmp_path / "files"
+    manifest = write_token_files(odd_docs, FILE, str(folder))
+    first, *others = sorted(folder.glob("*.s8"))
+    if change == "missing":
+        first.rename(tmp_path / "gone")
+    else:
+        first.write_bytes(file_bytes([1], [np.array([5, 2], "<u4").tobytes()]))
+    with pytest.raises(Exception, match="not as written"):
+        read_token_files(spark, str(folder), manifest, with_ids=False).collect()
+
+
+def test_folders_are_where_spark_takes_them(spark):
+    assert token_files.qualified(spark, "/tmp/x y/z") == "file:///tmp/x y/z"
+    assert token_files.qualified(spark, "file:///tmp/z") == "file:///tmp/z"
+
+
 def test_query_against_the_tokenizer(spark, small):
     got = sorted(tuple(r) for r in op3_token_files(spark, SMALL).collect())
     assert got == expected([(d["doc_id"], d["text"]) for d in small("documents")])
