@@ -66,3 +66,50 @@ def test_every_place_is_as_likely(spark, tmp_path):
 def test_no_documents(spark, no_docs, tmp_path):
     no_docs.write.parquet(str(tmp_path / "none"))
     assert shard_digest(spark.read.schema(no_docs.schema).parquet(str(tmp_path / "none"))).count() == 0
+
+
+def test_same_rows_and_seed_are_the_same_shards(spark, odd_docs, tmp_path):
+    """Whatever files the rows lie in and however many tasks read and shuffle them; copies of whole rows included."""
+    docs = odd_docs.union(odd_docs).union(odd_docs.limit(3))
+    found = []
+    for parts, shuffled in ((1, 2), (7, 5)):
+        docs.repartition(parts).write.parquet(f"{tmp_path}/{parts}")
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", shuffled)
+        rows = shard_digest(spark.read.parquet(f"{tmp_path}/{parts}"), 5).collect()
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        check(rows, 5)
+        found.append(sorted(((r.shard, r.slot, r.doc_id, r.text_crc32) for r in rows), key=repr))
+    assert found[0] == found[1]
+
+
+def test_texts_longer_than_a_bucket(spark, stored_odd_docs, tmp_path):
+    """Buckets of 64 bytes: nearly every text is longer than one."""
+    write_shards(stored_odd_docs, str(tmp_path / "shards"), 3, bucket_bytes=64)
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    rows = back.select("shard", "slot", "record.doc_id", "record.text").collect()
+    by_shard = [sorted(r.slot for r in rows if r.shard == s) for s in range(3)]
+    assert all(slots == list(range(len(slots))) for slots in by_shard)
+    assert max(map(len, by_shard)) - min(map(len, by_shard)) <= 1
+    assert sorted(((r.doc_id, r.text) for r in rows), key=repr) == sorted(texts(), key=repr)
+
+
+def test_copies_of_one_row_spread(spark, tmp_path):
+    spark.range(3000).selectExpr("7L as doc_id", "'same' as text").write.parquet(str(tmp_path / "t"))
+    rows = shard_digest(spark.read.parquet(str(tmp_path / "t")), 4).collect()
+    check(rows, 4)
+    assert len(rows) == 3000
+
+
+def test_a_bucket_is_a_task(spark, stored_odd_docs, tmp_path, monkeypatch):
+    """The shuffle has as many partitions as there are buckets, and no other exchange of records follows."""
+    from salesmill.llm import shards
+
+    asked = []
+    original = type(stored_odd_docs).repartitionById
+    monkeypatch.setattr(
+        type(stored_odd_docs), "repartitionById", lambda self, n, by: asked.append(n) or original(self, n, by)
+    )
+    shards.write_shards(stored_odd_docs, str(tmp_path / "s"), 3, bucket_bytes=1000)
+    size = sum(len((t or "").encode()) + 16 for _, t in texts())
+    assert asked == [-(-size // 1000)]
