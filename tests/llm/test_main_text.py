@@ -2,8 +2,9 @@
 
 import html
 import re
+from collections import Counter
 
-from salesmill.llm.main_text import extract_main_text, main_text, parse, subtree_hashes
+from salesmill.llm.main_text import PROSE, _below, extract_main_text, main_text, parse, site_templates, subtree_hashes
 from salesmill.llm.queries import op1_main_text
 
 from .conftest import SMALL
@@ -129,3 +130,96 @@ def test_query_against_the_articles(spark, small):
         text = "\n".join(" ".join(b) for b in blocks if b)
         assert got.pop(page["page_id"]) == (page["url"], text, len(text))
     assert not got
+
+
+def test_names_that_only_mention_chrome_stay():
+    assert main_text(parse('<div class="content no-sidebar"><p>text</p></div>')) == "text"
+    assert main_text(parse('<div class="post ad-hoc"><p>text</p></div>')) == "text"
+    article = '<article><p>first</p><section class="social-history"><p>then</p></section><div class="widget-guide">last</div></article>'
+    assert main_text(parse(article)) == "first\nthen\nlast"
+    chrome = '<div id="cookie-notice">x</div><div class="siteHeader">x</div><div class="sidebar-2 left">x</div><div class="post-comments"><p>x x x x</p></div>'
+    assert main_text(parse(f"<div>{chrome}<p>text</p></div>")) == "text"
+
+
+def test_what_holds_most_of_the_prose_stays_whatever_its_name():
+    page = '<div class="sidebar"><p>{}</p></div><p>rest</p>'
+    assert main_text(parse(page.format("long " * 9))) == " ".join(["long"] * 9) + "\nrest"
+    assert main_text(parse(page.format("x"))) == "rest"
+    templates = {h for pair in subtree_hashes(parse("<section><p>all of it</p></section>")).values() for h in pair}
+    assert main_text(parse("<section><p>all of it</p></section><p>more</p>"), templates) == "all of it\nmore"
+
+
+def test_what_is_unseen_ends_no_paragraph():
+    for unseen in ("<button>y</button>", "<svg><text>y</text></svg>", "<noscript>y</noscript>", "<video>y</video>"):
+        assert main_text(parse(f"<p>x {unseen} z</p>")) == "x z"
+    assert main_text(parse("<article><p>so <math><mi>a</mi><mo>=</mo><mn>1</mn></math> holds</p></article>")) == "so a=1 holds"
+    assert main_text(parse("<p>a</p>b<div class=ad>ad</div>c")) == "a\nb\nc"
+
+
+def test_one_block_between_others_like_it_stays(spark):
+    """A sentence in a block of its own, on many pages, in the text of one."""
+    def page(k):
+        lines = "".join(f"<div>Line {k}.{n}</div>" for n in range(3))
+        return f"<section><div>Start {k}</div><div>As always.</div>{lines}</section><ul class=menu><li>Home</ul>"
+
+    rows = [row(k, f"http://h/{k}", page(k)) for k in range(9)]
+    got = texts_by_id(extract_main_text(pages(spark, rows)))
+    assert got[4, "http://h/4"][0] == "Start 4\nAs always.\nLine 4.0\nLine 4.1\nLine 4.2"
+
+
+def counted(rows):
+    """``site_templates`` by dictionaries."""
+    hosts = {}
+    for _, url, page in rows:
+        host = re.match(r"\s*[a-z]+://([^/?#:]*)", url)[1].lower()
+        tree = parse(page)
+        prose = {n for n, e in numbered(tree).items() if e.tag in PROSE}
+        found = {(place, own) for n, (own, place) in subtree_hashes(tree).items() if n not in prose}
+        hosts.setdefault(host, {}).setdefault(main_text(tree), set()).add(frozenset(found))
+    out = {}
+    for host, contents in hosts.items():
+        # Of copies one counts; copies here have the same elements.
+        kept = [min(found, key=sorted) for found in contents.values()]
+        n, at = Counter(x for found in kept for x in found), Counter(p for found in kept for p in {p for p, _ in found})
+        templates = {own for (place, own), k in n.items() if k >= 3 and k >= 0.05 * len(kept)}
+        for place, on_pages in at.items():
+            here = [k for (p, _), k in n.items() if p == place]
+            again = sum(k for k in here if k > 1)
+            if again >= 3 and again >= 0.15 * sum(here) and sum(here) <= 2 * on_pages and on_pages >= 0.3 * len(kept):
+                templates.add(place)
+        if templates:
+            out[host] = {h - (1 << 64) if h >> 63 else h for h in templates}
+    return out
+
+
+def numbered(tree):
+    return {e.number: e for e in _below(tree)}
+
+
+def renamed(page):
+    """Without the tag and the name that tell the article and the advert of the given pages."""
+    return re.sub(r"<(/?)article>", r"<\1div>", page).replace('<div class="ad">', '<div class="x">')
+
+
+def test_templates_against_plain_counts(spark, small):
+    rows = [(p["page_id"], p["url"], renamed(p["html"])) for p in small("pages")]
+    rows += [(1000 + k, f"http://more.example/{k}", f"<nav>{k % 4}</nav><div><p>{k}</p></div><div>{k // 2}</div>") for k in range(24)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.host: set(r.templates) for r in site_templates(df).collect()}
+    assert got == counted(rows) and "more.example" in got
+
+
+def test_templates_alone_find_the_articles(spark):
+    """The given pages, of which neither tag nor name tells what is advert and what article."""
+    given = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url", "html").collect()
+    df = spark.createDataFrame([(p.page_id, p.url, renamed(p.html)) for p in given], "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in extract_main_text(df).collect()}
+    right = worse = 0
+    for p in given:
+        article = re.search(r"<article>(.*)</article>", p.html, re.S)[1]
+        blocks = [html.unescape(re.sub(r"<[^>]*>", "", x)).split() for x in re.split(r"</?(?:p|h1)>", article)]
+        want = "\n".join(" ".join(b) for b in blocks if b)
+        right += got[p.page_id] == want
+        worse += main_text(parse(renamed(p.html))) == want != got[p.page_id]
+        assert set(want.split("\n")) <= set(got[p.page_id].split("\n"))
+    assert right >= 0.95 * len(given) and worse == 0
