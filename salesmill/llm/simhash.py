@@ -1,8 +1,8 @@
 """Near duplicates by SimHash fingerprints, compared bit by bit in parallel.
 
-Fingerprints within ``radius`` bits of each other are found exactly: cut into more bands
-than the radius, two such fingerprints agree in one whole band at least. Fingerprints that
-share a band are compared in blocks of 64 whose bits are stored as planes, one 64-bit word
+Fingerprints within ``radius`` bits of each other are found exactly: cut into more blocks
+than the radius, two such fingerprints agree in all but ``radius`` blocks at least, and every choice of so many
+is a key. Fingerprints that share a key are compared in blocks of 64 whose bits are stored as planes, one 64-bit word
 per bit position: one XOR compares a bit of 64 fingerprints at once, and their distances
 are kept in bit-sliced counters fed by carry-save adders. A block is abandoned as soon as
 all its distances exceed the radius.
@@ -14,6 +14,7 @@ groups not joined before leave the task: they connect what all links would conne
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,9 @@ WORDS = 4            # of a shingle
 RADIUS = 4
 BITS = 64
 SEED = 42
-TILE = 4096          # fingerprints of a band that one task compares with as many others
+TILE = 4096          # fingerprints of a key that are compared at once with as many others
+GROUP = 256          # fingerprints that share a key, about, and that are compared together
+MOST_AGREEING = 4    # blocks in a key
 _VALUE_BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
 
@@ -159,43 +162,91 @@ def spanning_links(left: np.ndarray, right: np.ndarray | None, radius: int = RAD
 
 # ---------------------------------------------------------------- links and groups
 
-def near_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``a, b``: links between distinct fingerprints of ``fps(fp)``, as many as connect them.
+def blocks_for(fingerprints: int, radius: int = RADIUS) -> int:
+    """How many blocks to cut fingerprints into, so that about ``GROUP`` of so many share a key.
 
-    A band value that many fingerprints share is dealt to several tasks: its fingerprints
-    fall into chunks by their hash, and each pair of chunks is one piece of work. (A ball of
-    few bits around a fingerprint has few members, so chunks stay few.)
+    A key is all but ``radius`` of the blocks: the more blocks, the more keys a fingerprint has and the
+    more bits are in each. Comparisons then grow with the number of fingerprints and not with its square.
     """
-    bands = radius + 1
-    edges = [round(BITS * k / bands) for k in range(bands + 1)]
+    blocks = radius + 1
+    while blocks < radius + MOST_AGREEING and fingerprints >> BITS * (blocks - radius) // blocks > GROUP:
+        blocks += 1
+    return blocks
+
+
+def add_keys(fps: DataFrame, radius: int, blocks: int) -> DataFrame:
+    """``fp, key``: each fingerprint with all its keys. Keys that only share a hash are compared in vain, no more."""
+    edges = [round(BITS * k / blocks) for k in range(blocks + 1)]
+    parts = [
+        F.shiftrightunsigned("fp", low).bitwiseAND((1 << (high - low)) - 1) if high - low < BITS else F.col("fp")
+        for low, high in zip(edges, edges[1:])
+    ]
     keys = [
-        F.struct(F.lit(k).alias("band"), F.shiftrightunsigned("fp", low).bitwiseAND((1 << (high - low)) - 1).alias("value"))
-        for k, (low, high) in enumerate(zip(edges, edges[1:]))
+        F.xxhash64(F.lit(k), *[parts[i] for i in chosen])
+        for k, chosen in enumerate(combinations(range(blocks), blocks - radius))
     ]
-    banded = fps.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.band", "k.value")
-    sizes = banded.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1")
-    chunk = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
+    return fps.select("fp", F.explode(F.array(*keys)).alias("key"))
+
+
+def near_links(fps: DataFrame, radius: int = RADIUS, blocks: int | None = None) -> DataFrame:
+    """``a, b``: links between distinct fingerprints of ``fps(fp)``, as many as connect them.
+
+    Of ``blocks`` blocks two such fingerprints differ in ``radius`` at most, so they agree in
+    a key of the others whatever the number; it is chosen from how many fingerprints there are.
+    A key that more than ``TILE`` share is dealt to several tasks: its fingerprints
+    fall into chunks by their hash, and each pair of chunks is one piece of work.
+    """
+    keyed = add_keys(fps, radius, blocks or blocks_for(fps.count(), radius))
+    hot = stage(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > TILE), "fingerprint-keys")
     dealt = (
-        banded.join(sizes, ["band", "value"])
-        .withColumn("chunks", F.ceil(F.col("n") / TILE).cast("int"))
-        .withColumn("chunk", chunk)
+        keyed.join(hot, "key", "left")
+        .withColumn("chunks", F.coalesce(F.ceil(F.col("n") / TILE), F.lit(1)).cast("int"))
+        .withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select(
-            "fp", "band", "value", "chunk",
-            F.least("chunk", "with").alias("first"), F.greatest("chunk", "with").alias("second"),
-        )
+        .select("fp", "key", "chunk", F.least("chunk", "with").alias("first"), F.greatest("chunk", "with").alias("second"))
     )
 
-    def compare(table: pa.Table) -> pa.Table:
-        fp = table.column("fp").to_numpy().view(np.uint64)
-        chunk = table.column("chunk").to_numpy()
-        first, second = table.column("first")[0].as_py(), table.column("second")[0].as_py()
-        right = None if first == second else fp[chunk == second]
-        links = spanning_links(fp if right is None else fp[chunk == first], right, radius)
-        pairs = np.array(links, np.uint64).reshape(-1, 2).view(np.int64)
-        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    return dealt.groupBy("band", "value", "first", "second").applyInArrow(compare, "a bigint, b bigint")
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                rows = np.rec.fromarrays([c.to_numpy() for c in batch.columns], names=batch.schema.names)
+                held = rows if held is None else np.concatenate([held, rows])
+            if held is None or not len(held):
+                continue
+            new = np.any([held[c][1:] != held[c][:-1] for c in ("key", "first", "second")], axis=0)
+            starts = np.append(0, np.flatnonzero(new) + 1)
+            # The last piece may go on in the next batch.
+            done = len(held) if batch is None else starts[-1]
+            if done:
+                links = _links_of_pieces(held[:done], starts[starts < done], radius)
+                pairs = np.array(links, np.uint64).reshape(-1, 2).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            held = held[done:]
+
+    piece = ("key", "first", "second")
+    return dealt.repartition(*piece).sortWithinPartitions(*piece).mapInArrow(compare, "a bigint, b bigint")
+
+
+def _links_of_pieces(rows: np.ndarray, starts: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """Links within each piece of rows, which begin at ``starts``; small ones are compared together."""
+    fp = rows["fp"].view(np.uint64)
+    sizes = np.diff(np.append(starts, len(rows)))
+    within = rows["first"][starts] == rows["second"][starts]
+    links = []
+    together = within & (sizes > 1)
+    own, ends = fp[np.repeat(together, sizes)], np.cumsum(sizes[together])
+    at = 0
+    while at < len(own):
+        end = int(ends[min(np.searchsorted(ends, at + GROUP), len(ends) - 1)])
+        links += spanning_links(np.unique(own[at:end]), None, radius)
+        at = end
+    for k in np.flatnonzero(~within):
+        part = slice(starts[k], starts[k] + sizes[k])
+        first = rows["chunk"][part] == rows["first"][starts[k]]
+        if first.any() and not first.all():
+            links += spanning_links(fp[part][first], fp[part][~first], radius)
+    return links
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:

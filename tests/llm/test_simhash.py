@@ -62,7 +62,8 @@ def test_distances_in_planes(radius):
     assert (got == want).all()
 
 
-def test_links_connect_what_all_links_connect(spark):
+@pytest.mark.parametrize("blocks", [None, 6, 7, 8])
+def test_links_connect_what_all_links_connect(spark, blocks):
     r = random.Random(5)
     fps = {r.getrandbits(64) for _ in range(150)}
     for f in list(fps)[:60]:
@@ -73,7 +74,7 @@ def test_links_connect_what_all_links_connect(spark):
     rows = [(f,) for f in signed]
     roots = {
         row.node: row.root
-        for row in connected_components(simhash.near_links(spark.createDataFrame(rows, "fp bigint"))).collect()
+        for row in connected_components(simhash.near_links(spark.createDataFrame(rows, "fp bigint"), 4, blocks)).collect()
     }
     parent = {f: f for f in signed}
 
@@ -97,6 +98,33 @@ def test_large_band_is_dealt_in_chunks(spark, monkeypatch):
     assert roots.count() == len(rows) and roots.select("root").distinct().count() == 1
 
 
+@pytest.mark.parametrize("radius", [0, 1, 3, 7])
+def test_other_radii(spark, radius):
+    """Pairs at the radius are linked, pairs beyond it are not."""
+    r = random.Random(radius)
+    base = [r.getrandbits(64) for _ in range(40)]
+    flip = lambda f, n: f ^ sum(1 << b for b in r.sample(range(64), n))
+    near, far = [flip(f, radius) for f in base[:20]], [flip(f, radius + 1) for f in base[20:]]
+    signed = [f - (1 << 64) if f >> 63 else f for f in {*base, *near, *far}]
+    links = simhash.near_links(spark.createDataFrame([(f,) for f in signed], "fp bigint"), radius).collect()
+    got = {frozenset((a % 2**64, b % 2**64)) for a, b in links if a != b}
+    assert got == {frozenset(p) for p in zip(base, near) if p[0] != p[1]}
+
+
+def test_comparisons_grow_with_the_fingerprints(spark, monkeypatch):
+    """Of random fingerprints; with groups of 4 where large tables have 256, so that few show what many do."""
+    monkeypatch.setattr(simhash, "GROUP", 4)
+    assert [simhash.blocks_for(n) for n in (10_000, 200_000, 10**8, 10**12, 10**15)] == [5, 6, 7, 8, 8]
+    per_fingerprint = []
+    for n in (12_500, 200_000):
+        fps = spark.range(n).selectExpr("xxhash64(id) as fp")
+        sizes = simhash.add_keys(fps, 4, simhash.blocks_for(n)).groupBy("key").count()
+        per_fingerprint.append(sizes.selectExpr("sum(count * (count - 1)) as pairs").first().pairs / n)
+    assert per_fingerprint[0] < 20 and per_fingerprint[1] < 20
+    monkeypatch.undo()
+    assert [simhash.blocks_for(n) for n in (10**6, 10**7, 10**9, 10**11)] == [5, 6, 7, 8]
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(200)] + [(500, 501), (7, 7)], "a bigint, b bigint")
     roots = {r.node: r.root for r in connected_components(edges).collect()}
