@@ -12,6 +12,8 @@ score is exact and the same for any order of work.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,10 @@ SPACE = " \t\n\x0b\x0c\r"
 LEAST_WORDS = 50
 MOST_REPEATED = 50       # percent of words in repeated windows
 REPEAT_WINDOW = 3
+FILTER_WORDS = 1 << 19   # of 64 bits: 4 MB
+LEAST_FILTER_WORDS = 1 << 10
+FILTER_BITS = 10         # for an id
+FILTER_HASHES = 4
 
 
 def words_of(text: str = "text") -> Column:
@@ -78,25 +84,82 @@ def repeated_words(words: Column) -> Column:
     ).cast("bigint")
 
 
+def id_filter(ids: DataFrame) -> DataFrame:
+    """One row, ``bits``: a Bloom filter of ``ids(id)`` in words of 64 bits, of ``FILTER_WORDS`` at most.
+
+    Beyond that it lets more through, which costs work and changes no result.
+    """
+    words = LEAST_FILTER_WORDS
+    while words < min(FILTER_WORDS, ids.count() * FILTER_BITS // 64):
+        words *= 2
+    at = F.explode(F.array(*_cells(F.col("id"), words))).alias("at")
+    set_bits = ids.select(at).groupBy(F.shiftright("at", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("b")
+    )
+    all_words = ids.sparkSession.range(words).select(F.col("id").alias("word"))
+    dense = all_words.join(set_bits, "word", "left").select("word", F.coalesce("b", F.lit(0).cast("bigint")).alias("b"))
+    return dense.agg(F.transform(F.sort_array(F.collect_list(F.struct("word", "b"))), lambda x: x["b"]).alias("bits"))
+
+
+def _cells(value: Column, words: Column | int) -> list[Column]:
+    words = F.lit(words) if isinstance(words, int) else words
+    return [F.pmod(F.xxhash64(value, F.lit(seed)), words.cast("bigint") * 64) for seed in range(FILTER_HASHES)]
+
+
+def may_be_in(value: Column, bits: Column) -> Column:
+    """False only for what is not among the ids of the filter."""
+    found = [
+        F.getbit(F.get(bits, F.shiftright(cell, 6).cast("int")), cell.bitwiseAND(63).cast("int")) == 1
+        for cell in _cells(value, F.size(bits))
+    ]
+    return value.isNotNull() & reduce(Column.__and__, found)
+
+
+def gram_counts(docs: DataFrame, trusted: DataFrame, buckets: int) -> DataFrame:
+    """``bucket, raw, trusted``: n-grams of all documents, and of those whose id is among ``trusted(id)``.
+
+    One pass counts all, and apart from them those that a filter of the trusted ids lets through. Of
+    these the few that are not trusted after all are counted in a second pass and taken off: they
+    are the only texts that are shuffled. Counts are reduced within tasks to at most one row per
+    bucket before they are.
+    """
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text")
+    bits = stage(id_filter(trusted), "trusted-filter").scalar()
+    let_in = may_be_in(F.col("id"), F.col("bits"))
+    passed = rows.withColumn("bits", bits).withColumn("passed", let_in).drop("bits")
+    counted = stage(
+        passed.select(F.when(F.col("passed"), 1).alias("passed"), F.explode(grams(words_of(), buckets)).alias("bucket"))
+        .groupBy("bucket").agg(F.count("*").alias("raw"), F.count("passed").alias("trusted")),
+        "gram-counts",
+    )
+    mistaken = stage(
+        passed.where("passed").select("id").distinct().join(trusted, "id", "left_anti"), "trusted-by-mistake"
+    )
+    if mistaken.isEmpty():
+        return counted
+    again = stage(id_filter(mistaken), "mistaken-filter").scalar()
+    few = passed.where("passed").drop("passed").withColumn("bits", again).where(may_be_in(F.col("id"), F.col("bits")))
+    # Ids that are taken for trusted grow with the documents, so both sides are shuffled.
+    off = (
+        few.drop("bits").join(mistaken.hint("merge"), "id", "left_semi")
+        .select(F.explode(grams(words_of(), buckets)).alias("bucket"))
+        .groupBy("bucket").agg(F.count("*").alias("off"))
+    )
+    exact = F.col("trusted") - F.coalesce("off", F.lit(0))
+    return stage(counted.join(off, "bucket", "left").select("bucket", "raw", exact.alias("trusted")), "gram-counts")
+
+
 def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """One row, ``weights``: for each bucket the rounded log of trusted over raw probability.
 
-    All documents are counted, those labelled of quality 1 as trusted too. Counts are reduced
-    within tasks to at most one row per bucket before they are shuffled. Without trusted
-    documents every weight is 0. Labels grow with the documents, so both sides are shuffled
-    at every size.
+    All documents are counted, those labelled of quality 1 as trusted too. Without trusted
+    documents every weight is 0.
     """
-    trusted = (
-        labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("bigint").alias("id"))
-        .distinct().withColumn("trusted", F.lit(1))
-    )
-    counted = (
-        docs.select(F.col("doc_id").cast("bigint").alias("id"), "text")
-        .join(trusted.hint("merge"), "id", "left")
-        .select("trusted", F.explode(grams(words_of(), buckets)).alias("bucket"))
-        .groupBy("bucket").agg(F.count("*").alias("raw"), F.count("trusted").alias("trusted"))
+    trusted = stage(
+        labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("bigint").alias("id")).distinct(),
+        "trusted-ids",
     )
-    counted = stage(counted, "gram-counts")
+    counted = gram_counts(docs, trusted, buckets)
     total = counted.agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted")).first()
     if not total.trusted:
         return docs.sparkSession.range(1).select(F.array_repeat(F.lit(0), buckets).alias("weights"))
