@@ -210,7 +210,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """The rows of ``docs``, all their columns, that hold no item of the benchmark."""
+    """The rows of ``docs``, all their columns (any names), that hold no item of the benchmark.
+
+    Null and empty texts hold none; long ones count whole. Rows with a null doc_id are compared like any
+    other. Repeated rows go or stay together; without items every row stays, no rows give none.
+    """
     leaked = stage(
         find_leaks(docs, benchmark, coverage).select(
             F.col("doc_id").alias("id"), "tie"

@@ -515,7 +515,11 @@ def score_toxicity(docs: DataFrame, net: Network | None, threshold: float = THRE
 
 
 def without_toxic(docs: DataFrame, net: Network | None, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs``, all their columns, that score below the threshold."""
+    """The rows of ``docs``, all their columns (any names), that score below the threshold.
+
+    Null and empty texts score as an empty window; long ones count whole. Without a network every row
+    stays. Repeated rows go or stay together; no rows give none.
+    """
     shared = _shared(docs, net)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

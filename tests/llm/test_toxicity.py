@@ -163,3 +163,48 @@ def test_query(spark, small):
     rows = op2_toxicity(spark, SMALL).collect()
     assert sorted(r.doc_id for r in rows) == sorted(d["doc_id"] for d in small("documents"))
     assert all(r.predicted == (r.score >= 0.7) for r in rows)
+
+
+def plain_score(net, text):
+    """One word, one window after another."""
+    s, p, h = net.s, net.p, net.s.hidden
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    words = tox.WORD.findall((text or "").lower())
+    seen = {w: net.vectors(*tox.word_slots([w], s))[0][:, 0].astype(float) for w in set(words)}
+    logits = []
+    start = 0
+    while True:
+        window = [seen[w] for w in words[start:start + s.window]]
+        states = np.zeros((max(len(window), 1), 2 * h))
+        for k, side in enumerate("fb"):
+            state = np.zeros(h)
+            for t in range(len(window)) if side == "f" else reversed(range(len(window))):
+                x = p[f"in_{side}"].astype(float) @ window[t] + p[f"gate_{side}"][:, 0]
+                r = p[f"rec_{side}"].astype(float) @ state
+                reset, update = sigmoid(x[:h] + r[:h]), sigmoid(x[h:2 * h] + r[h:2 * h])
+                fresh = np.tanh(x[2 * h:] + reset * r[2 * h:])
+                state = (1 - update) * fresh + update * state
+                states[t, k * h:(k + 1) * h] = state
+        weights = np.exp(states @ p["attend"])
+        logits.append(float(p["out"] @ (weights / weights.sum() @ states) + p["bias"][0]))
+        start += s.step
+        if start + s.window - s.step >= len(words):
+            break
+    return float(sigmoid(net.scale * max(logits) + net.shift))
+
+
+def test_scores_against_a_plain_forward_pass(spark, odd_docs):
+    """Each text by itself, word by word; words past a text's end have no part in any window."""
+    r = np.random.default_rng(7)
+    net = tox.Network(tox.Settings(window=12, step=6, hidden=5, word_slots=128, run_slots=256, word_size=3, run_size=4))
+    net.p = {k: (v + r.standard_normal(v.shape) * 0.4).astype(np.float32) for k, v in net.p.items()}
+    net.scale, net.shift = 1.7, -0.2
+    given = [(i, t) for i, t in texts() if len(t or "") < 10_000]
+    given += [(100 + n, " ".join(f"w{k % 9}" for k in range(n))) for n in (1, 11, 12, 13, 17, 18, 19, 24, 25, 60)]
+    df = spark.createDataFrame(given, "doc_id bigint, text string").repartition(3)
+    got = sorted(((r.doc_id, r.score) for r in tox.score_toxicity(df, net).collect()), key=repr)
+    want = sorted(((i, plain_score(net, t)) for i, t in given), key=repr)
+    key = lambda rows: sorted(rows, key=lambda x: (x[0] is None, x[0] or 0, round(x[1], 4)))
+    assert [i for i, _ in key(got)] == [i for i, _ in key(want)]
+    assert [s for _, s in key(got)] == pytest.approx([s for _, s in key(want)], abs=2e-4)
+    assert len({round(s, 3) for _, s in want}) > 8
