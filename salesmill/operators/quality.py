@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
+from pyspark.sql.window import Window
 
 from ..schemas import (
     CUSTOMER_BRONZE,
@@ -236,12 +237,14 @@ def quality_suite(
     products_silver: DataFrame,
     orders_silver: DataFrame,
     profit_aggregate: DataFrame,
+    rejects: DataFrame | None = None,
 ) -> DataFrame:
     """The fourteen checks over all layers as one table; a failed check does not stop it.
 
     ``check_no, layer, check, table, status, violations``. Checks of the same table share
     a scan; those of column names need none. A check that lacks a column it reads has failed,
-    with null violations.
+    with null violations. With ``rejects`` (a ``rejects_report`` of the loads) one more check for each source
+    follows: records and values that its load could not take.
     """
     def null_total(df: DataFrame, columns: Sequence[str]) -> Column:
         if _missing(df, columns):
@@ -268,11 +271,21 @@ def quality_suite(
         "customers": (customers_bronze, "Customer ID"), "products": (products_bronze, "Product ID"),
     })
 
-    return suite_of_counts(spark, {
+    suite = suite_of_counts(spark, {
         "customers": customers_bronze, "products": products_bronze, "orders": orders_bronze,
         "customers_enriched": customers_silver, "products_enriched": products_silver, "orders_enriched": orders_silver,
         "profit_aggregate": profit_aggregate,
     }, customers, products, orphans, gold)
+    return suite.unionByName(_reject_checks(rejects)) if rejects is not None else suite
+
+
+def _reject_checks(rejects: DataFrame) -> DataFrame:
+    # A row for each source: few enough for one task.
+    number = F.row_number().over(Window.orderBy("source")) + F.lit(14)
+    return rejects.groupBy("source").agg(F.sum("rejected").alias("violations")).select(
+        number.alias("check_no"), F.lit("source").alias("layer"), F.lit("rejected").alias("check"), F.col("source").alias("table"),
+        F.when(F.col("violations") == 0, F.lit("PASSED")).otherwise(F.lit("FAILED")).alias("status"), "violations",
+    )
 
 
 def suite_of_counts(

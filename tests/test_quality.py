@@ -128,3 +128,20 @@ def test_references_share_a_scan_of_the_orders(spark, customers, products, order
 def test_layout_names_are_complete():
     assert len(column_names(CUSTOMER_BRONZE)) == 11 and len(column_names(ORDER_ENRICHED)) == 22
     assert ORDER_ENRICHED["profit"].dataType.simpleString() == "decimal(10,2)"
+
+
+def test_rejects_of_the_loads_are_checks_of_their_own(spark, customers, products, orders):
+    silver = [sm.enrich_customer(customers), sm.enrich_product(products)]
+    silver.append(sm.enrich_order(orders, *silver))
+    rejects = spark.createDataFrame(
+        [("products", 9, 2, None), ("products", 9, 1, "State"), ("customers", 3, 0, None)],
+        "source string, records bigint, rejected bigint, field string",
+    )
+    given = (spark, customers, products, orders, *silver, sm.create_profit_aggregate(silver[2]))
+    suite = sm.quality_suite(*given, rejects=rejects)
+    assert sm.quality_suite(*given).count() == 14 and suite.count() == 16
+    assert sorted(map(tuple, suite.where("check_no > 14").collect())) == [
+        (15, "source", "rejected", "customers", "PASSED", 0), (16, "source", "rejected", "products", "FAILED", 3),
+    ]
+    with pytest.raises(sm.DataQualityException, match="source.products rejected: 3"):
+        sm.require_passed(suite)
