@@ -16,6 +16,7 @@ DATE_COLUMNS = ("Order Date", "Ship Date")
 CORRUPT = "_corrupt_record"
 # Counts taken while records are read, beside one for each column.
 RECORDS, WHOLE_RECORD = "__records", "__out_of_shape"
+REPORT = {"source": "string", "records": "bigint", "rejected": "bigint", "field": "string"}
 
 
 def load_customer_data(
@@ -142,7 +143,10 @@ def rejects_report(spark: SparkSession, observed: dict[str, Observation]) -> Dat
         records, out_of_shape = counts.pop(RECORDS), counts.pop(WHOLE_RECORD, 0)
         rows.append((source, records, out_of_shape, None))
         rows += [(source, records, count, field) for field, count in counts.items() if count]
-    return spark.createDataFrame(rows, "source string, records bigint, rejected bigint, field string")
+    told = [
+        F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(row, REPORT.items())]) for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*told)))
 
 
 def _refuse_lines(spark: SparkSession, path: str) -> None:
