@@ -13,14 +13,17 @@ They are read back through Spark's ``binaryFile`` source, file by file.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -28,38 +31,41 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import simple8b
-from .common import scratch_folder, slices, stage, texts_of
+from .common import scratch_folder, slices, stage
 
 MAGIC = b"S8TOKENS"
 END_ID = 2
 IDS_IN_FILE = 1_000_000
-CACHE_BYTES = 160 << 20
+CACHE_BYTES = 128 << 20
 ENTRY_BYTES = 190
 PIECES_AT_ONCE = 10_000
+WORDS_AT_ONCE = 100_000
+BATCH_BYTES = 24 << 20
 RANGE_BYTES = 96 << 20   # of text for a task: fewer, longer ranges repeat fewer pieces
 
 
 class PieceCache:
     """Ids of texts from a ``tokenizers`` tokenizer, each distinct piece encoded once while it is known.
 
-    A byte-level pre-tokenizer cuts texts at changes between letters, digits, signs and white
-    space. Texts of Latin letters are cut here in the same way, others only before spaces
-    that follow a visible character, which no such tokenizer joins to what precedes them. Texts that hold
-    one of the tokenizer's added tokens are encoded whole, and tokenizers of another kind encode
-    whole texts only.
+    A byte-level pre-tokenizer never joins a space to a visible character before it, so texts are cut
+    before such spaces, in Arrow; only the distinct words of a batch are looked up and their ids laid out again in the
+    order of the texts. Words of Latin letters are cut on at changes between letters,
+    digits, signs and white space, as the pre-tokenizer does. Texts with other spaces or with one of the
+    tokenizer's added tokens are encoded whole, and tokenizers of another kind encode whole texts only.
 
     What is known is kept in two generations of at most ``CACHE_BYTES`` together: pieces met again move to the
     young one, and when that is full the old one is forgotten. That bounds memory and changes no result.
     """
 
-    BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
     LATIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*")
     # The cuts of byte-level pre-tokenizers, for the characters of LATIN.
     CUTS = re.compile(
         r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-z0-9À-ÖØ-öø-ÿ]+|\s+(?!\S)|\s+"
     )
-    # Pieces that stay pieces in a line of their own.
-    LINE = re.compile(r" ?(?:[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]+)")   # no contraction begins without its mark
+    # Pieces that stay pieces in a line of their own: no contraction begins without its mark.
+    LINE = re.compile(r" ?(?:[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]+)")
+    # A space after other white space (of any kind) may belong to it.
+    LOOSE_SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}] "
 
     def __init__(self, tokenizer, cache_bytes: int = CACHE_BYTES) -> None:
         self.tokenizer = tokenizer
@@ -69,7 +75,7 @@ class PieceCache:
             first.get("type"), first.get("add_prefix_space"), first.get("use_regex")
         ) == ("ByteLevel", False, True)
         added = [t["content"] for t in kind.get("added_tokens") or []]
-        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        self.whole = "|".join([self.LOOSE_SPACE, *map(re.escape, added)])
         self.most = cache_bytes // 2
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -96,42 +102,56 @@ class PieceCache:
             ends = [*(4 * ends).tolist(), len(raw)]
             yield from zip(some, map(raw.__getitem__, map(slice, starts, ends)))
 
-    def _cut(self, text: str) -> list[str]:
-        return self.CUTS.findall(text) if self.LATIN.fullmatch(text) else self.BEFORE_SPACE.split(text)
-
     def _know(self, pieces: set[str]) -> None:
         """Have the ids of all these pieces in the young generation."""
-        if self.held > self.most:
-            self.young, self.old, self.held = {}, self.young, 0
-        wanted = pieces.difference(self.young)
-        found = {p: self.old[p] for p in wanted.intersection(self.old)}
-        found.update(self._encode_new(list(wanted.difference(found))))
+        found = {p: self.old[p] for p in pieces.intersection(self.old)}
+        found.update(self._encode_new(list(pieces.difference(found))))
         # About what two small objects and a place in a dictionary take.
         self.held += ENTRY_BYTES * len(found) + 2 * sum(map(len, found)) + sum(map(len, found.values()))
         self.young.update(found)
 
-    def _joined(self, pieces: list[str]) -> bytes:
-        return b"".join(map(self.young.__getitem__, pieces))
-
-    def __call__(self, texts: list[str]) -> Iterator[bytes]:
+    def _ids_of(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words, some at a time."""
+        out = []
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            if self.held > self.most:
+                self.young, self.old, self.held = {}, self.young, 0
+            some = words[at:at + WORDS_AT_ONCE]
+            ids = list(map(self.young.get, some))
+            unknown = [k for k, x in enumerate(ids) if x is None]
+            single = [k for k in unknown if self.LINE.fullmatch(some[k])]
+            others = list(set(unknown).difference(single))
+            cut = [self.CUTS.findall(w) if self.LATIN.fullmatch(w) else [w] for w in map(some.__getitem__, others)]
+            self._know(set(map(some.__getitem__, single)).union(chain.from_iterable(cut)).difference(self.young))
+            for k in single:
+                ids[k] = self.young[some[k]]
+            for k, pieces in zip(others, cut):
+                ids[k] = b"".join(map(self.young.__getitem__, pieces))
+            out += ids
+        return out
+
+    def __call__(self, texts: list[str] | pa.Array) -> Iterator[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit numbers."""
-        whole = [not self.cuttable or bool(self.added and self.added.search(t)) for t in texts]
-        cut = [None if w else self._cut(t) for t, w in zip(texts, whole)]
-        short = [c for c in cut if c is not None and len(c) <= PIECES_AT_ONCE]
-        self._know(set().union(*short))
-        done = iter([self._joined(c) for c in short])
-        for text, pieces in zip(texts, cut):
-            if pieces is None:
-                yield self._encode([text])[0]
-            elif len(pieces) <= PIECES_AT_ONCE:
-                yield next(done)
-            else:
-                parts = []
-                for at in range(0, len(pieces), PIECES_AT_ONCE):
-                    part = pieces[at:at + PIECES_AT_ONCE]
-                    self._know(set(part))
-                    parts.append(self._joined(part))
-                yield b"".join(parts)
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts.fill_null("")
+        if not self.cuttable:
+            yield from self._encode(texts.to_pylist())
+            return
+        whole = pc.match_substring_regex(texts, self.whole)
+        cut = pc.split_pattern(pc.if_else(whole, "", texts), " ")
+        # The first word of a text has no space before it.
+        bounds = cut.offsets.to_numpy().astype(np.int64) - cut.offsets[0].as_py()
+        words = cut.flatten().dictionary_encode()
+        first = words.take(pa.array(bounds[:-1])).cast(pa.string()).to_pylist()
+        firsts = list(dict.fromkeys(first))
+        place = {w: k for k, w in enumerate(firsts)}
+        known = pa.array(self._ids_of(firsts + pc.binary_join_element_wise("", words.dictionary, " ").to_pylist()), pa.large_binary())
+        at = words.indices.to_numpy().astype(np.int64) + len(firsts)
+        at[bounds[:-1]] = np.fromiter(map(place.__getitem__, first), np.int64, len(first))
+        laid = known.take(pa.array(at))
+        ends = np.frombuffer(laid.buffers()[1], np.int64)[laid.offset:laid.offset + len(laid) + 1][bounds].tolist()
+        data = memoryview(laid.buffers()[2] or b"")
+        for k, is_whole in enumerate(whole.to_pylist()):
+            yield self._encode([texts[k].as_py()])[0] if is_whole else bytes(data[ends[k]:ends[k + 1]])
 
 
 def qualified(spark: SparkSession, folder: str) -> str:
@@ -202,8 +222,9 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, folder: str, end_id:
             store.move(draft, f"{root}/{name}")
             written.append((name, len(doc_ids), held))
 
-        for batch in slices(batches, "text", 1 << 20):
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(texts_of(batch.column("text")))):
+        gc.disable()   # it would walk through millions of strings, again and again, and there are no cycles
+        for batch in slices(batches, "text", BATCH_BYTES):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text"))):
                 doc_ids.append(doc_id)
                 encoded.append(ids + end)
                 held += len(ids) // 4 + 1
@@ -212,6 +233,7 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, folder: str, end_id:
                     doc_ids, encoded, held = [], [], 0
         if doc_ids:
             flush()
+        gc.enable()
         names, counts, totals = zip(*written) if written else ((), (), ())
         yield pa.RecordBatch.from_arrays(
             [pa.array(names, pa.string()), pa.array(counts, pa.int64()), pa.array(totals, pa.int64())],

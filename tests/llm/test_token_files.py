@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -68,12 +69,14 @@ def test_cut_pieces_encode_like_the_whole(text):
 def test_small_caches_and_long_texts(monkeypatch, small, cache_bytes):
     """Generations that are forgotten after each call, texts in several parts, added tokens within texts."""
     monkeypatch.setattr(token_files, "PIECES_AT_ONCE", 7)
+    monkeypatch.setattr(token_files, "WORDS_AT_ONCE", 50)
     coder = tokenizer()
     cache = PieceCache(coder, cache_bytes)
-    given = [d["text"] for d in small("documents")] + ["a<|endoftext|>b <|endoftext|>", "<|endoftext|>", "", "it's we'll 12'd", " \n x"]
+    given = [d["text"] for d in small("documents")] + ["a<|endoftext|>b <|endoftext|>", "<|endoftext|>", "", "it's we'll 12'd", " \n x", " a", "a ", "a  b", "a\u2003 b", "\x1f b", "a\n b", None]
     for at in range(0, len(given), 3):
-        for text, ids in zip(given[at:at + 3], cache(given[at:at + 3])):
-            assert np.frombuffer(ids, "<u4").tolist() == coder.encode(text, add_special_tokens=False).ids
+        some = pa.array(given[at:at + 3], pa.string())
+        for text, ids in zip(given[at:at + 3], cache(some)):
+            assert np.frombuffer(ids, "<u4").tolist() == coder.encode(text or "", add_special_tokens=False).ids
     assert cache.held <= cache_bytes + 200_000
 
 
