@@ -45,12 +45,16 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _pack_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     blocks = -(-len(ids) // BLOCK)
-    grid = np.zeros((blocks, BLOCK), np.uint64)
-    grid.reshape(-1)[: len(ids)] = ids
+    # Past the end of a block, and of all, there are zeros.
+    grid = np.zeros((blocks, BLOCK + COUNTS[-1]), np.uint64)
+    whole = len(ids) // BLOCK
+    grid[:whole, :BLOCK] = ids[: whole * BLOCK].reshape(whole, BLOCK)
+    if whole < blocks:
+        grid[whole, : len(ids) - whole * BLOCK] = ids[whole * BLOCK:]
     sizes = np.full(blocks, BLOCK)
     sizes[-1] = len(ids) - BLOCK * (blocks - 1)
 
-    choice = _widest_choice(_bit_lengths(grid))
+    choice = _widest_choice(_bit_lengths(grid[:, :BLOCK]))
     counts = np.array(COUNTS)
     at = np.zeros(blocks, np.int64)     # next number of each block
     used = np.zeros(blocks, np.int64)   # words of each block so far
@@ -66,16 +70,15 @@ def _pack_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     block, first, word, chosen = (np.concatenate(parts) for parts in zip(*taken))
     place = starts[block] + word
     words = np.zeros(starts[-1], np.uint64)
+    numbers, begin = grid.ravel(), block * grid.shape[1] + first
     for option, (count, width) in enumerate(zip(COUNTS, WIDTHS)):
         rows = np.flatnonzero(chosen == option)
-        packed = np.full(len(rows), (len(COUNTS) - option) << 60, np.uint64)
+        packed, here = np.full(len(rows), (len(COUNTS) - option) << 60, np.uint64), begin[rows]
         for j in range(count):
-            column = first[rows] + j
-            inside = column < BLOCK   # past the last number of all, the grid holds zeros
-            packed[inside] |= grid[block[rows][inside], column[inside]] << np.uint64(j * width)
+            packed |= numbers[here + j] << np.uint64(j * width)
         words[place[rows]] = packed
     rows = np.flatnonzero(chosen < 0)
-    wide = grid[block[rows], first[rows]]
+    wide = numbers[begin[rows]]
     words[place[rows]] = wide >> np.uint64(32)
     words[place[rows] + 1] = wide & np.uint64(0xFFFFFFFF)
     return words, starts[:-1].astype(np.uint64)
@@ -130,8 +133,11 @@ def unpack(words: np.ndarray, starts: np.ndarray, total: int) -> np.ndarray:
     for option, (count, width) in enumerate(zip(COUNTS, WIDTHS)):
         rows = np.flatnonzero(selector == len(COUNTS) - option)
         mask = np.uint64((1 << width) - 1)
+        full = first[rows] + count <= end[rows]
+        here, held, cut = first[rows[full]], words[rows[full]], rows[~full]
         for j in range(count):
-            inside = rows[first[rows] + j < end[rows]]
+            out[here + j] = (held >> np.uint64(j * width)) & mask
+            inside = cut[first[cut] + j < end[cut]]   # the last words of blocks
             out[first[inside] + j] = (words[inside] >> np.uint64(j * width)) & mask
     out[first[low]] = (words[high] << np.uint64(32)) | words[low]
     return out

@@ -36,11 +36,11 @@ from .common import scratch_folder, slices, stage
 MAGIC = b"S8TOKENS"
 END_ID = 2
 IDS_IN_FILE = 1_000_000
-CACHE_BYTES = 128 << 20
+CACHE_BYTES = 96 << 20
 ENTRY_BYTES = 190
-PIECES_AT_ONCE = 10_000
+PIECES_AT_ONCE = 50_000
 WORDS_AT_ONCE = 100_000
-BATCH_BYTES = 24 << 20
+BATCH_BYTES = 16 << 20
 RANGE_BYTES = 96 << 20   # of text for a task: fewer, longer ranges repeat fewer pieces
 
 
@@ -150,6 +150,7 @@ class PieceCache:
         laid = known.take(pa.array(at))
         ends = np.frombuffer(laid.buffers()[1], np.int64)[laid.offset:laid.offset + len(laid) + 1][bounds].tolist()
         data = memoryview(laid.buffers()[2] or b"")
+        del cut, words, known, at
         for k, is_whole in enumerate(whole.to_pylist()):
             yield self._encode([texts[k].as_py()])[0] if is_whole else bytes(data[ends[k]:ends[k + 1]])
 
