@@ -34,6 +34,32 @@ def test_orders_from_a_document(spark, tmp_path):
     check_orders(sm.load_order_data(spark, str(path), multi_line=True))
 
 
+def test_a_document_is_read_without_going_back_to_it(spark, tmp_path):
+    path = tmp_path / "Orders.json"
+    many = [{**ORDERS[0], "Row ID": i, "Price": i + 0.25, "Discount": 0.5, "Profit": -i - 0.5} for i in range(1000)]
+    path.write_text(json.dumps(many, indent=2))
+
+    def bytes_read():
+        return sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics() if s.getScheme() == "file")
+
+    before = bytes_read()
+    rows = sm.load_order_data(spark, str(path), multi_line=True).orderBy("Row ID").collect()
+    assert bytes_read() - before < 6 * path.stat().st_size
+    assert [(r["Row ID"], r["Price"], r["Profit"]) for r in rows] == [(i, i + 0.25, -i - 0.5) for i in range(1000)]
+
+
+def test_documents_keep_numbers_as_they_are_spelled(spark, tmp_path):
+    path = tmp_path / "Orders.json"
+    path.write_text(json.dumps([{**ORDERS[0], "Order ID": "spelled"}], indent=2).replace('"spelled"', "12.50"))
+    (tmp_path / "none").mkdir()
+    assert sm.load_order_data(spark, str(path), multi_line=True).first()["Order ID"] == "12.50"
+    (tmp_path / "none" / "Orders.json").write_text("")
+    assert sm.load_order_data(spark, str(tmp_path / "none"), multi_line=True).count() == 0
+    path.write_text(json.dumps(ORDERS, indent=2)[:-3])
+    kept = sm.load_order_data(spark, str(path), multi_line=True, corrupt_column="corrupt")
+    assert kept.where("corrupt is not null").first()["corrupt"] == path.read_text()
+
+
 def test_orders_from_lines(spark, tmp_path):
     path = tmp_path / "Orders.json"
     path.write_text("\n".join(map(json.dumps, ORDERS)))
