@@ -15,6 +15,10 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+# What adaptive execution gives one task of a shuffle, compressed, at most. Lines take some 25 times that in
+# the sorts and hash maps of a join with an aggregation above it, and more than a task's memory is spilled.
+TASK_BYTES = 16 * 1024 * 1024
+ADVISORY_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 # What the plans rely on. ANSI arithmetic makes an amount that does not fit raise, where it
 # would become null and drop out of its sum. Forcing the skew rule matters where an aggregation reuses the
@@ -104,9 +108,12 @@ def get_spark_session(
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Give a session that was made elsewhere the settings the plans rely on."""
+    """Give a session that was made elsewhere the settings the plans rely on. Tasks of less than ``TASK_BYTES``
+    stay as small as the session has them."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(ADVISORY_SIZE)) > TASK_BYTES:
+        spark.conf.set(ADVISORY_SIZE, f"{TASK_BYTES}b")
     return spark
 
 

@@ -160,3 +160,11 @@ def test_a_small_source_does_not_move_the_target(spark):
     merged = sm.upsert(target, source, sm.ORDER_KEYS, "latest", ["quantity"])
     plan = executed(merged)
     assert re.search(r"BroadcastHashJoin .*LeftAnti", plan) and "Exchange hashpartitioning" not in plan
+
+
+def test_a_task_of_a_shuffle_gets_little(spark, session_conf):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    for given, kept in (("64m", "16777216b"), ("8m", "8m")):
+        session_conf({name: given})
+        sm.configure(spark)
+        assert spark.conf.get(name) == kept
