@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
+from .key_filter import divide_by_keys
 from .rows import best_of_key, in_partitions
 
 
@@ -47,13 +48,14 @@ class StagedSource:
 
     def removed(self, target: DataFrame) -> DataFrame:
         """Rows of ``target`` that the source replaces."""
-        return target.join(self.taken.select(*self.keys), list(self.keys), "left_semi").select(*target.columns)
+        return divide_by_keys(target, self.taken, self.keys)[0]
 
     def merge_into(self, target: DataFrame) -> DataFrame:
         """``target`` with the source upserted; lazy.
 
         Both written sides of these joins hold a key once and come straight from a scan:
-        neither can be skewed, and adaptive execution is free to split the target.
+        neither can be skewed, and adaptive execution is free to split the target. Where keys are many, only
+        rows that may have one of them are shuffled.
         """
         return self.untouched(target).unionByName(self.added(target))
 
@@ -61,7 +63,7 @@ class StagedSource:
         """Rows of ``target`` that stay as they are."""
         if self.taken.isEmpty():
             return target
-        return target.join(self.taken.select(*self.keys), list(self.keys), "left_anti").select(*target.columns)
+        return divide_by_keys(target, self.taken, self.keys)[1]
 
     def added(self, target: DataFrame) -> DataFrame:
         """Rows that the merge puts in: each source row, as often as ``target`` holds its key, once if it does not."""
@@ -70,9 +72,9 @@ class StagedSource:
         if repeated.isEmpty():
             return self.rows.select(*target.columns)
         repeated_keys = stage(repeated.select(*keys), "repeated-keys")
-        several = stage(self.rows.join(repeated_keys, keys, "left_semi"), "repeated-rows")
-        once = self.rows.join(repeated_keys, keys, "left_anti").select(*target.columns)
-        return once.unionByName(target.select(*keys).join(several, keys, "inner").select(*target.columns))
+        several, once = divide_by_keys(self.rows, repeated_keys, keys)
+        several = stage(several, "repeated-rows")
+        return once.select(*target.columns).unionByName(target.select(*keys).join(several, keys, "inner").select(*target.columns))
 
 
 def stage_source(
@@ -152,8 +154,8 @@ def _reduce_to_latest(
     if several.isEmpty():
         return rows
     several = stage(several, "upsert-several")
-    best = best_of_key(rows.join(several, keys, "left_semi"), keys, order_by)
-    return rows.join(several, keys, "left_anti").unionByName(stage(best, "upsert-latest"))
+    repeated, alone = divide_by_keys(rows, several, keys)
+    return alone.unionByName(stage(best_of_key(repeated, keys, order_by), "upsert-latest"))
 
 
 def _shape_like(target: DataFrame, source: DataFrame, also: Sequence[str]) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 import pytest
 
 import salesmill as sm
+from salesmill.operators.key_filter import divide_by_keys
 
 COLUMNS = "k1 string, k2 int, v string"
 
@@ -113,3 +114,37 @@ def test_latest_may_be_chosen_by_a_column_the_target_lacks(spark):
     merged = sm.upsert(t, s, ["k1", "k2"], "latest", ["seen"])
     assert merged.columns == t.columns
     assert rows(merged) == [("a", 1, "x"), ("b", 1, "old"), ("c", 1, "q")]
+
+
+@pytest.fixture
+def filtered(monkeypatch):
+    """Keys are looked for by a filter, however few they are."""
+    monkeypatch.setattr("salesmill.operators.key_filter.FILTER_FROM", 1)
+    monkeypatch.setattr("salesmill.operators.key_filter.LEAST_WORDS", 4)
+
+
+def test_rows_divided_by_a_filter_of_keys(spark, filtered):
+    rows = spark.range(4000).selectExpr(
+        "CASE WHEN id % 50 = 0 THEN NULL ELSE concat('k', id % 3000) END AS `a key`", "cast(id % 3 AS int) AS part", "id AS v"
+    )
+    held = sm.stage(rows.where("v % 7 = 0").select("`a key`", "part").dropna().distinct(), "held")
+    inside, others = divide_by_keys(rows, held, ["a key", "part"])
+    assert sorted(inside.collect()) == sorted(
+        rows.join(held, ["a key", "part"], "left_semi").select("`a key`", "part", "v").collect()
+    )
+    plain = rows.join(held, ["a key", "part"], "left_anti").select("`a key`", "part", "v")
+    assert inside.count() + others.count() == 4000
+    assert others.subtract(plain).isEmpty() and others.count() == plain.count()
+    # Most of the others do not meet the keys at all.
+    met = others._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in met and met.count("LeftAnti") == 1
+
+
+def test_upserts_by_a_filter_are_the_same(spark, filtered, monkeypatch):
+    target = sm.stage(spark.range(600).selectExpr("CASE WHEN id % 90 <> 0 THEN id % 500 END AS k", "'old' AS v", "id AS n"), "target")
+    source = sm.stage(
+        spark.range(700).selectExpr("CASE WHEN id % 80 <> 0 THEN id % 300 + 250 END AS k", "'new' AS v", "id AS n"), "source"
+    )
+    by_filter = sorted(map(str, sm.upsert(target, source, ["k"], "latest", ["n"]).collect()))
+    monkeypatch.setattr("salesmill.operators.key_filter.FILTER_FROM", 10**9)
+    assert by_filter == sorted(map(str, sm.upsert(target, source, ["k"], "latest", ["n"]).collect()))
