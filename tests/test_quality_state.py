@@ -7,6 +7,8 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 import salesmill as sm
+from workload import bronze
+from workload.queries import QUERIES, Data
 
 CHECKS = sm.Checked(required=("a key", "note"), key="a key", references=("a key", "other"))
 LAYOUT = "`a key` string, note string, other int, part string"
@@ -80,3 +82,25 @@ def test_suite_of_states_is_the_suite(spark, customers, products, orders):
     assert got.dtypes == want.dtypes
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert want.where("violations > 0").count() >= 4
+
+
+def test_the_incremental_suite_computes_orders_and_gold_once(spark, tmp_path, monkeypatch):
+    day = "TIMESTAMP_NTZ'1998-08-01 00:00:00'"
+    rows = {
+        "region": "0, 'ASIA'", "nation": "0, 'Here', 0", "customer": "1L, 'C', 0, 1D, 'BUILDING'",
+        "part": "1L, 'P', 'Brand#1', 'PROMO', 1, 2D", "orders": f"1L, 1L, 'O', 1D, {day}, '1-URGENT'",
+        "lineitem": f"1L, 1L, 1L, 1, 2D, 3D, 0D, 0D, 'N', 'F', {day}",
+    }
+    for name, values in rows.items():
+        columns = [c.split()[0] for c in bronze.TABLES[name].split(", ")]
+        spark.sql(f"SELECT {values}").toDF(*columns).write.parquet(f"{tmp_path}/{name}.parquet")
+    saved = []
+
+    def save_table(session, df, table, *options, keep=sm.save_table):
+        saved.append((table.rsplit(".")[-1], [f for f in df.inputFiles() if "lineitem.parquet" in f]))
+        keep(session, df, table, *options)
+
+    monkeypatch.setattr(sm, "save_table", save_table)
+    report = QUERIES["dq_suite_incremental"](Data(spark, str(tmp_path)))
+    assert report.count() == 14
+    assert len(saved) == 8 and not any(files for _, files in saved)
