@@ -19,6 +19,13 @@ SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
 # the sorts and hash maps of a join with an aggregation above it, and more than a task's memory is spilled.
 TASK_BYTES = 16 * 1024 * 1024
 ADVISORY_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+# A partition of a join beyond both of these, bytes and times the median, is split: 256 MB and 5 are Spark's own.
+SKEWED_BYTES, SKEWED_TIMES = TASK_BYTES * 3 // 2, 2.0
+SKEWED_SIZE = "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"
+SKEWED_FACTOR = "spark.sql.adaptive.skewJoin.skewedPartitionFactor"
+# Adaptive execution merges pieces of a shuffle but splits no even ones: their number follows the input.
+FIRST_PIECES = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+MOST_PIECES = 4096
 
 # What the plans rely on. ANSI arithmetic makes an amount that does not fit raise, where it
 # would become null and drop out of its sum. Forcing the skew rule matters where an aggregation reuses the
@@ -97,9 +104,7 @@ def get_spark_session(
     builder = SparkSession.builder.appName(app_name)
     if input_bytes:
         pieces = max(200, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
-        builder = builder.config(
-            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(pieces)
-        )
+        builder = builder.config(FIRST_PIECES, str(pieces))
     for key, value in (conf or {}).items():
         builder = builder.config(key, value)
     spark = configure(builder.getOrCreate())
@@ -107,16 +112,37 @@ def get_spark_session(
     return spark
 
 
-def configure(spark: SparkSession) -> SparkSession:
+def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
     """Give a session that was made elsewhere the settings the plans rely on. Tasks of less than ``TASK_BYTES``
-    stay as small as the session has them."""
+    stay as small as the session has them.
+
+    With ``input_bytes`` (the stored size of all tables that are joined) shuffles begin with a piece for each
+    ``TASK_BYTES / 2`` of it, ``MOST_PIECES`` at most and never fewer than the session has.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
-    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(ADVISORY_SIZE)) > TASK_BYTES:
-        spark.conf.set(ADVISORY_SIZE, f"{TASK_BYTES}b")
+    in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    for key, most in ((ADVISORY_SIZE, TASK_BYTES), (SKEWED_SIZE, SKEWED_BYTES)):
+        if in_bytes(spark.conf.get(key)) > most:
+            spark.conf.set(key, f"{most}b")
+    if float(spark.conf.get(SKEWED_FACTOR)) > SKEWED_TIMES:
+        spark.conf.set(SKEWED_FACTOR, str(SKEWED_TIMES))
+    if input_bytes:
+        pieces = min(MOST_PIECES, -(-input_bytes // (TASK_BYTES // 2)))
+        if pieces > int(spark.conf.get(FIRST_PIECES, None) or spark.conf.get("spark.sql.shuffle.partitions")):
+            spark.conf.set(FIRST_PIECES, str(pieces))
     return spark
 
 
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Size of the files at and below ``paths``; what is not there has none."""
+    size = 0
+    for path in map(spark._jvm.org.apache.hadoop.fs.Path, paths):
+        store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        size += store.getContentSummary(path).getLength() if store.exists(path) else 0
+    return size
+
+
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under the cluster's shared ``spark.checkpoint.dir``.
 

@@ -168,3 +168,25 @@ def test_a_task_of_a_shuffle_gets_little(spark, session_conf):
         session_conf({name: given})
         sm.configure(spark)
         assert spark.conf.get(name) == kept
+
+
+def test_a_hot_partition_and_even_pieces_are_small(spark, session_conf, tmp_path):
+    skewed, factor, pieces = (
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+    )
+    session_conf({skewed: "256MB", factor: "5.0", pieces: "200"})
+    (tmp_path / "a").write_bytes(b"12345")
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "part").write_bytes(b"123")
+    size = sm.session.stored_bytes(spark, *[f"{tmp_path}/{name}" for name in ("a", "b", "none")])
+    assert size == 8
+    sm.configure(spark, size)
+    assert (spark.conf.get(skewed), spark.conf.get(factor), spark.conf.get(pieces)) == ("25165824b", "2.0", "200")
+    for stored, most in ((5 * 10**9, "597"), (10**15, "4096"), (10**6, "4096")):
+        sm.configure(spark, stored)
+        assert spark.conf.get(pieces) == most
+    session_conf({skewed: "1000", factor: "1.5"})
+    sm.configure(spark)
+    assert (spark.conf.get(skewed), spark.conf.get(factor)) == ("1000", "1.5")
