@@ -21,20 +21,39 @@ def divide_by_keys(rows: DataFrame, held: DataFrame, keys: Sequence[str]) -> tup
     """``rows`` whose key is among ``held``, and the others; a null key is among none.
 
     ``held`` has each key once and should be a written table. Of many keys a Bloom filter is made first: a row that it
-    does not let through has no such key and stays where it is.
+    does not let through has no such key and stays where it is. Of those that it lets through, keys alone tell which
+    are mistakes; rows are then shuffled only if they may have one of these. Runs jobs.
     """
     keys = list(keys)
     held, names = held.select(*map(quoted, keys)), [quoted(c) for c in rows.columns]
     count = held.count()
     if count < FILTER_FROM:
         return rows.join(held, keys, "left_semi").select(*names), rows.join(held, keys, "left_anti").select(*names)
+    may_hold = may_be_among(held, keys, count)
+    complete = reduce(Column.__and__, [F.col(quoted(key)).isNotNull() for key in keys])
+    let_through = rows.where(complete & may_hold)
+    missed = stage(let_through.select(*map(quoted, keys)).join(held, keys, "left_anti").distinct(), "keys-let-through")
+    mistaken = missed.count()
+    if mistaken < FILTER_FROM:
+        kept = let_through.join(missed, keys, "left_semi")
+    else:
+        kept = let_through.where(may_be_among(missed, keys, mistaken)).join(held, keys, "left_anti")
+    others = rows.where(~(complete & may_hold)).unionByName(kept.select(*names))
+    return let_through.join(held, keys, "left_semi").select(*names), others
+
+
+def fits_filter(count: int) -> bool:
+    """Whether a filter of so many keys is worth its making, and lets little through by mistake."""
+    return FILTER_FROM <= count <= MOST_WORDS * 64 // BITS_PER_KEY
+
+
+def may_be_among(held: DataFrame, keys: Sequence[str], count: int) -> Column:
+    """Whether a row may have one of the keys of ``held``, which has ``count`` rows: true for each that has, and
+    false for most that have not. A key may be there several times. Runs a job."""
     words = LEAST_WORDS
     while words < min(MOST_WORDS, count * BITS_PER_KEY // 64):
         words *= 2
-    may_hold = _may_hold(stage(_key_filter(held, words), "key-filter").scalar(), keys, words)
-    let_through = rows.where(may_hold)
-    others = rows.where(~may_hold).unionByName(let_through.join(held, keys, "left_anti").select(*names))
-    return let_through.join(held, keys, "left_semi").select(*names), others
+    return _may_hold(stage(_key_filter(held, words), "key-filter").scalar(), keys, words)
 
 
 def _cells(keys: Sequence[str], words: int) -> list[Column]:

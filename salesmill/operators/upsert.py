@@ -12,13 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .key_filter import divide_by_keys
+from . import key_filter
+from .key_filter import divide_by_keys, may_be_among
 from .rows import best_of_key, in_partitions
 
 
@@ -28,23 +28,17 @@ class AmbiguousSourceError(ValueError):
 
 @dataclass(frozen=True)
 class StagedSource:
-    """A source written out, with its distinct keys and which of them the target holds.
+    """A source written out, and which of its keys the target holds.
 
-    ``claims``: each non-null key of the source, once.
-    ``matched``: each claimed key the target holds, by ``location`` columns of the target
-    (its partitions, if any), and how many target rows carry it there.
+    ``taken``: each key that the target holds, once, and in how many rows (``copies``). Only these can
+    remove a row of it; for a source that mostly inserts they are few. A written table.
+    ``places``: the ``location`` columns (its partitions, if any) of target rows with such a key, once each.
     """
 
     keys: tuple[str, ...]
     rows: DataFrame
-    claims: DataFrame
-    matched: DataFrame
-
-    @cached_property
-    def taken(self) -> DataFrame:
-        """Each key that the target holds, once, and in how many rows. Only these can remove a
-        row of it; for a source that mostly inserts they are few."""
-        return stage(self.matched.groupBy(*self.keys).agg(F.sum("copies").alias("copies")), "upsert-taken")
+    taken: DataFrame
+    places: DataFrame | None = None
 
     def removed(self, target: DataFrame) -> DataFrame:
         """Rows of ``target`` that the source replaces."""
@@ -99,26 +93,37 @@ def stage_source(
         raise ValueError('on_duplicate="latest" needs order_by')
 
     rows = stage(_shape_like(target, source, order_by), "upsert-rows")
-    claims = stage(
-        rows.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("claims")),
-        "upsert-claims",
-    )
     if co_located:
         # As many values as the target has partitions, at most.
         target = target.where(in_partitions(rows.select(*co_located).distinct().collect(), co_located))
-    held_at = list(dict.fromkeys([*keys, *location]))
-    matched = stage(
-        target.select(*held_at)
-        .join(claims.select(*keys), keys, "left_semi")
-        .groupBy(*held_at)
-        .agg(F.count(F.lit(1)).alias("copies")),
-        "upsert-matched",
-    )
+    tally = stage(_tally(target, rows, keys), "upsert-tally")
     if on_duplicate == "error":
-        _refuse_ambiguous(claims, matched, keys)
+        _refuse_ambiguous(tally, keys)
+    else:
+        rows = _reduce_to_latest(rows, tally, keys, order_by)
+    taken, places = tally.where("copies > 0").select(*keys, "copies"), None
+    if location:
+        held = divide_by_keys(target.select(*dict.fromkeys([*keys, *location])), taken, keys)[0]
+        places = held.select(*location).distinct()
+    return StagedSource(tuple(keys), rows, taken, places)
+
+
+def _tally(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Each key of the source that the target holds too, or that several rows of the source have, once: ``claims`` rows
+    of the source, ``copies`` of the target. Both sides meet in one shuffle of their keys, summed in each task first; of
+    the target those that the source cannot have stay away."""
+    claims, held = rows.select(*keys).dropna(), target.select(*keys)
+    count = rows.count()
+    if count < key_filter.FILTER_FROM:
+        held = held.join(claims.distinct(), keys, "left_semi")
+    elif key_filter.fits_filter(count):
+        held = held.dropna().where(may_be_among(claims, keys, count))
     else:
-        rows = _reduce_to_latest(rows, claims, keys, order_by)
-    return StagedSource(tuple(keys), rows, claims.select(*keys), matched)
+        held = held.dropna()
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    met = claims.withColumns({"claims": one, "copies": none}).unionAll(held.withColumns({"claims": none, "copies": one}))
+    counted = met.groupBy(*keys).agg(F.sum("claims").alias("claims"), F.sum("copies").alias("copies"))
+    return counted.where("claims > 1 OR claims = 1 AND copies > 0")
 
 
 def upsert(
@@ -137,9 +142,8 @@ def upsert(
     return stage_source(target, source, keys, (), on_duplicate, order_by).merge_into(target)
 
 
-def _refuse_ambiguous(claims: DataFrame, matched: DataFrame, keys: list[str]) -> None:
-    several = claims.where("claims > 1").join(matched.select(*keys), keys, "left_semi")
-    examples = several.select(*keys).head(5)
+def _refuse_ambiguous(tally: DataFrame, keys: list[str]) -> None:
+    examples = tally.where("claims > 1 AND copies > 0").select(*keys).head(5)
     if examples:
         raise AmbiguousSourceError(
             f"several source rows for one target row, e.g. {[tuple(row) for row in examples]}"
@@ -147,13 +151,12 @@ def _refuse_ambiguous(claims: DataFrame, matched: DataFrame, keys: list[str]) ->
 
 
 def _reduce_to_latest(
-    rows: DataFrame, claims: DataFrame, keys: list[str], order_by: Sequence[str]
+    rows: DataFrame, tally: DataFrame, keys: list[str], order_by: Sequence[str]
 ) -> DataFrame:
     """One row per key; only rows of keys that occur several times are moved to choose."""
-    several = claims.where("claims > 1").select(*keys)
+    several = tally.where("claims > 1").select(*keys)
     if several.isEmpty():
         return rows
-    several = stage(several, "upsert-several")
     repeated, alone = divide_by_keys(rows, several, keys)
     return alone.unionByName(stage(best_of_key(repeated, keys, order_by), "upsert-latest"))
 

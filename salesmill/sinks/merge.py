@@ -194,7 +194,7 @@ def _merge_partitions(
     places = [quoted(c) for c in partition_by]
     known = staged.rows.join(staged.taken.select(*staged.keys), list(staged.keys), "left_semi")
     # One row per table partition at most, so this fits the driver as the catalog does.
-    hit = staged.matched.select(*places).union(known.select(*places)).distinct().collect()
+    hit = staged.places.select(*places).union(known.select(*places)).distinct().collect()
     in_hit = in_partitions(hit, partition_by)
     affected = target.where(in_hit)
     if on_change:

@@ -4,8 +4,11 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import salesmill as sm
 from salesmill.operators.key_filter import divide_by_keys
+from salesmill.operators.upsert import _tally, stage_source
 
 COLUMNS = "k1 string, k2 int, v string"
 
@@ -148,3 +151,19 @@ def test_upserts_by_a_filter_are_the_same(spark, filtered, monkeypatch):
     by_filter = sorted(map(str, sm.upsert(target, source, ["k"], "latest", ["n"]).collect()))
     monkeypatch.setattr("salesmill.operators.key_filter.FILTER_FROM", 10**9)
     assert by_filter == sorted(map(str, sm.upsert(target, source, ["k"], "latest", ["n"]).collect()))
+
+
+def test_keys_of_both_sides_meet_once(spark, filtered):
+    target = sm.stage(spark.range(3000).selectExpr("concat('k', id % 2500) AS k", "'old' AS v", "id % 7 AS part"), "target")
+    source = sm.stage(
+        spark.range(400).selectExpr("CASE WHEN id % 50 <> 0 THEN concat('k', 2300 + id % 300) END AS k", "'new' AS v", "id % 7 AS part"),
+        "source",
+    )
+    claims, held = source.select("k").dropna(), target.select("k")
+    tally = _tally(target, source, ["k"])
+    expected = claims.groupBy("k").count().join(held.groupBy("k").agg(F.count("*").alias("copies")), "k", "left").fillna(0)
+    expected = expected.where("`count` > 1 OR copies > 0")
+    assert sorted(tally.collect()) == sorted(expected.collect()) != []
+    assert "Join" not in tally._jdf.queryExecution().optimizedPlan().toString()
+    staged = stage_source(target, source, ["k"], ["part"], "latest", ["v"])
+    assert sorted(staged.places.collect()) == sorted(target.join(claims, "k", "left_semi").select("part").distinct().collect())
