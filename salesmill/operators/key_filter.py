@@ -42,6 +42,15 @@ def divide_by_keys(rows: DataFrame, held: DataFrame, keys: Sequence[str]) -> tup
     return let_through.join(held, keys, "left_semi").select(*names), others
 
 
+def rows_with_keys(rows: DataFrame, held: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The first of what ``divide_by_keys`` returns, without the work that tells the others."""
+    held, names = held.select(*map(quoted, keys)), [quoted(c) for c in rows.columns]
+    count = held.count()
+    if count >= FILTER_FROM:
+        rows = rows.where(may_be_among(held, keys, count))
+    return rows.join(held, list(keys), "left_semi").select(*names)
+
+
 def fits_filter(count: int) -> bool:
     """Whether a filter of so many keys is worth its making, and lets little through by mistake."""
     return FILTER_FROM <= count <= MOST_WORDS * 64 // BITS_PER_KEY

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage
 from . import key_filter
-from .key_filter import divide_by_keys, may_be_among
+from .key_filter import divide_by_keys, may_be_among, rows_with_keys
 from .rows import best_of_key, in_partitions
 
 
@@ -42,7 +42,7 @@ class StagedSource:
 
     def removed(self, target: DataFrame) -> DataFrame:
         """Rows of ``target`` that the source replaces."""
-        return divide_by_keys(target, self.taken, self.keys)[0]
+        return rows_with_keys(target, self.taken, self.keys)
 
     def merge_into(self, target: DataFrame) -> DataFrame:
         """``target`` with the source upserted; lazy.
@@ -103,7 +103,7 @@ def stage_source(
         rows = _reduce_to_latest(rows, tally, keys, order_by)
     taken, places = tally.where("copies > 0").select(*keys, "copies"), None
     if location:
-        held = divide_by_keys(target.select(*dict.fromkeys([*keys, *location])), taken, keys)[0]
+        held = rows_with_keys(target.select(*dict.fromkeys([*keys, *location])), taken, keys)
         places = held.select(*location).distinct()
     return StagedSource(tuple(keys), rows, taken, places)
 

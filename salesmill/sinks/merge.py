@@ -9,6 +9,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.key_filter import rows_with_keys
 from ..operators.rows import in_partitions, keep_latest
 from ..operators.upsert import StagedSource, stage_source
 from ..session import (
@@ -192,7 +193,8 @@ def _merge_partitions(
     on_change: Callable[[DataFrame, DataFrame], None] | None,
 ) -> None:
     places = [quoted(c) for c in partition_by]
-    known = staged.rows.join(staged.taken.select(*staged.keys), list(staged.keys), "left_semi")
+    placed = staged.rows.select(*dict.fromkeys([*map(quoted, staged.keys), *places]))
+    known = rows_with_keys(placed, staged.taken, staged.keys)
     # One row per table partition at most, so this fits the driver as the catalog does.
     hit = staged.places.select(*places).union(known.select(*places)).distinct().collect()
     in_hit = in_partitions(hit, partition_by)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import salesmill as sm
-from salesmill.operators.key_filter import divide_by_keys
+from salesmill.operators.key_filter import divide_by_keys, rows_with_keys
 from salesmill.operators.upsert import _tally, stage_source
 
 COLUMNS = "k1 string, k2 int, v string"
@@ -167,3 +167,25 @@ def test_keys_of_both_sides_meet_once(spark, filtered):
     assert "Join" not in tally._jdf.queryExecution().optimizedPlan().toString()
     staged = stage_source(target, source, ["k"], ["part"], "latest", ["v"])
     assert sorted(staged.places.collect()) == sorted(target.join(claims, "k", "left_semi").select("part").distinct().collect())
+
+
+def test_rows_with_keys_are_those_of_the_division(spark, filtered):
+    rows = spark.range(900).selectExpr("CASE WHEN id % 9 <> 0 THEN concat('k', id % 300) END AS `a key`", "id AS v")
+    held = sm.stage(rows.where("v % 7 = 0").select("`a key`").dropna().distinct(), "held")
+    found = rows_with_keys(rows, held, ["a key"])
+    assert sorted(found.collect()) == sorted(divide_by_keys(rows, held, ["a key"])[0].collect()) != []
+
+
+def test_a_merge_looks_for_partitions_among_rows_that_a_filter_lets_through(spark, filtered, layers, monkeypatch):
+    from salesmill.sinks import merge
+
+    asked = []
+    monkeypatch.setattr(merge, "rows_with_keys", lambda rows, *rest: asked.append(rows.columns) or rows_with_keys(rows, *rest))
+    table = f"{layers.silver}.by_part"
+    source = spark.range(80).selectExpr("concat('k', id) AS k", "'old' AS v", "cast(id % 4 AS int) AS part")
+    sm.merge_table(spark, source, table, ["k"], ["part"])
+    moved = spark.range(60, 100).selectExpr("concat('k', id) AS k", "'new' AS v", "cast(id % 3 AS int) AS part")
+    sm.merge_table(spark, moved, table, ["k"], ["part"])
+    stored = {(r.k, r.v, r.part) for r in spark.table(table).collect()}
+    assert asked == [["k", "part"]]
+    assert stored == {(f"k{i}", "old", i % 4) for i in range(60)} | {(f"k{i}", "new", i % 3) for i in range(60, 100)}
