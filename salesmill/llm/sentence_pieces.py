@@ -4,6 +4,7 @@ A text is marked (a mark for every space, one before the text) and cut into mark
 no piece of the vocabulary holds a mark after another character, so words encode alone.
 The distinct words of a batch are sorted, which lays out their trie, and walked depth
 first: forward states of a prefix are computed once and reused by all words that share it.
+The pieces that end at a character come from an automaton of the vocabulary (Aho-Corasick).
 
 A forward state is the last piece of the best path to a prefix. In a vocabulary of byte
 pairs the best path is the one its merges lead to; that path ends in piece ``p`` if, and
@@ -15,9 +16,13 @@ Characters outside the vocabulary become bytes.
 
 from __future__ import annotations
 
+import gc
+import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +37,7 @@ MARKED_WORD = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
 NEVER = float("inf")
 CACHED_CHARACTERS = 8_000_000
 CACHED_PAIRS = 1_000_000
+NO_PIECE = -1
 
 
 class SharedPrefixEncoder:
@@ -55,14 +61,10 @@ class SharedPrefixEncoder:
         if any(MARK in p.lstrip(MARK) or "\n" in p for p in self.ids):
             raise ValueError("the vocabulary has pieces that cross words")
         # Only what its own merges lead to can end a path.
-        reachable = [p for p in self.ids if len(p) == 1 or self.merge(p) == [p]]
-        self.lengths: dict[str, tuple[int, ...]] = {}
-        by_end: dict[str, set[int]] = {}
-        for p in reachable:
-            by_end.setdefault(p[-1], set()).add(len(p))
-        self.lengths = {end: tuple(sorted(n, reverse=True)) for end, n in by_end.items()}
-        self.reachable = set(reachable)
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.reachable = {p: i for p, i in self.ids.items() if len(p) == 1 or self.merge(p) == [p]}
+        self.sizes = list(map(len, self.pieces))
+        self.steps, self.falls, self.ends = self._automaton()
+        self.pairs: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
         self.held = 0
 
@@ -80,47 +82,84 @@ class SharedPrefixEncoder:
                 ranks[k] = rank.get(parts[k] + parts[k + 1], NEVER)
         return parts
 
+    def _automaton(self) -> tuple[list[dict[str, int]], list[int], list[tuple[tuple[int, int], ...]]]:
+        """The trie of the reachable pieces: for each node its steps by character, the node of its longest proper
+        suffix, and length and id of each piece that ends there, longest first."""
+        steps: list[dict[str, int]] = [{}]
+        ends: list[tuple[tuple[int, int], ...]] = [()]
+        for piece, number in self.reachable.items():
+            node = 0
+            for character in piece:
+                node = steps[node].setdefault(character, len(steps))
+                if node == len(steps):
+                    steps.append({})
+                    ends.append(())
+            ends[node] = ((len(piece), number),)
+        falls = [0] * len(steps)
+        row = list(steps[0].values())
+        while row:
+            for node in row:
+                ends[node] += ends[falls[node]]
+                for character, after in steps[node].items():
+                    falls[after] = self._step(steps, falls, falls[node], character)
+            row = [after for node in row for after in steps[node].values()]
+        return steps, falls, ends
+
+    @staticmethod
+    def _step(steps: list[dict[str, int]], falls: list[int], node: int, character: str) -> int:
+        after = steps[node].get(character)
+        while after is None and node:
+            node = falls[node]
+            after = steps[node].get(character)
+        return after or 0
+
     def _may_follow(self, last: str, piece: str) -> bool:
         return last + piece not in self.rank and self.merge(last + piece) == [last, piece]
 
-    def _last_piece(self, word: str, end: int, states: list[str]) -> str:
-        """The last piece of the best path to ``word[:end]``; ``states[k]`` is that of ``word[:k]``."""
-        character = word[end - 1]
-        reachable, pairs = self.reachable, self.pairs
-        for length in self.lengths.get(character, ()):
-            if length > end:
-                continue
-            piece = word[end - length:end]
-            if piece in reachable:
+    def _walk(self, word: str, states: list[int], nodes: list[int]) -> None:
+        """Add to ``states``, for each prefix of ``word`` that they do not reach yet, the last piece of the best path
+        to it, by its id, and to ``nodes`` where the automaton is; ``NO_PIECE`` for the start of the word and for a
+        character of no piece."""
+        steps, falls, ends, step = self.steps, self.falls, self.ends, self._step
+        pairs, vocabulary, node = self.pairs, len(self.pieces), nodes[-1]
+        for end in range(len(states), len(word) + 1):
+            character = word[end - 1]
+            node = steps[node].get(character) or step(steps, falls, node, character)
+            for length, piece in ends[node]:
                 last = states[end - length]
-                if last not in reachable:   # the start of the word, or a character of no piece
-                    return piece
-                follows = pairs.get((last, piece))
+                if last == NO_PIECE:
+                    break
+                pair = last * vocabulary + piece
+                follows = pairs.get(pair)
                 if follows is None:
-                    follows = pairs[last, piece] = self._may_follow(last, piece)
+                    follows = pairs[pair] = self._may_follow(self.pieces[last], self.pieces[piece])
                 if follows:
-                    return piece
-        return character
+                    break
+            else:
+                piece = self.reachable.get(character, NO_PIECE)
+            states.append(piece)
+            nodes.append(node)
 
     def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
         """Ids of distinct words, as little-endian 32-bit numbers."""
-        out = {}
-        previous, states = "", [""]
+        out, sizes = {}, self.sizes
+        previous, states, nodes = "", [NO_PIECE], [0]
         for word in sorted(words):
             shared, most = 0, min(len(previous), len(word))
             while shared < most and previous[shared] == word[shared]:
                 shared += 1
-            del states[shared + 1:]
-            for end in range(shared + 1, len(word) + 1):
-                states.append(self._last_piece(word, end, states))
+            del states[shared + 1:], nodes[shared + 1:]
+            self._walk(word, states, nodes)
             ids, at = [], len(word)
             while at:
                 piece = states[at]
-                known = self.ids.get(piece)
-                ids += [known] if known is not None else [
-                    self.byte_ids[b] for b in reversed(piece.encode("utf-8", "surrogatepass"))]
-                at -= len(piece)
-            out[word] = np.array(ids[::-1], "<u4").tobytes()
+                if piece == NO_PIECE:
+                    at -= 1
+                    ids += [self.byte_ids[b] for b in reversed(word[at].encode("utf-8", "surrogatepass"))]
+                else:
+                    ids.append(piece)
+                    at -= sizes[piece]
+            out[word] = array("I", ids[::-1]).tobytes()
             previous = word
         return out
 
@@ -144,6 +183,17 @@ class SharedPrefixEncoder:
         return raw.decode("utf-8", "replace").removeprefix(" ")
 
 
+@lru_cache(maxsize=1)
+def _encoder(model_file: str, size: int, changed: int) -> SharedPrefixEncoder:
+    return SharedPrefixEncoder(model_file)
+
+
+def encoder_of(model_file: str) -> SharedPrefixEncoder:
+    """The encoder of a file, made once in a worker process: its tasks share what it has learned, within its bounds."""
+    found = os.stat(model_file)
+    return _encoder(model_file, found.st_size, found.st_mtime_ns)
+
+
 def encode_pieces(docs: DataFrame, model_file: str) -> DataFrame:
     """Per row of ``docs(doc_id, text)``: ``doc_id, n_tokens, ids, ids_crc32, decoded_crc32,
     round_trip``.
@@ -155,7 +205,8 @@ def encode_pieces(docs: DataFrame, model_file: str) -> DataFrame:
     columns are not read.
     """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = SharedPrefixEncoder(model_file)
+        coder = encoder_of(model_file)
+        gc.disable()   # it would walk through millions of strings, again and again, and there are no cycles
         for batch in slices(batches, "text", 1 << 20):
             texts = texts_of(batch.column("text"))
             encoded = list(coder.encode(texts))
@@ -174,6 +225,7 @@ def encode_pieces(docs: DataFrame, model_file: str) -> DataFrame:
                 ],
                 ["doc_id", "n_tokens", "ids", "ids_crc32", "decoded_crc32", "round_trip"],
             )
+        gc.enable()
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
         run,

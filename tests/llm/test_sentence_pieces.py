@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from sentencepiece import SentencePieceProcessor
 
 from salesmill.llm.queries import op9_sentencepiece
-from salesmill.llm.sentence_pieces import MARK, SharedPrefixEncoder, encode_pieces
+from salesmill.llm.sentence_pieces import MARK, SharedPrefixEncoder, encode_pieces, encoder_of
 
 from .conftest import SMALL, by_id, texts
 
@@ -57,3 +57,18 @@ def test_odd_documents(odd_docs, library):
 
 def test_no_documents(no_docs):
     assert encode_pieces(no_docs, FILE).count() == 0
+
+
+def test_ends_of_a_prefix_are_all_pieces_that_end_there(coder):
+    word, node = "▁thenable日", 0
+    for end, character in enumerate(word, 1):
+        node = coder._step(coder.steps, coder.falls, node, character)
+        want = [word[at:end] for at in range(end) if word[at:end] in coder.reachable]
+        assert [(len(p), coder.reachable[p]) for p in want] == list(coder.ends[node])
+
+
+def test_tasks_of_a_worker_share_one_encoder(tmp_path):
+    assert encoder_of(FILE) is encoder_of(FILE)
+    other = tmp_path / "piece.model"
+    other.write_bytes(open(FILE, "rb").read())
+    assert encoder_of(str(other)) is not encoder_of(FILE)
