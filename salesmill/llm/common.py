@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_folder, stage
@@ -27,7 +28,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 4 <
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        lengths = batch.column(column).to_pandas().str.len().fillna(0).to_numpy()
+        lengths = pc.utf8_length(batch.column(column)).fill_null(0).to_pylist()
         start, held = 0, 0
         for row, length in enumerate(lengths):
             if held and held + length > most_bytes:

@@ -40,7 +40,7 @@ CACHE_BYTES = 96 << 20
 ENTRY_BYTES = 190
 PIECES_AT_ONCE = 50_000
 WORDS_AT_ONCE = 100_000
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 10 << 20
 RANGE_BYTES = 96 << 20   # of text for a task: fewer, longer ranges repeat fewer pieces
 
 
@@ -141,16 +141,20 @@ class PieceCache:
         # The first word of a text has no space before it.
         bounds = cut.offsets.to_numpy().astype(np.int64) - cut.offsets[0].as_py()
         words = cut.flatten().dictionary_encode()
+        del cut
         first = words.take(pa.array(bounds[:-1])).cast(pa.string()).to_pylist()
         firsts = list(dict.fromkeys(first))
         place = {w: k for k, w in enumerate(firsts)}
-        known = pa.array(self._ids_of(firsts + pc.binary_join_element_wise("", words.dictionary, " ").to_pylist()), pa.large_binary())
-        at = words.indices.to_numpy().astype(np.int64) + len(firsts)
-        at[bounds[:-1]] = np.fromiter(map(place.__getitem__, first), np.int64, len(first))
+        at = words.indices.to_numpy() + np.int32(len(firsts))
+        at[bounds[:-1]] = np.fromiter(map(place.__getitem__, first), np.int32, len(first))
+        distinct = pc.binary_join_element_wise("", words.dictionary, " ")
+        del words, first, place
+        known = pa.array(self._ids_of(firsts + distinct.to_pylist()), pa.large_binary())
+        del distinct, firsts
         laid = known.take(pa.array(at))
+        del known, at
         ends = np.frombuffer(laid.buffers()[1], np.int64)[laid.offset:laid.offset + len(laid) + 1][bounds].tolist()
         data = memoryview(laid.buffers()[2] or b"")
-        del cut, words, known, at
         for k, is_whole in enumerate(whole.to_pylist()):
             yield self._encode([texts[k].as_py()])[0] if is_whole else bytes(data[ends[k]:ends[k + 1]])
 

@@ -1,5 +1,6 @@
 """Simple-8b words and token files: exact round trips."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -11,6 +12,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from salesmill.llm import simple8b, token_files
+from salesmill.llm.common import slices
 from salesmill.llm.queries import op3_token_files
 from salesmill.llm.token_files import PieceCache, file_bytes, parse_file, read_token_files, token_digest, write_token_files
 
@@ -142,3 +144,15 @@ def test_ids_come_back(spark, odd_docs, tmp_path):
 
 def test_no_documents(no_docs):
     assert token_digest(no_docs, FILE).count() == 0
+
+
+def test_slices_are_cut_without_a_copy_of_the_texts():
+    rows = [None, "é" * 300, "", "a" * 200, "日" * 400, "b" * 2000, None, "c"] + ["x" * 40_000] * 200
+    batch = pa.record_batch([pa.array(rows)], ["text"])
+    tracemalloc.start()
+    cut = list(slices([batch], "text", 500))
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 1 << 20
+    assert [part.num_rows for part in cut] == [4, 1, 1, 2] + [1] * 200
+    assert pa.Table.from_batches(cut).column("text").to_pylist() == rows
