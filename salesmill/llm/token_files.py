@@ -15,11 +15,12 @@ from __future__ import annotations
 
 import gc
 import json
+import os
 import re
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +37,9 @@ from .common import scratch_folder, slices, stage
 MAGIC = b"S8TOKENS"
 END_ID = 2
 IDS_IN_FILE = 1_000_000
-CACHE_BYTES = 96 << 20
-ENTRY_BYTES = 190
-PIECES_AT_ONCE = 50_000
-WORDS_AT_ONCE = 100_000
+CACHE_BYTES = 64 << 20
+PIECES_AT_ONCE = 5_000   # a text of that many lines still fits the processor's caches
+WORDS_AT_ONCE = 500_000
 BATCH_BYTES = 10 << 20
 RANGE_BYTES = 96 << 20   # of text for a task: fewer, longer ranges repeat fewer pieces
 
@@ -48,22 +48,25 @@ class PieceCache:
     """Ids of texts from a ``tokenizers`` tokenizer, each distinct piece encoded once while it is known.
 
     A byte-level pre-tokenizer never joins a space to a visible character before it, so texts are cut
-    before such spaces, in Arrow; only the distinct words of a batch are looked up and their ids laid out again in the
+    before such spaces; only the distinct words of a batch are looked up and their ids laid out again in the
     order of the texts. Words of Latin letters are cut on at changes between letters,
     digits, signs and white space, as the pre-tokenizer does. Texts with other spaces or with one of the
     tokenizer's added tokens are encoded whole, and tokenizers of another kind encode whole texts only.
+    All of that is done in Arrow: no word or piece is a Python object.
 
-    What is known is kept in two generations of at most ``CACHE_BYTES`` together: pieces met again move to the
+    What is known is kept in two generations of about ``CACHE_BYTES`` together: words and pieces met again move to the
     young one, and when that is full the old one is forgotten. That bounds memory and changes no result.
     """
 
-    LATIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*")
-    # The cuts of byte-level pre-tokenizers, for the characters of LATIN.
-    CUTS = re.compile(
-        r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-z0-9À-ÖØ-öø-ÿ]+|\s+(?!\S)|\s+"
-    )
+    LATIN = r"\A[\t\n\r -~À-ÖØ-öø-ÿ]*\z"
+    # Between words' pieces; no Latin word has it.
+    CUT = "\0"
+    # The cuts of byte-level pre-tokenizers, for the characters of LATIN: of white space before something
+    # visible the last character is a piece of its own.
+    LAST_SPACE = r"(\s)(\s\S)"
+    PIECE = r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-z0-9À-ÖØ-öø-ÿ\x00]+|\s+"
     # Pieces that stay pieces in a line of their own: no contraction begins without its mark.
-    LINE = re.compile(r" ?(?:[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]+)")
+    LINE = r"\A ?(?:[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]+)\z"
     # A space after other white space (of any kind) may belong to it.
     LOOSE_SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}] "
 
@@ -77,8 +80,8 @@ class PieceCache:
         added = [t["content"] for t in kind.get("added_tokens") or []]
         self.whole = "|".join([self.LOOSE_SPACE, *map(re.escape, added)])
         self.most = cache_bytes // 2
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        # Texts, all different, and the ids of each.
+        self.young = self.old = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
         self.held = 0
         line = tokenizer.encode("\n", add_special_tokens=False).ids
         self.line = line[0] if len(line) == 1 else None
@@ -87,48 +90,83 @@ class PieceCache:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
 
-    def _encode_new(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+    def _encode_each(self, pieces: pa.Array) -> pa.Array:
+        return pa.array(self._encode(pieces.to_pylist()), pa.large_binary())
+
+    def _encode_lines(self, pieces: pa.Array) -> pa.Array:
         """Words and numbers are encoded as lines of one text: a call for each costs more than its ids."""
-        lines = [] if self.line is None else list(filter(self.LINE.fullmatch, pieces))
-        others = list(set(pieces).difference(lines))
-        for at in range(0, len(others), PIECES_AT_ONCE):
-            some = others[at:at + PIECES_AT_ONCE]
-            yield from zip(some, self._encode(some))
-        for at in range(0, len(lines), PIECES_AT_ONCE):
-            some = lines[at:at + PIECES_AT_ONCE]
-            ids = np.frombuffer(self._encode(["\n".join(some)])[0], "<u4")
-            ends = np.flatnonzero(ids == self.line)
-            starts, raw = [0, *(4 * ends + 4).tolist()], ids.tobytes()
-            ends = [*(4 * ends).tolist(), len(raw)]
-            yield from zip(some, map(raw.__getitem__, map(slice, starts, ends)))
-
-    def _know(self, pieces: set[str]) -> None:
-        """Have the ids of all these pieces in the young generation."""
-        found = {p: self.old[p] for p in pieces.intersection(self.old)}
-        found.update(self._encode_new(list(pieces.difference(found))))
-        # About what two small objects and a place in a dictionary take.
-        self.held += ENTRY_BYTES * len(found) + 2 * sum(map(len, found)) + sum(map(len, found.values()))
-        self.young.update(found)
-
-    def _ids_of(self, words: list[str]) -> list[bytes]:
-        """Ids of distinct words, some at a time."""
-        out = []
-        for at in range(0, len(words), WORDS_AT_ONCE):
-            if self.held > self.most:
-                self.young, self.old, self.held = {}, self.young, 0
-            some = words[at:at + WORDS_AT_ONCE]
-            ids = list(map(self.young.get, some))
-            unknown = [k for k, x in enumerate(ids) if x is None]
-            single = [k for k in unknown if self.LINE.fullmatch(some[k])]
-            others = list(set(unknown).difference(single))
-            cut = [self.CUTS.findall(w) if self.LATIN.fullmatch(w) else [w] for w in map(some.__getitem__, others)]
-            self._know(set(map(some.__getitem__, single)).union(chain.from_iterable(cut)).difference(self.young))
-            for k in single:
-                ids[k] = self.young[some[k]]
-            for k, pieces in zip(others, cut):
-                ids[k] = b"".join(map(self.young.__getitem__, pieces))
-            out += ids
-        return out
+        rows = pa.ListArray.from_arrays(pa.array([0, len(pieces)], pa.int32()), pieces)
+        text = pc.binary_join(rows, pa.scalar("\n", pieces.type))[0].as_py()
+        ids = np.frombuffer(self._encode([text])[0], "<u4")
+        ends = np.flatnonzero(ids == self.line)
+        if len(ends) != len(pieces) - 1:
+            return self._encode_each(pieces)
+        laid = ids[ids != self.line]
+        bounds = 4 * np.concatenate(([0], ends - np.arange(len(ends)), [len(laid)])).astype(np.int64)
+        return _binaries(bounds, pa.py_buffer(laid.tobytes()))
+
+    def _add(self, texts: pa.Array, ids: pa.Array) -> np.ndarray:
+        """The places that these texts get in the young generation."""
+        known = len(self.young[0])
+        self.young = tuple(pa.concat_arrays(pair) for pair in zip(self.young, (texts, ids)))
+        self.held = sum(part.nbytes for part in self.young)
+        return np.arange(known, known + len(texts))
+
+    def _known(self, texts: pa.Array) -> np.ndarray:
+        """The places of these different texts in the young generation; -1 where they are not known."""
+        at = _places(texts, self.young[0])
+        missing = np.flatnonzero(at < 0)
+        back = _places(texts.take(pa.array(missing)), self.old[0])
+        found = missing[back >= 0]
+        at[found] = self._add(texts.take(pa.array(found)), self.old[1].take(pa.array(back[back >= 0])))
+        return at
+
+    def _learn(self, pieces: pa.Array) -> np.ndarray:
+        """The places of these different pieces, which are encoded where they are not known."""
+        at = self._known(pieces)
+        new = np.flatnonzero(at < 0)
+        some = pieces.take(pa.array(new))
+        is_line = _mask(pc.match_substring_regex(some, self.LINE)) & (self.line is not None)
+        order, texts, ids = [], [], []
+        for chosen, encode in ((is_line, self._encode_lines), (~is_line, self._encode_each)):
+            rows = np.flatnonzero(chosen)
+            for start in range(0, len(rows), PIECES_AT_ONCE):
+                order.append(rows[start:start + PIECES_AT_ONCE])
+                texts.append(some.take(pa.array(order[-1])))
+                ids.append(encode(texts[-1]))
+        if order:
+            at[new[np.concatenate(order)]] = self._add(pa.concat_arrays(texts), pa.concat_arrays(ids))
+        return at
+
+    def _cut(self, words: pa.Array, latin: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Pieces of words, Latin ones first; the words in that order, and where the pieces of each begin and end."""
+        order = np.concatenate((np.flatnonzero(latin), np.flatnonzero(~latin)))
+        spaced = pc.replace_substring_regex(words.filter(pa.array(latin)), self.LAST_SPACE, rf"\1{self.CUT}\2")
+        # An empty piece, which has no ids, is after the last one.
+        cut = pc.split_pattern(pc.replace_substring_regex(spaced, self.PIECE, rf"\0{self.CUT}"), self.CUT)
+        ends = cut.offsets.to_numpy().astype(np.int64)
+        pieces = pa.concat_arrays([cut.flatten(), words.filter(pa.array(~latin))])
+        return pieces, order, np.concatenate((ends, ends[-1] + 1 + np.arange(len(words) - len(ends) + 1)))
+
+    def _ids_of(self, words: pa.Array) -> pa.Array:
+        """Ids of different words."""
+        at = self._known(words)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            some = words.take(pa.array(new))
+            pieces, order, bounds = self._cut(some, _mask(pc.match_substring_regex(some, self.LATIN)))
+            new, some = new[order], some.take(pa.array(order))
+            pieces = pieces.dictionary_encode()
+            place = self._learn(pieces.dictionary)[pieces.indices.to_numpy()]
+            laid = self.young[1].take(pa.array(place))
+            joined = _binaries(_ends(laid)[bounds], laid.buffers()[2])
+            first = pieces.dictionary.take(pieces.indices.take(pa.array(bounds[:-1])))
+            alone = pc.equal(first, some)
+            is_alone = _mask(alone)
+            at[new[is_alone]] = place[bounds[:-1]][is_alone]
+            several = pc.invert(alone)
+            at[new[~is_alone]] = self._add(some.filter(several), joined.filter(several))
+        return self.young[1].take(pa.array(at))
 
     def __call__(self, texts: list[str] | pa.Array) -> Iterator[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit numbers."""
@@ -142,23 +180,67 @@ class PieceCache:
         bounds = cut.offsets.to_numpy().astype(np.int64) - cut.offsets[0].as_py()
         words = cut.flatten().dictionary_encode()
         del cut
-        first = words.take(pa.array(bounds[:-1])).cast(pa.string()).to_pylist()
-        firsts = list(dict.fromkeys(first))
-        place = {w: k for k, w in enumerate(firsts)}
-        at = words.indices.to_numpy() + np.int32(len(firsts))
-        at[bounds[:-1]] = np.fromiter(map(place.__getitem__, first), np.int32, len(first))
-        distinct = pc.binary_join_element_wise("", words.dictionary, " ")
-        del words, first, place
-        known = pa.array(self._ids_of(firsts + distinct.to_pylist()), pa.large_binary())
-        del distinct, firsts
-        laid = known.take(pa.array(at))
-        del known, at
-        ends = np.frombuffer(laid.buffers()[1], np.int64)[laid.offset:laid.offset + len(laid) + 1][bounds].tolist()
+        at = words.indices.to_numpy()
+        firsts, first = np.unique(at[bounds[:-1]], return_inverse=True)
+        at = at + np.int32(len(firsts))
+        at[bounds[:-1]] = first
+        known = words.dictionary.cast(pa.large_string())
+        del words
+        nothing, space = (pa.scalar(x, known.type) for x in ("", " "))
+        distinct = pa.concat_arrays([known.take(pa.array(firsts)), pc.binary_join_element_wise(nothing, known, space)])
+        del known
+        ids = []
+        for start in range(0, len(distinct), WORDS_AT_ONCE):
+            if self.held > self.most:
+                self.young, self.old = tuple(part[:0] for part in self.young), self.young
+                self.held = 0
+            ids.append(self._ids_of(distinct.slice(start, WORDS_AT_ONCE)))
+        if not ids:
+            return
+        del distinct
+        laid = pa.concat_arrays(ids).take(pa.array(at))
+        del ids, at
+        ends = _ends(laid)[bounds].tolist()
         data = memoryview(laid.buffers()[2] or b"")
         for k, is_whole in enumerate(whole.to_pylist()):
             yield self._encode([texts[k].as_py()])[0] if is_whole else bytes(data[ends[k]:ends[k + 1]])
 
 
+def _mask(flags: pa.Array) -> np.ndarray:
+    return flags.to_numpy(zero_copy_only=False).astype(bool)
+
+
+def _places(texts: pa.Array, among: pa.Array) -> np.ndarray:
+    """Where each of different texts is among others, -1 if it is not: the hash table is of the former, mostly the fewer."""
+    at = np.full(len(texts), -1)
+    found = pc.index_in(among, value_set=texts)
+    at[found.drop_null().to_numpy()] = np.flatnonzero(_mask(found.is_valid()))
+    return at
+
+
+def _ends(values: pa.Array) -> np.ndarray:
+    """Where large binaries begin and end in their buffer."""
+    return np.frombuffer(values.buffers()[1], np.int64)[values.offset:values.offset + len(values) + 1]
+
+
+def _binaries(bounds: np.ndarray, data: pa.Buffer | None) -> pa.Array:
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.tobytes()), data])
+
+
+@lru_cache(maxsize=1)
+def _cache(tokenizer_file: str, size: int, changed: int) -> PieceCache:
+    from tokenizers import Tokenizer
+
+    return PieceCache(Tokenizer.from_file(tokenizer_file))
+
+
+def cache_of(tokenizer_file: str) -> PieceCache:
+    """The pieces of a file's tokenizer, made once in a worker process: its tasks share what is known, within its
+    bounds. A tokenizer for each task would leave some MB behind every time."""
+    found = os.stat(tokenizer_file)
+    return _cache(tokenizer_file, found.st_size, found.st_mtime_ns)
+
+
 def qualified(spark: SparkSession, folder: str) -> str:
     """The folder with its file system, as Spark resolves it, in the form that ``pyarrow.fs`` reads."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
@@ -210,9 +292,7 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, folder: str, end_id:
     place = qualified(docs.sparkSession, folder)
 
     def encode_range(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        encode = PieceCache(Tokenizer.from_file(tokenizer_file))
+        encode = cache_of(tokenizer_file)
         store, root = pa.fs.FileSystem.from_uri(place)
         store.create_dir(root, recursive=True)
         task = TaskContext.get()

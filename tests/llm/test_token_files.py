@@ -82,6 +82,45 @@ def test_small_caches_and_long_texts(monkeypatch, small, cache_bytes):
     assert cache.held <= cache_bytes + 200_000
 
 
+@pytest.mark.parametrize("line", [True, False])
+def test_words_are_cut_as_the_pre_tokenizer_does(line):
+    """Runs of white space, the mark that cuts are made with, quotes, digits, other letters; with and without lines."""
+    coder = tokenizer()
+    cache = PieceCache(coder)
+    cache.line = cache.line if line else None
+    given = [
+        "one.\n\n\nTwo\n\nthree \t\n", " \nbar \n\nbar", "a\0b \0 c\0\0", "'s's 'tis they've..'s 'll", "x1y22 3z*** é4", "日本 日本語, b日",
+        "\n", "\r\n\r\nx\r\n", "", " ", "ª º × ÷", "word word, Word.\nWord", "a\x7fb ÿ", "one.\n\n\nTwo",
+    ]
+    for _ in range(2):
+        for text, ids in zip(given, cache(given)):
+            assert np.frombuffer(ids, "<u4").tolist() == coder.encode(text, add_special_tokens=False).ids
+    assert len(set(cache.young[0].to_pylist())) == len(cache.young[0])
+
+
+def test_distinct_words_are_no_python_objects():
+    """Words met once are most of what is encoded: a handful of objects for each took more time than their ids."""
+    batch = pa.array([" ".join(f"w{'abcdefghij'[k % 10]}{k}x" for k in range(at, at + 1000)) for at in range(0, 40_000, 1000)])
+    cache = PieceCache(tokenizer())
+    tracemalloc.start()
+    for _ in cache(batch):
+        pass
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 200 * 40_000   # mostly numpy's; 700 with objects
+    assert len(cache.young[0]) >= 40_000 and cache.held < 100 * len(cache.young[0])
+
+
+def test_tasks_of_a_worker_share_the_pieces(tmp_path):
+    """A tokenizer for each task left 4 MB behind every time."""
+    copy = tmp_path / "tokenizer.json"
+    copy.write_bytes(open(FILE, "rb").read())
+    cache = token_files.cache_of(str(copy))
+    assert token_files.cache_of(str(copy)) is cache
+    copy.write_text(copy.read_text() + " ")
+    assert token_files.cache_of(str(copy)) is not cache
+
+
 def test_special_tokens_are_the_library_s(spark):
     rows = [(1, "<|endoftext|>"), (2, "x <|endoftext|> y"), (3, "<|endoftext"), (4, "é<|endoftext|>日本")]
     got = token_digest(spark.createDataFrame(rows, "doc_id bigint, text string"), FILE)
