@@ -15,6 +15,7 @@ FILTER_FROM = 100_000
 BITS_PER_KEY, HASHES = 10, 3
 # Words of 64 bits. A filter is 16 MB at most; beyond that it lets more through, which costs work and changes no result.
 LEAST_WORDS, MOST_WORDS = 1 << 10, 1 << 21
+BITS = "__key_bits"
 
 
 def divide_by_keys(rows: DataFrame, held: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -29,17 +30,14 @@ def divide_by_keys(rows: DataFrame, held: DataFrame, keys: Sequence[str]) -> tup
     count = held.count()
     if count < FILTER_FROM:
         return rows.join(held, keys, "left_semi").select(*names), rows.join(held, keys, "left_anti").select(*names)
-    may_hold = may_be_among(held, keys, count)
-    complete = reduce(Column.__and__, [F.col(quoted(key)).isNotNull() for key in keys])
-    let_through = rows.where(complete & may_hold)
+    let_through, stopped = divide_by_filter(rows, held, keys, count)
     missed = stage(let_through.select(*map(quoted, keys)).join(held, keys, "left_anti").distinct(), "keys-let-through")
     mistaken = missed.count()
     if mistaken < FILTER_FROM:
         kept = let_through.join(missed, keys, "left_semi")
     else:
-        kept = let_through.where(may_be_among(missed, keys, mistaken)).join(held, keys, "left_anti")
-    others = rows.where(~(complete & may_hold)).unionByName(kept.select(*names))
-    return let_through.join(held, keys, "left_semi").select(*names), others
+        kept = divide_by_filter(let_through, missed, keys, mistaken)[0].join(held, keys, "left_anti")
+    return let_through.join(held, keys, "left_semi").select(*names), stopped.unionByName(kept.select(*names))
 
 
 def rows_with_keys(rows: DataFrame, held: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -47,7 +45,7 @@ def rows_with_keys(rows: DataFrame, held: DataFrame, keys: Sequence[str]) -> Dat
     held, names = held.select(*map(quoted, keys)), [quoted(c) for c in rows.columns]
     count = held.count()
     if count >= FILTER_FROM:
-        rows = rows.where(may_be_among(held, keys, count))
+        rows = divide_by_filter(rows, held, keys, count)[0]
     return rows.join(held, list(keys), "left_semi").select(*names)
 
 
@@ -56,13 +54,21 @@ def fits_filter(count: int) -> bool:
     return FILTER_FROM <= count <= MOST_WORDS * 64 // BITS_PER_KEY
 
 
-def may_be_among(held: DataFrame, keys: Sequence[str], count: int) -> Column:
-    """Whether a row may have one of the keys of ``held``, which has ``count`` rows: true for each that has, and
-    false for most that have not. A key may be there several times. Runs a job."""
+def divide_by_filter(rows: DataFrame, held: DataFrame, keys: Sequence[str], count: int) -> tuple[DataFrame, DataFrame]:
+    """``rows`` that may have one of the keys of ``held``, which has ``count`` rows, and those that surely have none: all that
+    have one are among the first, and few others. A null key is among none; a key may be there several times. Runs a job.
+
+    The filter is a table of one row that is broadcast. As a value within a plan it would be held by the driver once for each
+    place it stands in, and sent anew with each stage.
+    """
     words = LEAST_WORDS
     while words < min(MOST_WORDS, count * BITS_PER_KEY // 64):
         words *= 2
-    return _may_hold(stage(_key_filter(held, words), "key-filter").scalar(), keys, words)
+    bits = F.broadcast(stage(_key_filter(held.select(*map(quoted, keys)), words), "key-filter"))
+    complete = reduce(Column.__and__, [F.col(quoted(key)).isNotNull() for key in keys])
+    may_hold = complete & _may_hold(F.col(BITS), keys, words)
+    # Semi-joins, as an inner one might copy the filter to each row.
+    return rows.join(bits, may_hold, "left_semi"), rows.join(bits, ~may_hold, "left_semi")
 
 
 def _cells(keys: Sequence[str], words: int) -> list[Column]:
@@ -70,14 +76,14 @@ def _cells(keys: Sequence[str], words: int) -> list[Column]:
 
 
 def _key_filter(held: DataFrame, words: int) -> DataFrame:
-    """One row, ``bits``."""
+    """One row, ``BITS``."""
     at = F.explode(F.array(*_cells(held.columns, words))).alias("at")
     set_bits = held.select(at).groupBy(F.shiftright("at", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("b")
     )
     all_words = held.sparkSession.range(words).select(F.col("id").alias("word"))
     dense = all_words.join(set_bits, "word", "left").select("word", F.coalesce("b", F.lit(0).cast("bigint")).alias("b"))
-    return dense.agg(F.transform(F.sort_array(F.collect_list(F.struct("word", "b"))), lambda x: x["b"]).alias("bits"))
+    return dense.agg(F.transform(F.sort_array(F.collect_list(F.struct("word", "b"))), lambda x: x["b"]).alias(BITS))
 
 
 def _may_hold(bits: Column, keys: Sequence[str], words: int) -> Column:

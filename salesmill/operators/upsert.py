@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage
 from . import key_filter
-from .key_filter import divide_by_keys, may_be_among, rows_with_keys
+from .key_filter import divide_by_filter, divide_by_keys, rows_with_keys
 from .rows import best_of_key, in_partitions
 
 
@@ -117,7 +117,7 @@ def _tally(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     if count < key_filter.FILTER_FROM:
         held = held.join(claims.distinct(), keys, "left_semi")
     elif key_filter.fits_filter(count):
-        held = held.dropna().where(may_be_among(claims, keys, count))
+        held = stage(divide_by_filter(held, claims, keys, count)[0], "keys-claimed")
     else:
         held = held.dropna()
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
@@ -153,11 +153,13 @@ def _refuse_ambiguous(tally: DataFrame, keys: list[str]) -> None:
 def _reduce_to_latest(
     rows: DataFrame, tally: DataFrame, keys: list[str], order_by: Sequence[str]
 ) -> DataFrame:
-    """One row per key; only rows of keys that occur several times are moved to choose."""
+    """One row per key; only rows that may have a key that occurs several times are moved to choose. Those that a filter
+    lets through by mistake are the only ones of their key."""
     several = tally.where("claims > 1").select(*keys)
-    if several.isEmpty():
+    count = several.count()
+    if not count:
         return rows
-    repeated, alone = divide_by_keys(rows, several, keys)
+    repeated, alone = divide_by_filter(rows, several, keys, count)
     return alone.unionByName(stage(best_of_key(repeated, keys, order_by), "upsert-latest"))
 
 

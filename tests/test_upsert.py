@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import salesmill as sm
-from salesmill.operators.key_filter import divide_by_keys, rows_with_keys
+from salesmill.operators.key_filter import divide_by_filter, divide_by_keys, rows_with_keys
 from salesmill.operators.upsert import _tally, stage_source
 
 COLUMNS = "k1 string, k2 int, v string"
@@ -189,3 +189,17 @@ def test_a_merge_looks_for_partitions_among_rows_that_a_filter_lets_through(spar
     stored = {(r.k, r.v, r.part) for r in spark.table(table).collect()}
     assert asked == [["k", "part"]]
     assert stored == {(f"k{i}", "old", i % 4) for i in range(60)} | {(f"k{i}", "new", i % 3) for i in range(60, 100)}
+
+
+def test_a_filter_of_keys_is_no_value_within_a_plan(spark, filtered):
+    rows = spark.range(900).selectExpr("CASE WHEN id % 9 <> 0 THEN concat('k', id % 300) END AS `a key`", "id AS v")
+    held = sm.stage(rows.where("v % 7 = 0").select("`a key`").dropna(), "held")
+    among, others = divide_by_filter(rows, held, ["a key"], held.count())
+    assert among.columns == others.columns == rows.columns
+    assert among.intersectAll(others).isEmpty() and among.count() + others.count() == 900
+    assert others.join(held, "a key", "left_semi").isEmpty() and not others.where("`a key` IS NULL").isEmpty()
+    target = sm.stage(rows, "target")
+    merged = sm.upsert(target, target.where("v > 500"), ["a key"], "latest", ["v"])
+    for df in (among, others, merged):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "subquery" not in plan.lower() and "BroadcastNestedLoopJoin" in plan
