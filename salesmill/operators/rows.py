@@ -9,7 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from ..session import quoted
+from ..session import quoted, stage
+from . import key_filter
 
 
 def distinct_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -27,17 +28,22 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     """Whole rows, once each, for wide tables of mostly distinct rows.
 
     Fingerprints are shuffled in place of rows; a row whose fingerprint no other has is distinct
-    and stays where it is. The others are compared whole, so fingerprints that only happen to be equal
-    lose no row. Fingerprints that repeat are joined back by broadcast if Spark measures them as small. ``df`` is
+    and stays where it is. Only rows that a filter of the fingerprints that repeat lets through are shuffled and compared
+    whole, so fingerprints that only happen to be equal lose no row. Runs a job; ``df`` is
     read three times: it should be a stored table.
     """
-    a, b = row_fingerprint([F.col(quoted(c)) for c in df.columns])
-    marked = df.withColumns({"__a": a, "__b": b})
-    repeated = marked.groupBy("__a", "__b").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    alone, several = (
-        marked.join(repeated, ["__a", "__b"], how).select(*map(quoted, df.columns)) for how in ("left_anti", "left_semi")
-    )
-    return alone.unionByName(several.distinct())
+    names = [quoted(c) for c in df.columns]
+    # As in distinct(), zero has no sign.
+    fractions = {f.name: F.col(quoted(f.name)) + F.lit(0).cast(f.dataType) for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
+    df = df.withColumns(fractions) if fractions else df
+    marked = df.withColumn("__print", row_fingerprint([F.col(c) for c in names])[0])
+    counted = marked.groupBy("__print").agg(F.count(F.lit(1)).alias("n"))
+    repeated = stage(counted.where("n > 1").select("__print"), "rows-repeated")
+    count = repeated.count()
+    if not count:
+        return df
+    several, alone = key_filter.divide_by_filter(marked, repeated, ["__print"], count)
+    return alone.select(*names).unionByName(several.select(*names).distinct())
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], count_as: str = "copies") -> DataFrame:
@@ -58,11 +64,31 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) ->
     """One row per key: the one with the greatest ``order_by`` values, null being least.
 
     Remaining columns break ties, so the same row wins on every run. This is a maximum
-    and no window: each task keeps one row per key before the shuffle, also where a join
-    below has left the rows partitioned already, so a key holding a third of all rows
-    costs one row per task. Rows with a null in the key match nothing and are all kept:
-    each has a number of its own in place of a key, so the input is read once.
+    and no window: each task keeps one row per key before the shuffle, so a key holding a third of all rows
+    costs one row per task. Rows with a null in the key match nothing and are all kept.
+
+    Runs jobs: ``df`` is computed once and written to the scratch folder. Of many rows, fingerprints of the keys tell which
+    repeat, and only rows that a filter of these lets through are shuffled; a key without another row has its latest
+    row already.
     """
+    rows = stage(df, "latest-rows")
+    if rows.count() < key_filter.FILTER_FROM:
+        return _latest_of_all(rows, keys, order_by)
+    key = [F.col(quoted(key)) for key in keys]
+    complete = reduce(Column.__and__, [k.isNotNull() for k in key])
+    marked = rows.withColumn("__print", F.when(complete, row_fingerprint(key)[0]))
+    counted = marked.where("__print IS NOT NULL").groupBy("__print").agg(F.count(F.lit(1)).alias("n"))
+    repeated = stage(counted.where("n > 1").select("__print"), "keys-repeated")
+    count = repeated.count()
+    if not count:
+        return rows
+    several, alone = key_filter.divide_by_filter(marked, repeated, ["__print"], count)
+    names = [quoted(c) for c in rows.columns]
+    return alone.select(*names).unionByName(_latest_of_all(several.select(*names), keys, order_by))
+
+
+def _latest_of_all(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """Each row with a null in the key has a number of its own in place of a key, so the input is read once."""
     complete = reduce(Column.__and__, [F.col(quoted(key)).isNotNull() for key in keys])
     alone = F.when(~complete, F.monotonically_increasing_id())
     names = df.columns
@@ -74,7 +100,7 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) ->
 
 
 def best_of_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """``keep_latest`` for rows whose key has no null."""
+    """``keep_latest`` for rows whose key has no null; lazy."""
     ranked = [name for name in order_by if name not in keys]
     rest = [name for name in df.columns if name not in keys and name not in ranked]
     best = df.groupBy(*keys).agg(F.max(F.struct(*ranked, *rest)).alias("best"))

@@ -22,7 +22,6 @@ from ..session import (
     quoted_table,
     remove_file,
     scratch_folder,
-    stage,
 )
 from .tables import gather_partitions, save_table, write_load
 
@@ -131,7 +130,7 @@ def merge_table(
         partition_by = (BUCKET,)
     with owned_scratch(spark, "merge"):
         if on_duplicate == "latest" and not (exists and table_format == "parquet"):
-            df = keep_latest(stage(df, "merge-rows"), keys, order_by)
+            df = keep_latest(df, keys, order_by)
         if not exists:
             save_table(spark, df, table, partition_by, "overwrite", table_format)
             if bucket_by:
