@@ -6,18 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cents, days_between, email_domain, email_validity
+from ..functions.money import LINE_AMOUNT
 from ..operators.joins import (
     CUSTOMER_ATTRIBUTES,
     PRODUCT_ATTRIBUTES,
     join_with_customer,
     join_with_product,
 )
+from ..operators.rows import distinct_rows
 from ..operators.standardize import (
     standardize_customer_columns,
     standardize_order_columns,
     standardize_product_columns,
 )
 from ..schemas import ORDER_ENRICHED, column_names
+from ..session import stage
 
 
 def add_email_enrichment(df: DataFrame) -> DataFrame:
@@ -69,18 +72,26 @@ def enrich_order(
     """Bronze order lines with their customer, product, calendar and profit columns.
 
     By default every line is kept, with nulls where a customer or product is unknown.
-    ``how="inner"`` drops those lines instead. ``dedup`` makes the result distinct; it makes
-    each input distinct first, which combines copies before any join. ``keep_row_id`` and
+    ``how="inner"`` drops those lines instead. ``dedup`` makes the result distinct: lines, customers and products
+    are each cut to what the result has of them and made distinct, and a line with its customer and product is then
+    too. It writes the lines to the scratch folder, so it runs jobs. ``keep_row_id`` and
     ``product_name`` choose those columns.
     """
-    product_attributes = [a for a in PRODUCT_ATTRIBUTES if product_name or a != "product_name"]
+    columns = [c for c in column_names(ORDER_ENRICHED) if product_name or c != "product_name"]
+    kept = [*(["row_id"] if keep_row_id else []), *columns]
+    product_attributes = [a for a in PRODUCT_ATTRIBUTES if a in columns]
     lines = standardize_order_columns(orders_df, keep_row_id)
     if dedup:
-        lines = lines.dropDuplicates()
+        # Lines are equal if their cents are. A profit that has none is kept, to raise if its line is still there after the joins.
+        fits = F.col("source_profit").try_cast(LINE_AMOUNT)
+        lines = lines.withColumns({"profit": fits, "source_profit": F.when(fits.isNull(), F.col("source_profit"))})
+        lines = lines.select(*[c for c in lines.columns if c in (*kept, "source_profit")])
+        lines = distinct_rows(stage(lines, "order-lines"))
     lines = join_with_customer(lines, customers_df, how, tuple(CUSTOMER_ATTRIBUTES), dedup)
     lines = join_with_product(lines, products_df, how, tuple(product_attributes), dedup)
-    lines = round_profit_to_2_decimals(calculate_days_to_ship(add_date_fields(lines)))
-
-    columns = [c for c in column_names(ORDER_ENRICHED) if product_name or c != "product_name"]
-    enriched = lines.select(*(["row_id"] if keep_row_id else []), *columns)
-    return enriched.dropDuplicates() if dedup else enriched
+    lines = calculate_days_to_ship(add_date_fields(lines))
+    if dedup:
+        lines = lines.withColumn("profit", F.coalesce("profit", cents(F.col("source_profit"))))
+    else:
+        lines = round_profit_to_2_decimals(lines)
+    return lines.select(*kept)

@@ -202,3 +202,47 @@ def test_audits_shuffle_fingerprints_in_place_of_rows(spark):
         by_print, by_row = (sm.layer_audit({"t": (df, None)}, skip_nulls, whole_rows=w) for w in (False, True))
         assert shuffled_bytes(by_print) < shuffled_bytes(by_row) / 2
         assert by_print.collect() == by_row.collect()
+
+
+def test_distinct_lines_are_not_made_distinct_again_after_the_joins(spark, orders, silver):
+    customers, products, _ = silver
+    near = orders.withColumn("Profit", F.col("Profit") + 0.001)
+    unknown = orders.limit(1).withColumns({"Customer ID": F.lit("nobody"), "Profit": F.lit(1e12)})
+    lines = orders.unionByName(near).unionByName(orders).unionByName(unknown)
+    dearer = products.unionByName(products.withColumn("product_state", F.lit("other")))
+    plain = sm.enrich_order(lines.where("`Customer ID` <> 'nobody'"), customers, dearer, "inner").drop("product_name").distinct()
+    # A profit without cents raises only if its line has a customer.
+    got = sm.enrich_order(lines, customers, dearer, "inner", dedup=True, product_name=False)
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect())) and got.count() == 3
+    above_joins = got._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    assert "Aggregate" not in above_joins
+    with pytest.raises(Exception, match="CAST|NUMERIC"):
+        sm.enrich_order(lines, customers, dearer, dedup=True).collect()
+
+
+@pytest.mark.parametrize("seen_from", [1, 10**9])
+def test_latest_rows_of_many_move_only_where_a_key_repeats(spark, monkeypatch, seen_from):
+    monkeypatch.setattr("salesmill.operators.key_filter.FILTER_FROM", seen_from)
+    df = spark.range(3000).selectExpr(
+        "CASE WHEN id % 100 <> 0 THEN concat('k', id % 2900) END AS `a k`", "cast(id % 7 AS int) AS v", "repeat('x', 50) AS w", "id"
+    )
+    by_key = {}
+    for r in df.collect():
+        key = r["a k"] if r["a k"] is not None else r["id"]
+        by_key[key] = max(by_key.get(key, (-1,)), (r["v"], r["id"]))
+    latest = sm.keep_latest(df, ["a k"], ["v", "id"])
+    assert latest.columns == df.columns
+    assert sorted((r["v"], r["id"]) for r in latest.collect()) == sorted(by_key.values())
+    plan = latest._jdf.queryExecution().optimizedPlan().toString()
+    assert ("Union" in plan) == (seen_from == 1)
+    # Keys that do not repeat stay where they are: a fifteenth of the rows is grouped, filter's mistakes included.
+    if seen_from == 1:
+        assert shuffled_bytes(latest) < shuffled_bytes(df.groupBy("a k").agg(F.max(F.struct(*df.columns)))) / 2
+
+
+def test_no_row_moves_where_no_key_and_no_row_repeats(spark, monkeypatch):
+    monkeypatch.setattr("salesmill.operators.key_filter.FILTER_FROM", 1)
+    df = spark.range(500).selectExpr("id AS k", "-0.0D AS v")
+    for whole in (sm.keep_latest(df, ["k"], ["v"]), sm.distinct_rows(df)):
+        assert "Aggregate" not in whole._jdf.queryExecution().optimizedPlan().toString() and whole.count() == 500
+    assert {str(r["v"]) for r in sm.distinct_rows(df).collect()} == {"0.0"}
