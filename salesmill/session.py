@@ -30,13 +30,15 @@ MOST_PIECES = 4096
 # What the plans rely on. ANSI arithmetic makes an amount that does not fit raise, where it
 # would become null and drop out of its sum. Forcing the skew rule matters where an aggregation reuses the
 # partitioning of the join below it: unforced, Spark would rather leave a hot key in one
-# task than add a shuffle.
+# task than add a shuffle. Shuffle files go when the write or action that made them is over: without that they stay
+# until the driver's garbage happens to be collected, and a job of several writes holds those of all.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 

@@ -1,6 +1,7 @@
 """What the physical plans must and must not hold."""
 
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -190,3 +191,19 @@ def test_a_hot_partition_and_even_pieces_are_small(spark, session_conf, tmp_path
     session_conf({skewed: "1000", factor: "1.5"})
     sm.configure(spark)
     assert (spark.conf.get(skewed), spark.conf.get(factor)) == ("1000", "1.5")
+
+
+def test_shuffle_files_go_with_the_write_that_made_them(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        blocks = manager.getAllBlocks()
+        return {blocks.apply(i).toString() for i in range(blocks.size()) if blocks.apply(i).isShuffle()}
+
+    before = shuffled()
+    kept = sm.stage(spark.range(20000).groupBy(F.pmod("id", F.lit(5000)).alias("k")).count(), "counted")
+    for _ in range(100):   # they are removed by the executors, a moment later
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before and kept.count() == 5000
