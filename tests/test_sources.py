@@ -173,3 +173,17 @@ def test_values_of_records_out_of_shape_are_not_counted_twice(spark, tmp_path):
     assert report(sm.rejects_report(spark, {"products": seen})) == [
         ("products", 4, "Price per product", 1), ("products", 4, None, 2),
     ]
+
+
+def test_documents_are_stored_compressed(spark, monkeypatch, tmp_path):
+    from workload.queries import QUERIES, Data
+
+    folder = str(tmp_path / "documents")
+    monkeypatch.setattr(sm, "scratch_folder", lambda *_: folder)
+    data = Data(spark, "/root/testdata/sf0.001")
+    read = QUERIES["src_orders_json_document"](data)
+    assert read.count() == data.orders.count()
+    documents = spark.read.text(folder).agg({"value": "count"}).first()[0]
+    files = [f for f in (tmp_path / "documents").rglob("part-*")]
+    assert documents == len(files) > 0 and all(f.name.endswith(".gz") for f in files)
+    assert sorted(map(str, read.collect())) == sorted(map(str, data.orders.select(*read.columns).collect()))

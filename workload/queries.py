@@ -125,9 +125,9 @@ def src_orders_json(d: Data) -> DataFrame:
 
 @query
 def src_orders_json_document(d: Data) -> DataFrame:
-    """Documents: an array of order lines in each file."""
+    """Documents: an array of order lines in each file, which is read whole and so may be compressed."""
     folder = sm.scratch_folder(d.spark, "orders-documents")
-    bronze.orders_as_documents(d.spark, d.folder).write.partitionBy("part").text(folder)
+    bronze.orders_as_documents(d.spark, d.folder).write.partitionBy("part").option("compression", "gzip").text(folder)
     return sm.load_order_data(d.spark, folder, multi_line=True)
 
 
