@@ -15,7 +15,7 @@ FILTER_FROM = 100_000
 BITS_PER_KEY, HASHES = 10, 3
 # Words of 64 bits. A filter is 16 MB at most; beyond that it lets more through, which costs work and changes no result.
 LEAST_WORDS, MOST_WORDS = 1 << 10, 1 << 21
-BITS = "__key_bits"
+BITS, ZERO = "__key_bits", "__zero"
 
 
 def divide_by_keys(rows: DataFrame, held: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -64,11 +64,12 @@ def divide_by_filter(rows: DataFrame, held: DataFrame, keys: Sequence[str], coun
     words = LEAST_WORDS
     while words < min(MOST_WORDS, count * BITS_PER_KEY // 64):
         words *= 2
-    bits = F.broadcast(stage(_key_filter(held.select(*map(quoted, keys)), words), "key-filter"))
+    bits = F.broadcast(stage(_key_filter(held.select(*map(quoted, keys)), words).withColumn(ZERO, F.lit(0).cast("bigint")), "key-filter"))
     complete = reduce(Column.__and__, [F.col(quoted(key)).isNotNull() for key in keys])
     may_hold = complete & _may_hold(F.col(BITS), keys, words)
     # Semi-joins, as an inner one might copy the filter to each row.
-    return rows.join(bits, may_hold, "left_semi"), rows.join(bits, ~may_hold, "left_semi")
+    met = F.pmod(F.xxhash64(*map(quoted, keys)), F.lit(1).cast("bigint")) == F.col(ZERO)   # always
+    return rows.join(bits, met & may_hold, "left_semi"), rows.join(bits, met & ~may_hold, "left_semi")
 
 
 def _cells(keys: Sequence[str], words: int) -> list[Column]:

@@ -202,4 +202,4 @@ def test_a_filter_of_keys_is_no_value_within_a_plan(spark, filtered):
     merged = sm.upsert(target, target.where("v > 500"), ["a key"], "latest", ["v"])
     for df in (among, others, merged):
         plan = df._jdf.queryExecution().executedPlan().toString()
-        assert "subquery" not in plan.lower() and "BroadcastNestedLoopJoin" in plan
+        assert "subquery" not in plan.lower() and "BroadcastHashJoin" in plan
